@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from vecferry.plans import catalog
+from vecferry.plans import catalog, rows
 
 FLAGSHIP = "convert_fields"
-_PARTS = (catalog,)
+_PARTS = (catalog, rows)
 
 
 def queries() -> dict:

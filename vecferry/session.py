@@ -20,6 +20,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, driver_memory:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
