@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from vecferry.plans import catalog, rows
+from vecferry.plans import catalog, filters, loads, rows
 
-FLAGSHIP = "convert_fields"
-_PARTS = (catalog, rows)
+FLAGSHIP = "migrate_customer"
+_PARTS = (catalog, rows, filters, loads)
 
 
 def queries() -> dict:
