@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from vecferry.plans import catalog, filters, loads, rows
+from vecferry.plans import catalog, filters, loads, rows, search
 
 FLAGSHIP = "migrate_customer"
-_PARTS = (catalog, rows, filters, loads)
+_PARTS = (catalog, rows, filters, loads, search)
 
 
 def queries() -> dict:
