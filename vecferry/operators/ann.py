@@ -90,13 +90,14 @@ def value_ranges(vectors: DataFrame, vector: str) -> DataFrame:
 def quantize_sq8(vectors: DataFrame, vector: str = "vector", code: str = "code") -> DataFrame:
     """One code 0..255 per dimension, between its lowest and highest value over all rows."""
     ranges = value_ranges(vectors, vector)
-    low, high = ranges.select("low").scalar(), ranges.select("high").scalar()
+    ranged = vectors.withColumn("_low", ranges.select("low").scalar()).withColumn("_high", ranges.select("high").scalar())
 
     def level(x: Column, i: Column) -> Column:
-        share = F.try_divide(x.cast("double") - F.get(low, i), F.get(high, i) - F.get(low, i))
+        low, high = F.get("_low", i), F.get("_high", i)
+        share = F.try_divide(x.cast("double") - low, high - low)
         return F.coalesce(F.floor(share * 255 + 0.5), F.lit(0)).cast("smallint")
 
-    return vectors.withColumn(code, F.transform(vector, level))
+    return ranged.withColumn(code, F.transform(vector, level)).drop("_low", "_high")
 
 
 class ProductCodes(Dense):

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from vecferry.plans import catalog, filters, loads, rows, search
+from vecferry.plans import catalog, filters, loads, rows, search, streams
 
 FLAGSHIP = "migrate_customer"
-_PARTS = (catalog, rows, filters, loads, search)
+_PARTS = (catalog, rows, filters, loads, search, streams)
 
 
 def queries() -> dict:
