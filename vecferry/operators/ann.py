@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vecferry.operators.scoring import Dense, ProbedCells, matches
 from vecferry.operators.search import knn
-from vecferry.sources.target import hash_bucket
+from vecferry.sources.target import balanced
 
 TRAIN_ROWS_PER_CENTRE = 256
 
@@ -35,9 +35,7 @@ class CellIndex:
     centres: DataFrame  # id, vector; one row per cell
 
 
-def build_cells(
-    vectors: DataFrame, path: str, n_cells: int, id_column: str = "id", vector: str = "vector", seed: int = 42, spread: int = 8
-) -> CellIndex:
+def build_cells(vectors: DataFrame, path: str, n_cells: int, vector: str = "vector", seed: int = 42) -> CellIndex:
     """Every vector goes to its nearest centre; the table is laid out by cell, big cells over several files."""
     spark = vectors.sparkSession
     present = vectors.filter(F.col(vector).isNotNull())
@@ -45,10 +43,7 @@ def build_cells(
     placed = model.setFeaturesCol("_features").setPredictionCol("cell").transform(
         present.withColumn("_features", array_to_vector(F.col(vector).cast("array<double>")))
     ).drop("_features")
-    (
-        placed.withColumn("_salt", hash_bucket(F.col(id_column), spread)).repartition("cell", "_salt").drop("_salt")
-        .write.partitionBy("cell").parquet(path)
-    )
+    balanced(placed, "cell").write.partitionBy("cell").parquet(path)
     rows = pa.table({"id": list(range(n_cells)), vector: [c.tolist() for c in model.clusterCenters()]})
     return CellIndex(path, spark.createDataFrame(rows))
 

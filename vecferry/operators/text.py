@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from vecferry.functions.predicates import words
 from vecferry.operators.scoring import Sparse, matches
+from vecferry.session import work_path
 
 K1 = 1.2
 B = 0.75
+ALL = ""  # stands for the whole corpus among the terms
 SALTS = 16
 
 
@@ -18,10 +20,6 @@ def tokenized(documents: DataFrame, id_column: str, text: str) -> DataFrame:
     return tokens.withColumn("n_words", F.size("words"))
 
 
-def corpus_stats(tokens: DataFrame) -> DataFrame:
-    return tokens.agg(F.count("*").alias("n_documents"), F.avg("n_words").alias("mean_words"))
-
-
 def length_norm(mean_words: Column, k1: float = K1, b: float = B) -> Column:
     return k1 * (1 - b + b * F.col("n_words") / mean_words)
 
@@ -30,25 +28,38 @@ def inverse_frequency(n_documents: Column, document_frequency: Column) -> Column
     return F.log(1 + (n_documents - document_frequency + 0.5) / (document_frequency + 0.5))
 
 
-def document_frequencies(tokens: DataFrame, terms: DataFrame | None = None) -> DataFrame:
-    """Documents per term, combined on the map side; only of ``terms`` when given."""
-    postings = tokens.select(F.explode(F.array_distinct("words")).alias("term"))
+def term_statistics(tokens: DataFrame, terms: DataFrame | None = None) -> DataFrame:
+    """Documents per term (only of ``terms`` when given) and their total words, in one pass.
+
+    Every document also counts once for the empty word, which no text contains: that row holds the
+    number of documents and words of the whole corpus. Counts combine on the map side.
+    """
+    spread = F.explode(F.array_append(F.array_distinct("words"), ALL)).alias("term")
+    postings = tokens.select("n_words", spread)
     if terms is not None:
-        postings = postings.join(terms.select("term").distinct(), "term", "left_semi")
-    return postings.groupBy("term").agg(F.count("*").alias("df"))
+        asked = terms.select("term").unionByName(terms.sparkSession.range(1).select(F.lit(ALL).alias("term")))
+        postings = postings.join(asked.distinct(), "term", "left_semi")
+    return postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("n_words").alias("total_words"))
 
 
-def query_vectors(queries: DataFrame, text: str, tokens: DataFrame) -> DataFrame:
-    """Distinct words of each query with their inverse document frequency."""
-    n_documents = corpus_stats(tokens).select("n_documents").scalar()
-    terms = queries.select("query_id", F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
-    weighted = terms.join(document_frequencies(tokens, terms), "term").withColumn(
-        "weight", inverse_frequency(n_documents, F.col("df"))
-    )
-    return _as_lists(weighted.select("query_id", "term", "weight"), "query_id")
+def stored(table: DataFrame, name: str) -> DataFrame:
+    """Written once to the shared folder, because several later steps read it."""
+    path = work_path(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.parquet(path)
+
 
+def corpus_size(statistics: DataFrame) -> tuple[Column, Column]:
+    """Number of documents and mean words per document."""
+    whole = statistics.filter(F.col("term") == ALL)
+    return whole.select("df").scalar(), whole.select(F.col("total_words") / F.col("df")).scalar()
 
-def _as_lists(weighted: DataFrame, key: str) -> DataFrame:
+
+def query_terms(queries: DataFrame, text: str) -> DataFrame:
+    return queries.select("query_id", F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
+
+
+def as_lists(weighted: DataFrame, key: str) -> DataFrame:
     """One sparse vector per key; its size is the distinct words of that one text."""
     entries = F.array_sort(F.collect_list(F.struct("term", "weight")))
     return weighted.groupBy(key).agg(entries.alias("e")).select(
@@ -60,12 +71,19 @@ def bm25_search(
     documents: DataFrame, queries: DataFrame, k: int, id_column: str = "doc_id", text: str = "text",
     query_text: str = "text", broadcast: bool | None = None,
 ) -> DataFrame:
-    """Best k documents per query. The corpus is scanned in place: no word of it is shuffled for ranking."""
+    """Best k documents per query, by their distinct words weighted by inverse document frequency.
+
+    Two passes over the corpus: the statistics of the asked words, then the scores. No text and no
+    posting is shuffled.
+    """
     tokens = tokenized(documents, id_column, text)
-    mean_words = corpus_stats(tokens).select("mean_words").scalar()
+    terms = query_terms(queries, query_text)
+    statistics = stored(term_statistics(tokens, terms), "terms")
+    n_documents, mean_words = corpus_size(statistics)
+    weighted = terms.join(statistics, "term").withColumn("weight", inverse_frequency(n_documents, F.col("df")))
     items = tokens.withColumn("norm", length_norm(mean_words))
     scorer = Sparse(terms="words", weights=None, norm_column="norm", k1=K1)
-    return matches(items, query_vectors(queries, query_text, tokens), scorer, id_column, k=k, broadcast=broadcast)
+    return matches(items, as_lists(weighted, "query_id"), scorer, id_column, k=k, broadcast=broadcast)
 
 
 def bm25_weights(documents: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -74,17 +92,14 @@ def bm25_weights(documents: DataFrame, id_column: str = "doc_id", text: str = "t
     A word that occurs in a large share of the documents is spread over ``SALTS`` join partitions.
     """
     tokens = tokenized(documents, id_column, text)
-    stats = corpus_stats(tokens)
-    n_documents = stats.select("n_documents").scalar()
-    mean_words = stats.select("mean_words").scalar()
+    statistics = stored(term_statistics(tokens), "terms")
+    n_documents, mean_words = corpus_size(statistics)
     postings = (
         tokens.select(id_column, "n_words", F.explode("words").alias("term"))
         .groupBy(id_column, "n_words", "term").agg(F.count("*").alias("tf"))
         .withColumn("_salt", F.pmod(F.xxhash64(id_column), F.lit(SALTS)).cast("int"))
     )
-    frequencies = document_frequencies(tokens).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
+    frequencies = statistics.select("term", "df", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
     saturated = F.col("tf") * (K1 + 1) / (F.col("tf") + length_norm(mean_words))
     return postings.join(frequencies, ["term", "_salt"]).select(
         id_column, "term", (inverse_frequency(n_documents, F.col("df")) * saturated).alias("weight")
@@ -93,7 +108,7 @@ def bm25_weights(documents: DataFrame, id_column: str = "doc_id", text: str = "t
 
 def sparse_vectors(weights: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """Sparse vector table: one term -> weight map per document."""
-    lists = _as_lists(weights, id_column)
+    lists = as_lists(weights, id_column)
     return lists.select(id_column, F.map_from_arrays("terms", "weights").alias("sparse"))
 
 

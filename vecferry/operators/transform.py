@@ -71,26 +71,29 @@ def transform_documents(
     otherwise they stay null.
     """
     source_types = {f.name: f.dataType for f in documents.schema.fields}
-    columns, reasons = [], []
-    for spec in specs:
+    converted, columns, reasons = [], [], []
+    for position, spec in enumerate(specs):
         present = spec.source in source_types
         source = F.col(_quoted(spec.source)) if present else F.lit(None)
-        value = convert(source, source_types.get(spec.source, T.NullType()), spec)
-        failed = source.isNotNull() & value.isNull()
-        reasons.append(F.when(failed, F.lit(f"bad value in {spec.source}")))
+        value, missing = F.col(f"_v{position}"), F.col(f"_n{position}")
+        converted += [
+            convert(source, source_types.get(spec.source, T.NullType()), spec).alias(f"_v{position}"),
+            source.isNull().alias(f"_n{position}"),
+        ]
+        reasons.append(F.when(~missing & value.isNull(), F.lit(f"bad value in {spec.source}")))
         if spec.is_key:
-            reasons.append(F.when(source.isNull(), F.lit(f"missing key {spec.source}")))
-        if spec.is_vector and spec.dim and spec.target_type == "FLOAT_VECTOR":
+            reasons.append(F.when(missing, F.lit(f"missing key {spec.source}")))
+        if spec.dim and spec.target_type == "FLOAT_VECTOR":
             reasons.append(F.when(F.size(value) != spec.dim, F.lit(f"wrong dimension in {spec.source}")))
         default = default_value(spec) if defaults and not (spec.is_key or spec.nullable) else None
-        if default is not None:
-            value = F.coalesce(value, default)
-        metadata = target_schema([spec]).fields[0].metadata
-        columns.append(value.alias(spec.target, metadata=metadata))
+        filled = value if default is None else F.coalesce(value, default)
+        columns.append(filled.alias(spec.target, metadata=target_schema([spec]).fields[0].metadata))
     if keep_dynamic:
-        columns.append(dynamic_fields(documents, specs).alias("$meta"))
+        converted.append(dynamic_fields(documents, specs).alias("$meta"))
+        columns.append(F.col("`$meta`"))
     reason = F.concat_ws("; ", *reasons)
-    return documents.select(*columns, F.when(reason != "", reason).alias(REASON))
+    # Two steps, so that a value and the reason drawn from it share one evaluation.
+    return documents.select(*converted).select(*columns, F.when(reason != "", reason).alias(REASON))
 
 
 def accepted(transformed: DataFrame) -> DataFrame:

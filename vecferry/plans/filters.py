@@ -63,7 +63,7 @@ def q_f_tenant(spark, sf_dir):
     """One tenant of a table laid out by hash bucket; only the tenant's bucket is read."""
     path = work_path(spark, "tenants")
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
-    layout = tg.write_partitioned(rows, path, FieldSpec("source", "source", "VARCHAR"), "doc_id", buckets=8)
+    layout = tg.write_partitioned(rows, path, FieldSpec("source", "source", "VARCHAR"), buckets=8)
     tenant = "src3"
     stored = spark.read.parquet(path)
     in_bucket = F.col(layout) == tg.hash_bucket(F.lit(tenant), 8)
@@ -73,7 +73,7 @@ def q_f_tenant(spark, sf_dir):
 def q_partition_key(spark, sf_dir):
     path = work_path(spark, "by-lang")
     rows = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    tg.write_partitioned(rows, path, FieldSpec("lang", "lang", "VARCHAR"), "doc_id")
+    tg.write_partitioned(rows, path, FieldSpec("lang", "lang", "VARCHAR"))
     stored = spark.read.parquet(path)
     return stored.groupBy("lang").agg(F.count("*").alias("n_rows"), F.sum("n_chars").alias("n_chars"))
 

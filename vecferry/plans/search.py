@@ -82,7 +82,7 @@ def q_sparse_ip(spark, sf_dir):
     stored = text.sparse_vectors(text.bm25_weights(table(spark, sf_dir, "documents")))
     words = benchmark_queries(spark, sf_dir).select("query_id", F.explode(text.words(F.col("text"))).alias("term"))
     counted = words.groupBy("query_id", "term").agg(F.count("*").cast("double").alias("weight"))
-    asked = text._as_lists(counted, "query_id")
+    asked = text.as_lists(counted, "query_id")
     return text.sparse_search(stored, asked, K)
 
 

@@ -56,24 +56,26 @@ def hash_bucket(column: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
 
 
-def write_partitioned(
-    rows: DataFrame, path: str, key: FieldSpec, row_key: str, buckets: int | None = None, spread: int = 8
-) -> str | None:
+def balanced(rows: DataFrame, layout: str) -> DataFrame:
+    """Rows of one layout value together, as far as sizes allow.
+
+    Spark merges small values into one task and splits a value that holds a large share of the rows.
+    """
+    return rows.hint("rebalance", layout)
+
+
+def write_partitioned(rows: DataFrame, path: str, key: FieldSpec, buckets: int | None = None) -> str | None:
     """Lays a table out by its partition key and returns the layout column.
 
     Only INT64 and VARCHAR keys qualify; others are ignored and the table is written unpartitioned.
-    A key with many values goes to hash ``buckets``. ``spread`` splits every key by the row key over
-    several tasks and files, so a tenant with a large share of the rows does not end up in one task.
+    A key with many values goes to hash ``buckets``.
     """
     if key.target_type not in KEY_TYPES:
         rows.write.mode("overwrite").parquet(path)
         return None
     layout = key.target if buckets is None else f"{key.target}_bucket"
     laid_out = rows if buckets is None else rows.withColumn(layout, hash_bucket(F.col(key.target), buckets))
-    (
-        laid_out.withColumn("_salt", hash_bucket(F.col(row_key), spread)).repartition(layout, "_salt").drop("_salt")
-        .write.mode("overwrite").partitionBy(layout).parquet(path)
-    )
+    balanced(laid_out, layout).write.mode("overwrite").partitionBy(layout).parquet(path)
     return layout
 
 

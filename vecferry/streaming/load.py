@@ -121,7 +121,7 @@ def read_rows(spark: SparkSession, paths: LoadPaths, outcome: str = "accepted")
 
 
 def read_ledger(spark: SparkSession, paths: LoadPaths) -> DataFrame:
-    schema = T.StructType([*T._parse_datatype_string(LEDGER_SCHEMA).fields, T.StructField("batch_id", T.LongType())])
+    schema = T.StructType([*T.StructType.fromDDL(LEDGER_SCHEMA).fields, T.StructField("batch_id", T.LongType())])
     return spark.read.schema(schema).parquet(paths.ledger)
 
 
