@@ -18,6 +18,10 @@ INTEGERS = {"INT8": "tinyint", "INT16": "smallint", "INT32": "int", "INT64": "bi
 FLOATS = {"FLOAT": "float", "DOUBLE": "double"}
 ELEMENTS = {"VARCHAR": "string", **INTEGERS, **FLOATS, "BOOL": "boolean"}
 VECTORS = ("FLOAT_VECTOR", "FLOAT16_VECTOR", "BINARY_VECTOR")
+BOUNDS = {kind: (-(1 << bits - 1), (1 << bits - 1) - 1) for kind, bits in (
+    ("tinyint", 8), ("smallint", 16), ("int", 32), ("bigint", 64))}
+INTEGER_TEXT = r"^[+-]?[0-9]+$"
+NUMBER_TEXT = r"^(?i)[+-]?([0-9]+\.?[0-9]*([e][+-]?[0-9]+)?|\.[0-9]+([e][+-]?[0-9]+)?|inf|infinity|nan)$"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -83,15 +87,35 @@ def to_json_text(column: Column, source_type: T.DataType) -> Column:
     return as_json(F.struct(column.alias("value")))
 
 
+def to_number(column: Column, source_type: T.DataType, target: str) -> Column:
+    """Cast that is null where the value does not fit; fractions are cut off.
+
+    Bad text and wide numbers are sorted out first: a cast that fails and is caught costs far more
+    than a comparison.
+    """
+    if isinstance(source_type, T.StringType):
+        return F.when(F.trim(column).rlike(INTEGER_TEXT if target in BOUNDS else NUMBER_TEXT), column.try_cast(target))
+    if target not in BOUNDS or not isinstance(source_type, (T.FractionalType, T.IntegralType)):
+        return column.try_cast(target)
+    low, high = BOUNDS[target]
+    if isinstance(source_type, T.IntegralType):
+        fits = column.between(low, high)
+    elif target == "bigint":
+        fits = (column >= float(low)) & (column < float(high))
+    else:
+        fits = (column > low - 1) & (column < high + 1)
+    return F.when(fits, column.cast(target))
+
+
 def to_array(column: Column, source_type: T.DataType, element_type: str | None) -> Column:
     """Elementwise cast; a bad number makes the whole value null, a null text element stays."""
     element = ELEMENTS.get(element_type or "VARCHAR", "string")
     if not isinstance(source_type, T.ArrayType):
-        single = column.cast("string") if element == "string" else column.try_cast(element)
+        single = column.cast("string") if element == "string" else to_number(column, source_type, element)
         return F.when(single.isNotNull(), F.array(single))
     if element == "string":
         return F.transform(column, lambda x: to_varchar(x, source_type.elementType))
-    values = F.transform(column, lambda x: x.try_cast(element))
+    values = F.transform(column, lambda x: to_number(x, source_type.elementType, element))
     return F.when(F.forall(values, lambda x: x.isNotNull()), values)
 
 
@@ -117,7 +141,7 @@ def convert(column: Column, source_type: T.DataType, spec: FieldSpec) -> Column:
     if target == "VARCHAR":
         return to_varchar(column, source_type, spec.max_length)
     if target in INTEGERS or target in FLOATS:
-        return column.try_cast({**INTEGERS, **FLOATS}[target])
+        return to_number(column, source_type, {**INTEGERS, **FLOATS}[target])
     if target == "BOOL":
         return to_bool(column, source_type)
     if target == "JSON":

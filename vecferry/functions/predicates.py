@@ -9,7 +9,8 @@ COMPARISONS = {
     "eq": Column.__eq__, "ne": Column.__ne__, "gt": Column.__gt__, "ge": Column.__ge__, "lt": Column.__lt__,
     "le": Column.__le__,
 }
-WORD_BREAK = r"[^\p{L}\p{N}]+"  # runs of anything but letters and digits
+WORD_BREAK = r"[^a-z0-9\p{L}\p{N}]+"  # runs of anything but letters and digits, plain ones tried first
+WORD_CHARACTER = r"[\p{L}\p{N}]"
 
 
 def compare(column: str, operator: str, value) -> Column:
@@ -50,4 +51,10 @@ def words(text: Column) -> Column:
 
 
 def has_word(text: str, word: str) -> Column:
-    return F.array_contains(words(F.col(text)), word.lower())
+    """Texts with that word; only those that contain it at all are searched for its edges."""
+    if not word.isalnum():
+        raise ValueError(f"{word!r} is not one word of letters and digits")
+    wanted = word.lower()
+    lowered = F.lower(F.col(text))
+    whole = f"{wanted}(?<!{WORD_CHARACTER}{wanted})(?!{WORD_CHARACTER})"
+    return lowered.contains(wanted) & lowered.rlike(whole)

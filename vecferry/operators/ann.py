@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,16 +18,21 @@ from vecferry.operators.search import knn
 from vecferry.sources.target import balanced
 
 TRAIN_ROWS_PER_CENTRE = 256
+TRAIN_PARTITIONS = 8
+ITERATIONS = 12
+FITS_AT_ONCE = 8
 
 
-def _fit(vectors: DataFrame, column: Column, centres: int, seed: int) -> KMeansModel:
-    """Centres from a bounded sample; it only places them, every vector is assigned later."""
-    rows = vectors.select(array_to_vector(column.cast("array<double>")).alias("features"))
-    wanted = centres * TRAIN_ROWS_PER_CENTRE
-    total = vectors.count()
-    if total > wanted:
-        rows = rows.sample(wanted / total, seed)
-    return KMeans(k=centres, seed=seed, maxIter=20, featuresCol="features").fit(rows)
+def training_sample(vectors: DataFrame, vector: str, centres: int, seed: int) -> DataFrame:
+    """A bounded sample to place centres with; every vector is assigned to them later."""
+    rows = vectors.select(F.col(vector).cast("array<double>").alias(vector))
+    wanted, total = centres * TRAIN_ROWS_PER_CENTRE, rows.count()
+    return (rows.sample(wanted / total, seed) if total > wanted else rows).repartition(TRAIN_PARTITIONS).cache()
+
+
+def _fit(sample: DataFrame, column: Column, centres: int, seed: int) -> KMeansModel:
+    rows = sample.select(array_to_vector(column).alias("features"))
+    return KMeans(k=centres, seed=seed, maxIter=ITERATIONS, featuresCol="features").fit(rows)
 
 
 @dataclass
@@ -39,7 +45,9 @@ def build_cells(vectors: DataFrame, path: str, n_cells: int, vector: str = "vect
     """Every vector goes to its nearest centre; the table is laid out by cell, big cells over several files."""
     spark = vectors.sparkSession
     present = vectors.filter(F.col(vector).isNotNull())
-    model = _fit(present, F.col(vector), n_cells, seed)
+    sample = training_sample(present, vector, n_cells, seed)
+    model = _fit(sample, F.col(vector), n_cells, seed)
+    sample.unpersist()
     placed = model.setFeaturesCol("_features").setPredictionCol("cell").transform(
         present.withColumn("_features", array_to_vector(F.col(vector).cast("array<double>")))
     ).drop("_features")
@@ -116,10 +124,17 @@ class ProductCodes(Dense):
 
 
 def train_product_codes(vectors: DataFrame, dim: int, parts: int, centres: int, vector: str = "vector", seed: int = 42):
-    """One set of centres per slice of the vector."""
+    """One set of centres per slice of the vector; the fits run side by side on one sample."""
     width = dim // parts
-    present = vectors.filter(F.col(vector).isNotNull())
-    return [_fit(present, F.slice(vector, part * width + 1, width), centres, seed) for part in range(parts)]
+    sample = training_sample(vectors.filter(F.col(vector).isNotNull()), vector, centres, seed)
+
+    def fit(part: int) -> KMeansModel:
+        return _fit(sample, F.slice(vector, part * width + 1, width), centres, seed)
+
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        models = list(pool.map(fit, range(parts)))
+    sample.unpersist()
+    return models
 
 
 def quantize_pq(vectors: DataFrame, models: list[KMeansModel], vector: str = "vector", codes: str = "codes") -> DataFrame:

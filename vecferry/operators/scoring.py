@@ -108,7 +108,24 @@ class Sparse:
         owner = np.repeat(np.arange(len(terms)), pc.list_value_length(terms).to_numpy(zero_copy_only=False))
         by_term = np.argsort(codes, kind="stable")
         starts = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(vocabulary)))])
-        return vocabulary, starts, owner[by_term], weights[by_term], len(terms)
+        grid = None
+        if len(vocabulary) * len(terms) <= CELLS_PER_STEP and (weights > 0).all():
+            grid = np.zeros((len(vocabulary), len(terms)))
+            np.add.at(grid, (codes, owner), weights)
+        return vocabulary, starts, owner[by_term], weights[by_term], len(terms), grid
+
+    @staticmethod
+    def _by_product(grid: np.ndarray, item, code, weight, n_rows: int) -> np.ndarray:
+        """Few words were asked for: a plain matrix product is fastest. Positive weights make 0 mean no match."""
+        scores = np.empty((n_rows, grid.shape[1]))
+        step = max(1, CELLS_PER_STEP // max(len(grid), 1))
+        for start in range(0, n_rows, step):
+            here = (item >= start) & (item < start + step)
+            block = np.zeros((min(step, n_rows - start), len(grid)))
+            np.add.at(block, (item[here] - start, code[here]), weight[here])
+            scores[start:start + step] = block @ grid
+        scores[scores == 0] = np.nan
+        return scores
 
     def _postings(self, rows: pa.Table, vocabulary: pa.Array):
         terms = rows.column(self.terms).combine_chunks()
@@ -124,8 +141,10 @@ class Sparse:
         return item, code, times * (self.k1 + 1) / (times + norm)
 
     def score(self, queries, rows: pa.Table) -> np.ndarray:
-        vocabulary, starts, owner, weights, n_queries = queries
+        vocabulary, starts, owner, weights, n_queries, grid = queries
         item, code, weight = self._postings(rows, vocabulary)
+        if grid is not None and (weight > 0).all():
+            return self._by_product(grid, item, code, weight, rows.num_rows)
         fan_out = starts[code + 1] - starts[code]
         posting = np.repeat(np.arange(len(code)), fan_out)
         inside = np.arange(len(posting)) - np.repeat(np.cumsum(fan_out) - fan_out, fan_out)
@@ -170,7 +189,8 @@ class _Keeper:
 
     def run(self, tables: Iterator[pa.Table]) -> Iterator[pd.DataFrame]:
         for rows in tables:
-            for found in self.scored(rows):
+            # Absent vectors are left out here: as a filter in the plan this would work out a computed column twice.
+            for found in self.scored(rows.filter(pc.is_valid(rows.column(self.scorer.columns[0])))):
                 if self.k is None:
                     yield found
                 else:
@@ -203,7 +223,6 @@ def matches(
     """
     carry = list(dict.fromkeys([*(carry or []), *([group] if group else [])]))
     items = items.select(id_column, *carry, *[c for c in scorer.columns if c not in carry])
-    items = items.filter(F.col(scorer.columns[0]).isNotNull())
     types = {f.name: f.dataType for f in items.schema.fields}
     out = T.StructType([
         T.StructField("query_id", queries.schema["query_id"].dataType), T.StructField(id_column, types[id_column]),

@@ -12,7 +12,7 @@ from vecferry.session import work_path
 K1 = 1.2
 B = 0.75
 ALL = ""  # stands for the whole corpus among the terms
-SALTS = 16
+FREQUENT = 200_000
 
 
 def tokenized(documents: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -89,19 +89,26 @@ def bm25_search(
 def bm25_weights(documents: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Weight of every word of every document, one row each.
 
-    A word that occurs in a large share of the documents is spread over ``SALTS`` join partitions.
+    The texts are shuffled once by document; counting the words of a document then stays in place.
+    Words are looked up in two parts: the ``FREQUENT`` most common ones, which make up nearly all
+    postings, are broadcast; the postings of the others, none of which is common, are shuffled.
     """
-    tokens = tokenized(documents, id_column, text)
-    statistics = stored(term_statistics(tokens), "terms")
+    statistics = stored(term_statistics(tokenized(documents, id_column, text)), "terms")
     n_documents, mean_words = corpus_size(statistics)
+    by_document = tokenized(documents.select(id_column, text).repartition(id_column), id_column, text)
     postings = (
-        tokens.select(id_column, "n_words", F.explode("words").alias("term"))
+        by_document.select(id_column, "n_words", F.explode("words").alias("term"))
         .groupBy(id_column, "n_words", "term").agg(F.count("*").alias("tf"))
-        .withColumn("_salt", F.pmod(F.xxhash64(id_column), F.lit(SALTS)).cast("int"))
     )
-    frequencies = statistics.select("term", "df", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    terms = statistics.filter(F.col("term") != ALL).select("term", "df")
+    common = stored(terms.orderBy(F.col("df").desc(), "term").limit(FREQUENT), "frequent")
+    found = postings.join(F.broadcast(common), "term")
+    if terms.count() > FREQUENT:
+        rest = terms.join(F.broadcast(common.select("term")), "term", "left_anti")
+        others = postings.join(F.broadcast(common.select("term")), "term", "left_anti").join(rest, "term")
+        found = found.unionByName(others)
     saturated = F.col("tf") * (K1 + 1) / (F.col("tf") + length_norm(mean_words))
-    return postings.join(frequencies, ["term", "_salt"]).select(
+    return found.select(
         id_column, "term", (inverse_frequency(n_documents, F.col("df")) * saturated).alias("weight")
     )
 

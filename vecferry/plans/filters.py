@@ -9,7 +9,7 @@ from vecferry.functions import predicates as pr
 from vecferry.functions.coerce import FieldSpec, iso_text
 from vecferry.operators import facets
 from vecferry.plans.rows import tagged_part
-from vecferry.plans.tables import table
+from vecferry.plans.tables import spread, table
 from vecferry.session import work_path
 from vecferry.sources import documents as src
 from vecferry.sources import target as tg
@@ -51,7 +51,8 @@ def q_f_prefix(spark, sf_dir):
 
 
 def q_f_text(spark, sf_dir):
-    found = table(spark, sf_dir, "documents").filter(pr.has_word("text", "the"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars"), "doc_id")
+    found = docs.filter(pr.has_word("text", "the"))
     return found.orderBy("doc_id").limit(3).select("doc_id", "lang", "n_chars")
 
 

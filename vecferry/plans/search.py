@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from vecferry.functions import vectors as ve
 from vecferry.operators import ann, fusion, search, text
 from vecferry.plans.rows import packed_signs
-from vecferry.plans.tables import table
+from vecferry.plans.tables import spread, table
 from vecferry.session import work_path
 
 K = 10
@@ -30,6 +30,10 @@ def label_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.mean_vectors(vectors(spark, sf_dir), "vector", "label")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
@@ -70,16 +74,16 @@ def q_search_iterate(spark, sf_dir):
 
 
 def q_bm25(spark, sf_dir):
-    return text.bm25_search(table(spark, sf_dir, "documents"), benchmark_queries(spark, sf_dir), K)
+    return text.bm25_search(texts(spark, sf_dir), benchmark_queries(spark, sf_dir), K)
 
 
 def q_bm25_weights(spark, sf_dir):
-    weights = text.bm25_weights(table(spark, sf_dir, "documents"))
+    weights = text.bm25_weights(texts(spark, sf_dir))
     return weights.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 def q_sparse_ip(spark, sf_dir):
-    stored = text.sparse_vectors(text.bm25_weights(table(spark, sf_dir, "documents")))
+    stored = text.sparse_vectors(text.bm25_weights(texts(spark, sf_dir)))
     words = benchmark_queries(spark, sf_dir).select("query_id", F.explode(text.words(F.col("text"))).alias("term"))
     counted = words.groupBy("query_id", "term").agg(F.count("*").cast("double").alias("weight"))
     asked = text.as_lists(counted, "query_id")
@@ -92,7 +96,7 @@ def q_hybrid_rrf(spark, sf_dir):
     ).select(F.col("item_id").alias("query_id"), "text", "vector")
     dense = search.knn(vectors(spark, sf_dir), asked.select("query_id", "vector"), DEPTH)
     sparse = text.bm25_search(
-        table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id"), asked.select("query_id", "text"), DEPTH, "id"
+        texts(spark, sf_dir).withColumnRenamed("doc_id", "id"), asked.select("query_id", "text"), DEPTH, "id"
     )
     return fusion.reciprocal_rank_fusion([dense, sparse], "id", K)
 

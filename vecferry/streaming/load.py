@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,18 +70,25 @@ def _note_run(spark: SparkSession, paths: LoadPaths, index_name: str, status: st
 def _write_batch(transformed: DataFrame, batch_id: int, paths: LoadPaths, index_name: str, key: str) -> None:
     """Rows first, ledger second: a ledger row exists only for a batch whose rows are complete."""
     spark = transformed.sparkSession
-    folder = f"{paths.rows}/batch_id={batch_id}"
-    outcome = F.when(F.col(REASON).isNull(), "accepted").otherwise("rejected")
-    transformed.withColumn("outcome", outcome).write.mode("overwrite").partitionBy("outcome").parquet(folder)
-    stored_schema = T.StructType([*transformed.schema.fields, T.StructField("outcome", T.StringType())])
-    stored = spark.read.schema(stored_schema).parquet(folder)
-    good = F.col("outcome") == "accepted"
-    entry = stored.agg(
-        F.count_if(good).alias("n_accepted"), F.count_if(~good).alias("n_rejected"),
-        F.min(F.when(good, F.col(key))).cast("string").alias("first_key"),
-        F.max(F.when(good, F.col(key))).cast("string").alias("last_key"),
-    ).select(F.lit(index_name).alias("index_name"), "*", F.current_timestamp().alias("at"))
-    entry.coalesce(1).write.mode("overwrite").parquet(f"{paths.ledger}/batch_id={batch_id}")
+    good = F.col(REASON).isNull()
+    seen = Observation(f"batch-{batch_id}")
+    (
+        transformed.withColumn("outcome", F.when(good, "accepted").otherwise("rejected"))
+        .observe(
+            seen, F.count_if(good).alias("n_accepted"), F.count_if(~good).alias("n_rejected"),
+            F.min(F.when(good, F.col(key))).cast("string").alias("first_key"),
+            F.max(F.when(good, F.col(key))).cast("string").alias("last_key"),
+        )
+        .write.mode("overwrite").partitionBy("outcome").parquet(f"{paths.rows}/batch_id={batch_id}")
+    )
+    counted = seen.get
+    entry = spark.range(1).select(
+        F.lit(index_name).alias("index_name"),
+        *[F.lit(counted[c]).cast("bigint").alias(c) for c in ("n_accepted", "n_rejected")],
+        *[F.lit(counted[c]).cast("string").alias(c) for c in ("first_key", "last_key")],
+        F.current_timestamp().alias("at"),
+    )
+    entry.write.mode("overwrite").parquet(f"{paths.ledger}/batch_id={batch_id}")
 
 
 def stream_load(
