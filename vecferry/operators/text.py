@@ -12,7 +12,7 @@ from vecferry.session import work_path
 K1 = 1.2
 B = 0.75
 ALL = ""  # stands for the whole corpus among the terms
-FREQUENT = 200_000
+FREQUENT = 500_000  # rows of a term and a count, some tens of MB
 
 
 def tokenized(documents: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -20,6 +20,15 @@ def tokenized(documents: DataFrame, id_column: str, text: str) -> DataFrame:
     return tokens.withColumn("n_words", F.size("words"))
 
 
+def each_word(tokens: DataFrame, kept: list[str], array: Column) -> DataFrame:
+    """One row per array element.
+
+    The outer form keeps Spark from adding a filter on the array below, which would split every text
+    into words once more (and ahead of a shuffle that is there to spread that work).
+    """
+    return tokens.select(*kept, F.explode_outer(array).alias("term")).filter(F.col("term").isNotNull())
+
+
 def length_norm(mean_words: Column, k1: float = K1, b: float = B) -> Column:
     return k1 * (1 - b + b * F.col("n_words") / mean_words)
 
@@ -34,8 +43,7 @@ def term_statistics(tokens: DataFrame, terms: DataFrame | None = None) -> DataFr
     Every document also counts once for the empty word, which no text contains: that row holds the
     number of documents and words of the whole corpus. Counts combine on the map side.
     """
-    spread = F.explode(F.array_append(F.array_distinct("words"), ALL)).alias("term")
-    postings = tokens.select("n_words", spread)
+    postings = each_word(tokens, ["n_words"], F.array_append(F.array_distinct("words"), ALL))
     if terms is not None:
         asked = terms.select("term").unionByName(terms.sparkSession.range(1).select(F.lit(ALL).alias("term")))
         postings = postings.join(asked.distinct(), "term", "left_semi")
@@ -56,7 +64,7 @@ def corpus_size(statistics: DataFrame) -> tuple[Column, Column]:
 
 
 def query_terms(queries: DataFrame, text: str) -> DataFrame:
-    return queries.select("query_id", F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
+    return each_word(queries, ["query_id"], F.array_distinct(words(F.col(text))))
 
 
 def as_lists(weighted: DataFrame, key: str) -> DataFrame:
@@ -97,16 +105,17 @@ def bm25_weights(documents: DataFrame, id_column: str = "doc_id", text: str = "t
     n_documents, mean_words = corpus_size(statistics)
     by_document = tokenized(documents.select(id_column, text).repartition(id_column), id_column, text)
     postings = (
-        by_document.select(id_column, "n_words", F.explode("words").alias("term"))
+        each_word(by_document, [id_column, "n_words"], F.col("words"))
         .groupBy(id_column, "n_words", "term").agg(F.count("*").alias("tf"))
     )
     terms = statistics.filter(F.col("term") != ALL).select("term", "df")
-    common = stored(terms.orderBy(F.col("df").desc(), "term").limit(FREQUENT), "frequent")
-    found = postings.join(F.broadcast(common), "term")
-    if terms.count() > FREQUENT:
+    if statistics.count() <= FREQUENT:
+        found = postings.join(F.broadcast(terms), "term")
+    else:
+        common = stored(terms.orderBy(F.col("df").desc(), "term").limit(FREQUENT), "frequent")
         rest = terms.join(F.broadcast(common.select("term")), "term", "left_anti")
         others = postings.join(F.broadcast(common.select("term")), "term", "left_anti").join(rest, "term")
-        found = found.unionByName(others)
+        found = postings.join(F.broadcast(common), "term").unionByName(others)
     saturated = F.col("tf") * (K1 + 1) / (F.col("tf") + length_norm(mean_words))
     return found.select(
         id_column, "term", (inverse_frequency(n_documents, F.col("df")) * saturated).alias("weight")

@@ -84,7 +84,7 @@ def q_bm25_weights(spark, sf_dir):
 
 def q_sparse_ip(spark, sf_dir):
     stored = text.sparse_vectors(text.bm25_weights(texts(spark, sf_dir)))
-    words = benchmark_queries(spark, sf_dir).select("query_id", F.explode(text.words(F.col("text"))).alias("term"))
+    words = text.each_word(benchmark_queries(spark, sf_dir), ["query_id"], text.words(F.col("text")))
     counted = words.groupBy("query_id", "term").agg(F.count("*").cast("double").alias("weight"))
     asked = text.as_lists(counted, "query_id")
     return text.sparse_search(stored, asked, K)
