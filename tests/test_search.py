@@ -68,7 +68,7 @@ def test_many_small_blocks_give_the_same(vectors, queries, monkeypatch):
     from vecferry.operators import scoring
 
     monkeypatch.setattr(scoring, "MAX_BROADCAST_QUERIES", 2)
-    monkeypatch.setattr(scoring, "ITEMS_PER_BLOCK", 50)
+    monkeypatch.setattr(scoring, "BLOCK_ROWS", 40)
     monkeypatch.setattr(scoring, "CELLS_PER_STEP", 64)
     same(got(search.knn(vectors, queries, 7)), expected("COSINE", 7))
     same(got(search.knn(vectors, queries, 2, group="label")), expected("COSINE", 2, group=lambda i: i % 4))

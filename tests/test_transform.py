@@ -154,3 +154,14 @@ def test_array_limits(spark):
     assert found == {1: (True, False), 2: (False, True)}
     fitted = [r.t for r in df.select(tr.fit_array(F.col("tags"), 2, 5).alias("t")).collect()]
     assert fitted == [["a", "b"], ["abcde"], ["a"]]
+
+
+def test_time_text_does_not_depend_on_the_session_time_zone(spark):
+    from vecferry.functions.coerce import iso_text
+
+    df = spark.sql("SELECT timestamp_micros(1710054000123456) AS t, timestamp_ntz'2024-03-10 02:30:00.5' AS n")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    for other in ("America/New_York", "Asia/Kolkata", zone):
+        spark.conf.set("spark.sql.session.timeZone", other)
+        row = df.select(*[iso_text(df[c], df.schema[c].dataType).alias(c) for c in df.columns]).first()
+        assert tuple(row) == ("2024-03-10T07:00:00.123456Z", "2024-03-10T02:30:00.500000Z")

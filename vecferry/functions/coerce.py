@@ -22,7 +22,6 @@ BOUNDS = {kind: (-(1 << bits - 1), (1 << bits - 1) - 1) for kind, bits in (
     ("tinyint", 8), ("smallint", 16), ("int", 32), ("bigint", 64))}
 INTEGER_TEXT = r"^[+-]?[0-9]+$"
 NUMBER_TEXT = r"^(?i)[+-]?([0-9]+\.?[0-9]*([e][+-]?[0-9]+)?|\.[0-9]+([e][+-]?[0-9]+)?|inf|infinity|nan)$"
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 @dataclass(frozen=True)
@@ -44,10 +43,13 @@ class FieldSpec:
 
 
 def iso_text(column: Column, source_type: T.DataType) -> Column:
-    """Fixed-width ISO-8601 text in UTC, so text order is time order."""
+    """Fixed-width ISO-8601 text in UTC, so text order is time order, whatever the session's time zone."""
     if isinstance(source_type, T.TimestampType):
-        column = F.to_utc_timestamp(column, F.current_timezone())
-    return F.date_format(column, ISO_FORMAT)
+        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+        column = F.timestamp_add("MICROSECOND", F.unix_micros(column), epoch)
+    plain = column.cast("string")
+    fraction = F.rpad(F.substring(plain, 21, 6), 6, "0")
+    return F.concat(F.substring(plain, 1, 10), F.lit("T"), F.substring(plain, 12, 8), F.lit("."), fraction, F.lit("Z"))
 
 
 def as_json(column: Column) -> Column:

@@ -31,6 +31,11 @@ def any_equals(array: str, value) -> Column:
     return F.array_contains(array, value)
 
 
+def any_match(array: str, condition) -> Column:
+    """Some element of a nested collection meets the condition (a function of the element)."""
+    return F.exists(array, condition)
+
+
 def json_path(column: str, path: str, kind: str = "string") -> Column:
     """Value at a path of a JSON field, null where it is absent or of another kind."""
     return F.get_json_object(column, path).try_cast(kind)

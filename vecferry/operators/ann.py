@@ -18,7 +18,7 @@ from vecferry.operators.search import knn
 from vecferry.sources.target import balanced
 
 TRAIN_ROWS_PER_CENTRE = 256
-TRAIN_PARTITIONS = 8
+ROWS_PER_TRAIN_PARTITION = 16_384
 ITERATIONS = 12
 FITS_AT_ONCE = 8
 
@@ -27,7 +27,8 @@ def training_sample(vectors: DataFrame, vector: str, centres: int, seed: int) ->
     """A bounded sample to place centres with; every vector is assigned to them later."""
     rows = vectors.select(F.col(vector).cast("array<double>").alias(vector))
     wanted, total = centres * TRAIN_ROWS_PER_CENTRE, rows.count()
-    return (rows.sample(wanted / total, seed) if total > wanted else rows).repartition(TRAIN_PARTITIONS).cache()
+    sample = rows.sample(wanted / total, seed) if total > wanted else rows
+    return sample.repartition(1 + min(wanted, total) // ROWS_PER_TRAIN_PARTITION).cache()
 
 
 def _fit(sample: DataFrame, column: Column, centres: int, seed: int) -> KMeansModel:

@@ -22,9 +22,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
-MAX_BROADCAST_QUERIES = 2_048
+MAX_BROADCAST_QUERIES = 16_384
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-ITEMS_PER_BLOCK = 65_536
+BLOCK_ROWS = 16_384  # of items and of queries: equal blocks copy the least data for the memory of a task
 CELLS_PER_STEP = 2_000_000  # size of the score matrix one step works on
 DIGITS = 6
 
@@ -79,10 +79,13 @@ class ProbedCells(Dense):
 
     def score(self, queries, rows: pa.Table) -> np.ndarray:
         matrix, probed = queries
-        scores = super().score(matrix, rows)
+        scores = np.full((rows.num_rows, len(matrix)), np.nan)
         cells = rows.column("cell").to_numpy()
-        for position, wanted in enumerate(probed):
-            scores[~np.isin(cells, wanted), position] = np.nan
+        for cell in np.unique(cells):
+            here = np.flatnonzero(cells == cell)
+            asking = [position for position, wanted in enumerate(probed) if cell in wanted]
+            if asking:
+                scores[np.ix_(here, asking)] = super().score(matrix[asking], rows.take(pa.array(here)))
         return scores
 
 
@@ -262,8 +265,8 @@ def _meet_in_blocks(
     items: DataFrame, queries: DataFrame, keeper: Callable, id_column: str, out: T.StructType, arrow_out: pa.Schema
 ) -> DataFrame:
     n_queries, n_items = queries.count(), items.count()
-    query_blocks = max(1, -(-n_queries // MAX_BROADCAST_QUERIES))
-    item_blocks = max(1, -(-n_items // ITEMS_PER_BLOCK))
+    query_blocks = max(1, -(-n_queries // BLOCK_ROWS))
+    item_blocks = max(1, -(-n_items // BLOCK_ROWS))
 
     def block(column: str, blocks: int):
         return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vecferry.operators import batches
 from vecferry.operators.scoring import Dense, matches
+from vecferry.session import written
 
 
 def mean_vectors(vectors: DataFrame, vector: str, by: str | None = None) -> DataFrame:
@@ -44,7 +45,7 @@ def iterate(
 ) -> DataFrame:
     """The whole ordered result of one query, numbered in batches; no offset limit."""
     scorer = Dense(metric, vector)
-    scored = matches(vectors, query, scorer, id_column)
+    scored = written(matches(vectors, query, scorer, id_column), "scored")  # sorting samples first: score once
     order = [F.col("score").desc() if scorer.descending else F.col("score").asc(), F.col(id_column).asc()]
     numbered = batches.number_rows(scored, order)
     return numbered.select(id_column, "score", batches.batch_of(batch_size).alias("batch"))

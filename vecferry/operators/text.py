@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from vecferry.functions.predicates import words
 from vecferry.operators.scoring import Sparse, matches
-from vecferry.session import work_path
+from vecferry.session import written
 
 K1 = 1.2
 B = 0.75
 ALL = ""  # stands for the whole corpus among the terms
-FREQUENT = 500_000  # rows of a term and a count, some tens of MB
+FREQUENT = 500_000  # terms that are broadcast
+LONGEST = 128  # bytes of a broadcast term
 
 
 def tokenized(documents: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -37,24 +38,30 @@ def inverse_frequency(n_documents: Column, document_frequency: Column) -> Column
     return F.log(1 + (n_documents - document_frequency + 0.5) / (document_frequency + 0.5))
 
 
+def fits_broadcast(terms: DataFrame) -> bool:
+    size = terms.agg(F.count("*").alias("rows"), F.sum(F.octet_length("term")).alias("bytes")).first()
+    return size.rows <= FREQUENT and (size.bytes or 0) <= FREQUENT * LONGEST
+
+
 def term_statistics(tokens: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     """Documents per term (only of ``terms`` when given) and their total words, in one pass.
 
     Every document also counts once for the empty word, which no text contains: that row holds the
-    number of documents and words of the whole corpus. Counts combine on the map side.
+    number of documents and words of the whole corpus. Counts combine on the map side, and asked
+    terms that are too many to broadcast are looked up after counting, when every term is one row.
     """
     postings = each_word(tokens, ["n_words"], F.array_append(F.array_distinct("words"), ALL))
-    if terms is not None:
-        asked = terms.select("term").unionByName(terms.sparkSession.range(1).select(F.lit(ALL).alias("term")))
-        postings = postings.join(asked.distinct(), "term", "left_semi")
-    return postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("n_words").alias("total_words"))
+    if terms is None:
+        return _counted(postings)
+    every = tokens.sparkSession.range(1).select(F.lit(ALL).alias("term"))
+    asked = written(terms.select("term").distinct().unionByName(every), "asked")
+    if fits_broadcast(asked):
+        return _counted(postings.join(F.broadcast(asked), "term", "left_semi"))
+    return _counted(postings).join(asked, "term", "left_semi")
 
 
-def stored(table: DataFrame, name: str) -> DataFrame:
-    """Written once to the shared folder, because several later steps read it."""
-    path = work_path(table.sparkSession, name)
-    table.write.parquet(path)
-    return table.sparkSession.read.parquet(path)
+def _counted(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("n_words").alias("total_words"))
 
 
 def corpus_size(statistics: DataFrame) -> tuple[Column, Column]:
@@ -86,7 +93,7 @@ def bm25_search(
     """
     tokens = tokenized(documents, id_column, text)
     terms = query_terms(queries, query_text)
-    statistics = stored(term_statistics(tokens, terms), "terms")
+    statistics = written(term_statistics(tokens, terms), "terms")
     n_documents, mean_words = corpus_size(statistics)
     weighted = terms.join(statistics, "term").withColumn("weight", inverse_frequency(n_documents, F.col("df")))
     items = tokens.withColumn("norm", length_norm(mean_words))
@@ -101,7 +108,7 @@ def bm25_weights(documents: DataFrame, id_column: str = "doc_id", text: str = "t
     Words are looked up in two parts: the ``FREQUENT`` most common ones, which make up nearly all
     postings, are broadcast; the postings of the others, none of which is common, are shuffled.
     """
-    statistics = stored(term_statistics(tokenized(documents, id_column, text)), "terms")
+    statistics = written(term_statistics(tokenized(documents, id_column, text)), "terms")
     n_documents, mean_words = corpus_size(statistics)
     by_document = tokenized(documents.select(id_column, text).repartition(id_column), id_column, text)
     postings = (
@@ -109,10 +116,11 @@ def bm25_weights(documents: DataFrame, id_column: str = "doc_id", text: str = "t
         .groupBy(id_column, "n_words", "term").agg(F.count("*").alias("tf"))
     )
     terms = statistics.filter(F.col("term") != ALL).select("term", "df")
-    if statistics.count() <= FREQUENT:
+    if fits_broadcast(statistics):
         found = postings.join(F.broadcast(terms), "term")
     else:
-        common = stored(terms.orderBy(F.col("df").desc(), "term").limit(FREQUENT), "frequent")
+        short = terms.filter(F.octet_length("term") <= LONGEST)
+        common = written(short.orderBy(F.col("df").desc(), "term").limit(FREQUENT), "frequent")
         rest = terms.join(F.broadcast(common.select("term")), "term", "left_anti")
         others = postings.join(F.broadcast(common.select("term")), "term", "left_anti").join(rest, "term")
         found = postings.join(F.broadcast(common), "term").unionByName(others)

@@ -34,6 +34,14 @@ def q_f_any(spark, sf_dir):
     return tagged_part(spark, sf_dir).filter(pr.any_equals("tags", "red")).select("p_partkey", "p_name")
 
 
+def q_f_nested_any(spark, sf_dir):
+    """Parts with a tag that is long and starts with a given letter, over nested tag records."""
+    nested = F.transform("tags", lambda t: F.struct(t.alias("name"), F.length(t).alias("size")))
+    parts = tagged_part(spark, sf_dir).withColumn("nested", nested)
+    found = parts.filter(pr.any_match("nested", lambda t: (t["size"] >= 5) & t["name"].startswith("g")))
+    return found.select("p_partkey", "p_name")
+
+
 def q_f_json_path(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     return events.filter(pr.json_path("props", "$.k", "int") > 50).select("event_id", "props")
@@ -117,6 +125,8 @@ ORACLES = {
     "f_or": _orders_sql("o_orderstatus = 'P' OR o_totalprice > 400000"),
     "f_bool": "SELECT doc_id, toxic FROM labels WHERE quality = 1",
     "f_any": "SELECT p_partkey, p_name FROM part WHERE list_contains(string_split(p_name, ' '), 'red')",
+    "f_nested_any": """SELECT p_partkey, p_name FROM part
+      WHERE len([t for t in string_split(p_name, ' ') if length(t) >= 5 AND starts_with(t, 'g')]) > 0""",
     "f_json_path": "SELECT event_id, props FROM events WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) > 50",
     "f_date_text": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%fZ') AS at FROM orders
       WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-07-01'""",

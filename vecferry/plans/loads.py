@@ -97,6 +97,20 @@ def q_load_outcome(spark, sf_dir):
     return stored.groupBy("outcome", F.col(tr.REASON).alias("reason")).agg(F.count("*").alias("n_rows"))
 
 
+def q_create_target(spark, sf_dir):
+    """Created once, loaded, kept by a second creation, emptied by a dropping one and loaded again."""
+    path = work_path(spark, "created")
+    rows = tr.accepted(tr.transform_documents(table(spark, sf_dir, "customer"), CUSTOMER_SPECS))
+    loaded = []
+    for drop in (False, False, True):
+        created = tg.create_target(spark, path, CUSTOMER_SPECS, drop_existing=drop)
+        if created:
+            tg.append(rows, path)
+        loaded.append(created)
+    stored = spark.read.parquet(path)
+    return stored.select(*[s.target for s in CUSTOMER_SPECS], F.lit(",".join(map(str, loaded))).alias("created"))
+
+
 def q_load_definitions(spark, sf_dir):
     """The catalog written as JSON index definitions, loaded again and flattened."""
     path = work_path(spark, "definitions")
@@ -111,6 +125,15 @@ def q_report_fields(spark, sf_dir):
     return spark.read.schema(details.schema).json(f"{path}/fields")
 
 
+def q_report_indexes(spark, sf_dir):
+    path = work_path(spark, "reports")
+    resolved = sm.resolve_profiles(
+        catalog.conversions(spark, sf_dir), catalog.profiles(spark, sf_dir), catalog.algorithms(spark, sf_dir)
+    )
+    tg.write_reports(path, indexes=resolved, summary=sm.assess(catalog.conversions(spark, sf_dir)))
+    return spark.read.schema(resolved.schema).json(f"{path}/indexes")
+
+
 def _numbered_orders(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return ba.number_rows(orders, [F.col("o_orderkey")])
@@ -346,6 +369,9 @@ ORACLES = {
     "load_definitions": f"""WITH {catalog.CATALOG_SQL} SELECT index_name, ordinal, field_name, edm_type, is_key, n_subfields,
       dimensions, profile_name, searchable, filterable, sortable, facetable FROM fields""",
     "report_fields": catalog.ORACLES["field_details"],
+    "report_indexes": catalog.ORACLES["resolve_profile"],
+    "create_target": """SELECT c_custkey AS id, substring(c_name, 1, 12) AS name, CAST(c_nationkey AS SMALLINT) AS nation,
+      c_acctbal AS balance, c_mktsegment AS segment, 'True,False,True' AS created FROM customer""",
     "batch_number": f"WITH {_NUMBERED} SELECT o_orderkey, (rn - 1) // 500 AS batch FROM numbered",
     "batch_number_text": """SELECT c_name, (row_number() OVER (ORDER BY c_name) - 1) // 100 AS batch FROM customer""",
     "skip_rows": f"WITH {_NUMBERED} SELECT o_orderkey, o_custkey FROM numbered WHERE rn > 1000",

@@ -76,6 +76,33 @@ def q_stream_rejects(spark, sf_dir):
     return load.read_rows(spark, paths, "rejected").select("id", F.col("_reject_reason").alias("reason"))
 
 
+def q_stream_start_over(spark, sf_dir):
+    """A load started over stores everything once in its own generation and leaves the earlier one alone."""
+    staged, paths = work_path(spark, "staged"), load.LoadPaths(work_path(spark, "load"))
+    events = _events(spark, sf_dir)
+    _stage(events, staged)
+    generations = [paths, paths.start_over()]
+    for generation in generations:
+        _load(spark, staged, events.schema, generation)
+    first, second = (
+        load.read_rows(spark, g).groupBy("kind").agg(F.count("*").alias("n_rows")).withColumn("generation", F.lit(n))
+        for n, g in enumerate(generations)
+    )
+    return first.unionByName(second)
+
+
+def q_ledger_batches(spark, sf_dir):
+    """Ledger rows add up to the load; a batch's keys lie between its first and last key."""
+    staged, paths = work_path(spark, "staged"), load.LoadPaths(work_path(spark, "load"))
+    events = _events(spark, sf_dir)
+    _stage(events, staged)
+    _load(spark, staged, events.schema, paths)
+    return load.read_ledger(spark, paths).groupBy("index_name").agg(
+        F.count("*").alias("n_batches"), F.sum("n_accepted").alias("n_accepted"), F.sum("n_rejected").alias("n_rejected"),
+        F.min(F.col("first_key").cast("long")).alias("first_key"), F.max(F.col("last_key").cast("long")).alias("last_key"),
+    )
+
+
 CHANGE_COLUMNS = ["user_id", "ts", "event_id", "event_type", "value"]
 
 
@@ -130,6 +157,11 @@ ORACLES = {
     "ledger": """SELECT 'events' AS index_name, 'completed' AS status, count(*) FILTER (event_id % 11 <> 0) AS migrated,
       count(*) FILTER (event_id % 11 = 0) AS rejected, count(*) AS total,
       round(count(*) FILTER (event_id % 11 <> 0) * 100.0::DOUBLE / count(*), 4) AS progress_pct FROM events""",
+    "stream_start_over": """SELECT substring(event_type, 1, 5) AS kind, count(*) AS n_rows, g::INTEGER AS generation
+      FROM events, range(2) AS r(g) WHERE event_id % 11 <> 0 GROUP BY 1, 3""",
+    "ledger_batches": """SELECT 'events' AS index_name, 4::BIGINT AS n_batches, count(*) FILTER (event_id % 11 <> 0) AS n_accepted,
+      count(*) FILTER (event_id % 11 = 0) AS n_rejected, min(event_id) FILTER (event_id % 11 <> 0) AS first_key,
+      max(event_id) FILTER (event_id % 11 <> 0) AS last_key FROM events""",
     "stream_resume": """SELECT substring(event_type, 1, 5) AS kind, count(*) AS n_rows, count(DISTINCT event_id) AS n_ids,
       CAST(sum(user_id) AS BIGINT) AS user_sum FROM events WHERE event_id % 11 <> 0 GROUP BY 1""",
     "stream_rejects": "SELECT event_id AS id, 'bad value in props' AS reason FROM events WHERE event_id % 11 = 0",

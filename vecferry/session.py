@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -46,3 +46,10 @@ def work_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing is ever written twice to one."""
     return f"{work_root(spark)}/vecferry-{name}-{uuid.uuid4().hex}"
+
+
+def written(table: DataFrame, name: str) -> DataFrame:
+    """The table written once to the shared folder: for what several later steps read, or costly work is behind."""
+    path = work_path(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.parquet(path)
