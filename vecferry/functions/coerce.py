@@ -89,6 +89,26 @@ def to_json_text(column: Column, source_type: T.DataType) -> Column:
     return as_json(F.struct(column.alias("value")))
 
 
+def _always_fits(source_type: T.DataType, target: str) -> bool:
+    if isinstance(source_type, T.BooleanType):
+        return True
+    if target not in BOUNDS:
+        return isinstance(source_type, T.NumericType)
+    return isinstance(source_type, T.IntegralType) and BOUNDS[source_type.simpleString()][1] <= BOUNDS[target][1]
+
+
+def can_fail(source_type: T.DataType, spec: FieldSpec) -> bool:
+    """Whether a present value may turn out not to convert; other fields need no check per row."""
+    target = spec.target_type
+    if target in INTEGERS or target in FLOATS:
+        return not _always_fits(source_type, {**INTEGERS, **FLOATS}[target])
+    if target == "JSON":
+        return isinstance(source_type, T.StringType)
+    if target == "ARRAY":
+        return (spec.element_type or "VARCHAR") != "VARCHAR"
+    return spec.is_vector and not isinstance(source_type, T.BinaryType)
+
+
 def to_number(column: Column, source_type: T.DataType, target: str) -> Column:
     """Cast that is null where the value does not fit; fractions are cut off.
 
@@ -97,6 +117,8 @@ def to_number(column: Column, source_type: T.DataType, target: str) -> Column:
     """
     if isinstance(source_type, T.StringType):
         return F.when(F.trim(column).rlike(INTEGER_TEXT if target in BOUNDS else NUMBER_TEXT), column.try_cast(target))
+    if _always_fits(source_type, target):
+        return column.cast(target)
     if target not in BOUNDS or not isinstance(source_type, (T.FractionalType, T.IntegralType)):
         return column.try_cast(target)
     low, high = BOUNDS[target]

@@ -164,13 +164,16 @@ def unsupported_features(features: DataFrame) -> DataFrame:
 
 def schema_warnings(conversions: DataFrame, unsupported: DataFrame) -> DataFrame:
     """Type, lossy, missing-key and feature warnings in one table."""
-    of_type = conversions.select(
-        "index_name", "field_name", F.lit("type_mapping").alias("category"),
-        F.explode("type_warnings").alias("message"),
+    def warning(category: str, message: Column) -> Column:
+        return F.struct(F.lit(category).alias("category"), message.alias("message"))
+
+    lossy_text = F.concat(F.lit("field '"), "field_name", F.lit("' ("), "edm_type", F.lit(") loses precision"))
+    per_field = F.concat(
+        F.transform("type_warnings", lambda message: warning("type_mapping", message)),
+        F.array_compact(F.array(F.when(F.col("confidence") == "lossy", warning("type_lossy", lossy_text)))),
     )
-    lossy = conversions.filter(F.col("confidence") == "lossy").select(
-        "index_name", "field_name", F.lit("type_lossy").alias("category"),
-        F.concat(F.lit("field '"), "field_name", F.lit("' ("), "edm_type", F.lit(") loses precision")).alias("message"),
+    of_fields = conversions.select("index_name", "field_name", F.explode(per_field).alias("w")).select(
+        "index_name", "field_name", "w.category", "w.message"
     )
     keyless = (
         conversions.groupBy("index_name").agg(F.bool_or("is_primary_key").alias("has_key"))
@@ -183,7 +186,7 @@ def schema_warnings(conversions: DataFrame, unsupported: DataFrame) -> DataFrame
     of_feature = unsupported.select(
         "index_name", F.lit("").alias("field_name"), F.lit("unsupported_feature").alias("category"), "message"
     )
-    return of_type.unionByName(lossy).unionByName(keyless).unionByName(of_feature)
+    return of_fields.unionByName(keyless).unionByName(of_feature)
 
 
 def schema_summary(conversions: DataFrame, unsupported: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecferry.functions.coerce import FieldSpec, convert, default_value, spark_type
+from vecferry.functions.coerce import FieldSpec, can_fail, convert, default_value, spark_type
 
 REASON = "_reject_reason"
 MAX_FIELDS = 10_000
@@ -75,12 +75,14 @@ def transform_documents(
     for position, spec in enumerate(specs):
         present = spec.source in source_types
         source = F.col(_quoted(spec.source)) if present else F.lit(None)
+        source_type = source_types.get(spec.source, T.NullType())
         value, missing = F.col(f"_v{position}"), F.col(f"_n{position}")
         converted += [
-            convert(source, source_types.get(spec.source, T.NullType()), spec).alias(f"_v{position}"),
+            convert(source, source_type, spec).alias(f"_v{position}"),
             source.isNull().alias(f"_n{position}"),
         ]
-        reasons.append(F.when(~missing & value.isNull(), F.lit(f"bad value in {spec.source}")))
+        if present and can_fail(source_type, spec):
+            reasons.append(F.when(~missing & value.isNull(), F.lit(f"bad value in {spec.source}")))
         if spec.is_key:
             reasons.append(F.when(missing, F.lit(f"missing key {spec.source}")))
         if spec.dim and spec.target_type == "FLOAT_VECTOR":
