@@ -11,6 +11,7 @@ A last window picks the best k of what the tasks kept.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,8 @@ from pyspark.sql.window import Window
 MAX_BROADCAST_QUERIES = 16_384
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 16_384  # of items and of queries: equal blocks copy the least data for the memory of a task
-CELLS_PER_STEP = 2_000_000  # size of the score matrix one step works on
+SMALLEST_BLOCK = 256
+CELLS_PER_STEP = 4_000_000  # size of the score matrix one step works on
 DIGITS = 6
 
 
@@ -159,48 +161,102 @@ class Sparse:
         return scores.reshape(rows.num_rows, n_queries)
 
 
+def _places(*sorted_keys: np.ndarray) -> np.ndarray:
+    """Position of every row in its run of equal keys."""
+    at = np.arange(len(sorted_keys[0]))
+    changed = np.ones(len(at), dtype=bool)
+    changed[1:] = np.logical_or.reduce([key[1:] != key[:-1] for key in sorted_keys])
+    return at - np.maximum.accumulate(np.where(changed, at, 0))
+
+
+class _Found(NamedTuple):
+    """Query position, cost (lower is better) and item columns of candidate rows."""
+
+    query: np.ndarray
+    cost: np.ndarray
+    rows: pa.Table
+
+
 class _Keeper:
     """The rows of one task that may still be among the results."""
 
-    def __init__(self, scorer, query_ids, state, id_column, carry, k, group, band):
-        self.scorer, self.query_ids, self.state = scorer, query_ids, state
+    def __init__(self, scorer, queries: pa.Table, id_column, carry, k, group, band):
+        self.scorer, self.state = scorer, scorer.prepare(queries)
+        self.query_ids = queries.column("query_id").combine_chunks()
         self.id_column, self.carry, self.k, self.group, self.band = id_column, carry, k, group, band
         self.sign = -1.0 if scorer.descending else 1.0
-        self.kept: pd.DataFrame | None = None
-
-    def scored(self, rows: pa.Table) -> Iterator[pd.DataFrame]:
-        step = max(1, CELLS_PER_STEP // max(len(self.query_ids), 1))
-        for start in range(0, rows.num_rows, step):
-            part = rows.slice(start, step)
-            scores = np.round(self.scorer.score(self.state, part), DIGITS) + 0.0
-            wanted = ~np.isnan(scores)
-            if self.band is not None:
-                wanted &= (scores >= self.band[0]) & (scores < self.band[1])
-            elif self.k is not None and self.group is None and len(scores) > self.k:
-                cost = np.where(wanted, self.sign * scores, np.inf)
+        self.kept: _Found | None = None
+        self.worst = np.full(len(self.query_ids), np.inf)  # cost of the k-th best so far
+        self.worst_id: np.ndarray | None = None
+
+    def _ids(self, rows: pa.Table) -> np.ndarray:
+        ids = rows.column(self.id_column).to_pandas()
+        return ids.to_numpy() if ids.dtype.kind in "iu" else ids.rank(method="dense").to_numpy()
+
+    def _candidates(self, rows: pa.Table) -> _Found:
+        scores = np.round(self.scorer.score(self.state, rows), DIGITS) + 0.0
+        cost = np.where(np.isnan(scores), np.inf, self.sign * scores)
+        if self.band is not None:
+            wanted = (scores >= self.band[0]) & (scores < self.band[1])
+        else:
+            wanted = cost < np.inf
+        if self.k is not None and self.group is None:
+            if self.worst_id is not None:
+                earlier = rows.column(self.id_column).to_numpy()[:, None] < self.worst_id[None, :]
+                wanted &= (cost < self.worst) | ((cost == self.worst) & earlier)
+            else:
+                wanted &= cost <= self.worst
+            if len(cost) > self.k and wanted.sum() > 4 * self.k * len(self.worst):
                 wanted &= cost <= np.partition(cost, self.k - 1, axis=0)[self.k - 1]
-            item, query = np.nonzero(wanted)
-            plain = part.select([self.id_column, *self.carry]).take(pa.array(item)).to_pandas()
-            plain.insert(0, "query_id", self.query_ids[query])
-            plain["score"] = scores[item, query]
-            yield plain
-
-    def best(self, found: pd.DataFrame) -> pd.DataFrame:
-        keys = ["query_id"] + ([self.group] if self.group else [])
-        ordered = found.assign(_cost=self.sign * found["score"]).sort_values(["_cost", self.id_column], kind="stable")
-        return ordered.groupby(keys, sort=False, dropna=False).head(self.k).drop(columns="_cost")
-
-    def run(self, tables: Iterator[pa.Table]) -> Iterator[pd.DataFrame]:
+        item, query = np.nonzero(wanted)
+        plain = rows.select([self.id_column, *self.carry])
+        return _Found(query, cost[item, query], plain.take(pa.array(item)))
+
+    def _keep(self, found: _Found) -> None:
+        if self.kept is not None:
+            found = _Found(
+                np.concatenate([self.kept.query, found.query]), np.concatenate([self.kept.cost, found.cost]),
+                pa.concat_tables([self.kept.rows, found.rows]),
+            )
+        if not len(found.query):
+            return
+        runs = [found.query]
+        if self.group:
+            runs.append(pd.factorize(found.rows.column(self.group).to_pandas())[0])
+        order = np.lexsort((self._ids(found.rows), found.cost, *reversed(runs)))
+        order = order[_places(*[run[order] for run in runs]) < self.k]
+        self.kept = _Found(found.query[order], found.cost[order], found.rows.take(pa.array(order)))
+        if not self.group:
+            self._remember_worst()
+
+    def _remember_worst(self) -> None:
+        query, cost, rows = self.kept
+        counts = np.bincount(query, minlength=len(self.worst))
+        full = np.flatnonzero(counts == self.k)
+        last = np.cumsum(counts)[full] - 1
+        self.worst[full] = cost[last]
+        if pa.types.is_integer(rows.schema.field(self.id_column).type):
+            if self.worst_id is None:
+                self.worst_id = np.full(len(self.worst), np.iinfo(np.int64).max)
+            self.worst_id[full] = rows.column(self.id_column).to_numpy()[last]
+
+    def _result(self, found: _Found, schema: pa.Schema) -> pa.Table:
+        columns = [self.query_ids.take(pa.array(found.query)), *found.rows.columns, pa.array(self.sign * found.cost + 0.0)]
+        return pa.table(columns, names=schema.names).cast(schema)
+
+    def run(self, tables: Iterator[pa.Table], schema: pa.Schema) -> Iterator[pa.Table]:
+        step = max(1, CELLS_PER_STEP // max(len(self.worst), 1))
         for rows in tables:
             # Absent vectors are left out here: as a filter in the plan this would work out a computed column twice.
-            for found in self.scored(rows.filter(pc.is_valid(rows.column(self.scorer.columns[0])))):
+            present = rows.filter(pc.is_valid(rows.column(self.scorer.columns[0])))
+            for start in range(0, present.num_rows, step):
+                found = self._candidates(present.slice(start, step))
                 if self.k is None:
-                    yield found
+                    yield self._result(found, schema)
                 else:
-                    pool = found if self.kept is None else pd.concat([self.kept, found], ignore_index=True)
-                    self.kept = self.best(pool)
+                    self._keep(found)
         if self.kept is not None:
-            yield self.kept
+            yield self._result(self.kept, schema)
 
 
 def _fits(queries: DataFrame) -> pa.Table | None:
@@ -211,10 +267,6 @@ def _fits(queries: DataFrame) -> pa.Table | None:
     return head
 
 
-def _query_ids(queries: pa.Table) -> np.ndarray:
-    return queries.column("query_id").to_pandas().to_numpy()
-
-
 def matches(
     items: DataFrame, queries: DataFrame, scorer, id_column: str, carry: list[str] | None = None, k: int | None = None,
     group: str | None = None, band: tuple[float, float] | None = None, broadcast: bool | None = None,
@@ -234,7 +286,7 @@ def matches(
     arrow_out = to_arrow_schema(out)
 
     def keeper(query_table: pa.Table) -> _Keeper:
-        return _Keeper(scorer, _query_ids(query_table), scorer.prepare(query_table), id_column, carry, k, group, band)
+        return _Keeper(scorer, query_table, id_column, carry, k, group, band)
 
     small = None if broadcast is False else _fits(queries)
     if small is not None:
@@ -255,8 +307,8 @@ def _scan(items: DataFrame, queries: pa.Table, keeper: Callable, out: T.StructTy
         if shared.value.num_rows == 0:
             return
         tables = (pa.Table.from_batches([b]) for b in batches if b.num_rows)
-        for frame in keeper(shared.value).run(tables):
-            yield from pa.Table.from_pandas(frame, schema=arrow_out, preserve_index=False).to_batches()
+        for found in keeper(shared.value).run(tables, arrow_out):
+            yield from found.to_batches()
 
     return items.mapInArrow(score, out)
 
@@ -265,8 +317,10 @@ def _meet_in_blocks(
     items: DataFrame, queries: DataFrame, keeper: Callable, id_column: str, out: T.StructType, arrow_out: pa.Schema
 ) -> DataFrame:
     n_queries, n_items = queries.count(), items.count()
-    query_blocks = max(1, -(-n_queries // BLOCK_ROWS))
-    item_blocks = max(1, -(-n_items // BLOCK_ROWS))
+    tasks = 4 * items.sparkSession.sparkContext.defaultParallelism
+    block_rows = min(BLOCK_ROWS, max(SMALLEST_BLOCK, int((n_items * n_queries / tasks) ** 0.5)))
+    query_blocks = max(1, -(-n_queries // block_rows))
+    item_blocks = max(1, -(-n_items // block_rows))
 
     def block(column: str, blocks: int):
         return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
@@ -281,7 +335,6 @@ def _meet_in_blocks(
         empty = arrow_out.empty_table()
         if not item_rows.num_rows or not query_rows.num_rows:
             return empty
-        frames = keeper(query_rows).run(iter([item_rows]))
-        return pa.concat_tables([empty, *[pa.Table.from_pandas(f, schema=arrow_out, preserve_index=False) for f in frames]])
+        return pa.concat_tables([empty, *keeper(query_rows).run(iter([item_rows]), arrow_out)])
 
     return left.groupBy("_ib", "_qb").cogroup(right.groupBy("_ib", "_qb")).applyInArrow(score, out)
