@@ -81,6 +81,25 @@ def test_filter_and_groups(vectors, queries):
     same(got(search.knn(vectors, queries, 3, group="label")), expected("COSINE", 3, group=lambda i: i % 4))
 
 
+def test_groups_beyond_the_kept_rows(vectors, queries, monkeypatch):
+    from vecferry.operators import scoring
+
+    monkeypatch.setattr(scoring, "MAX_KEPT", 10)
+    monkeypatch.setattr(scoring, "CELLS_PER_STEP", 90)
+    each = vectors.withColumn("own", F.col("id"))
+    assert search.knn(each, queries, 2, group="own").count() == len(ITEMS) * len(QUERIES)
+    same(got(search.knn(vectors, queries, 3, group="label")), expected("COSINE", 3, group=lambda i: i % 4))
+
+
+def test_text_ids_break_ties_in_order(spark):
+    rows = [(name, [1.0, 0.0]) for name in ("d", "b", "a", "c")] + [("z", [0.0, 1.0])]
+    items = spark.createDataFrame(rows, "id string, vector array<double>").repartition(3)
+    asked = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, vector array<double>")
+    for broadcast in (None, False):
+        found = search.knn(items, asked, 3, broadcast=broadcast).orderBy("rank").collect()
+        assert [r.id for r in found] == ["a", "b", "c"]
+
+
 def test_range_search(vectors, queries):
     everything = expected("L2", len(ITEMS))
     wanted = {q: [(i, s) for i, s in pairs if 2.0 <= s < 3.0] for q, pairs in everything.items()}

@@ -46,6 +46,20 @@ def test_partition_layout_prunes_and_keeps_all_rows(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(t_bucket" in one._jdf.queryExecution().toString()
 
 
+def test_layout_leaves_sizes_to_spark(spark):
+    plan = tg.balanced(spark.range(10).withColumn("t", F.hex("id")), "t")._jdf.queryExecution().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "hashpartitioning(t" in plan
+
+
+def test_small_scans_are_spread_and_large_ones_left_alone(spark):
+    from vecferry.plans.tables import spread
+
+    small = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert spread(small, "doc_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 100, 1, 70)
+    assert spread(many, "id").rdd.getNumPartitions() == 70
+
+
 def test_other_key_types_are_written_plainly(spark, tmp_path):
     key = FieldSpec("tags", "tags", "ARRAY", element_type="VARCHAR")
     rows = spark.range(3).select("id", F.array(F.lit("a")).alias("tags"))

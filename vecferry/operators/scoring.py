@@ -28,6 +28,7 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 16_384  # of items and of queries: equal blocks copy the least data for the memory of a task
 SMALLEST_BLOCK = 256
 CELLS_PER_STEP = 4_000_000  # size of the score matrix one step works on
+MAX_KEPT = 500_000  # rows a task holds back for groups
 DIGITS = 6
 
 
@@ -255,6 +256,10 @@ class _Keeper:
                     yield self._result(found, schema)
                 else:
                     self._keep(found)
+                    if self.group and self.kept is not None and len(self.kept.query) > MAX_KEPT:
+                        # Groups have no bound: hand on what is kept; the last window still sees every candidate.
+                        yield self._result(self.kept, schema)
+                        self.kept = None
         if self.kept is not None:
             yield self._result(self.kept, schema)
 
