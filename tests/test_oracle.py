@@ -4,9 +4,10 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from vecferry.plans import registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 ROWS_ONLY = {"ann_ivf", "recall_at_k", "quantize_pq", "pq_search"}
 
 

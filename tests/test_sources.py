@@ -119,3 +119,10 @@ def test_work_folder_follows_the_setting(spark):
     root = session.work_root(spark)
     assert session.work_path(spark, "x").startswith(f"{root}/vecferry-x-")
     assert session.work_path(spark, "x") != session.work_path(spark, "x")
+
+
+def test_clear_work_deletes_working_files(spark):
+    frame = session.written(spark.range(3), "cleared")
+    assert frame.count() == 3
+    assert session.clear_work(spark) >= 1
+    assert session.clear_work(spark) == 0

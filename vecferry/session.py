@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,17 +29,9 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def work_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder of this machine: on a cluster the
-    executors would each see a different one.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``, else one below the warehouse, which executors share too."""
     configured = _configured_checkpoint_dir(spark)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    return tempfile.gettempdir()
+    return configured.rstrip("/") if configured else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/vecferry-work"
 
 
 def work_path(spark: SparkSession, name: str) -> str:
@@ -53,3 +44,14 @@ def written(table: DataFrame, name: str) -> DataFrame:
     path = work_path(table.sparkSession, name)
     table.write.parquet(path)
     return table.sparkSession.read.parquet(path)
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Deletes the working files below the shared folder; returns how many folders went.
+
+    Results that still read them become invalid, so this is for the end of a job.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{work_root(spark)}/vecferry-*")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.globStatus(path) or []
+    return sum(bool(system.delete(status.getPath(), True)) for status in found)
