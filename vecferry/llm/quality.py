@@ -58,14 +58,14 @@ def char_places(text: str) -> np.ndarray:
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     three = c[:-2] * np.uint32(MIX[0]) + c[1:-1] * np.uint32(MIX[1]) + c[2:] * np.uint32(MIX[2]) if len(c) > 2 else c[:0]
     four = three[:-1] * np.uint32(MIX[3]) + c[3:] * np.uint32(MIX[0])
-    mixed = np.concatenate([three, four])
+    mixed = np.concatenate([three[:SLAB_CHARS], four[:SLAB_CHARS]])
     return ((mixed ^ (mixed >> np.uint32(15))) * np.uint32(MIX[1]) >> np.uint32(32 - BITS)).astype(np.int64) + PLACES
 
 
 def _slabs(text: str) -> Iterator[str]:
-    """Parts of a very long text that overlap so that each n-gram is whole in exactly one."""
+    """Parts of a very long text, with the three code points behind, so that each n-gram is whole where it starts."""
     for at in range(0, max(1, len(text)), SLAB_CHARS):
-        yield text[at : at + SLAB_CHARS + (2 if at + SLAB_CHARS < len(text) else 0)]
+        yield text[at : at + SLAB_CHARS + 3]
 
 
 def score(text: str, crcs: np.ndarray, weights: np.ndarray) -> float:
