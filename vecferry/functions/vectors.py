@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,19 +64,29 @@ def pack_bytes(values: Column) -> Column:
 
 
 def sign_bits(vector: Column, dim: int) -> Column:
-    """One bit per dimension (set when positive), eight to a byte, first dimension highest."""
+    """One bit per dimension (set when positive), eight to a byte, first dimension highest; the last byte ends in zeros."""
 
     def byte(start: Column) -> Column:
-        return F.aggregate(
-            F.slice(vector, start * 8 + 1, 8), F.lit(0), lambda bits, x: bits * 2 + (x > 0).cast("int")
-        )
+        part = F.slice(vector, start * 8 + 1, 8)
+        bits = F.aggregate(part, F.lit(0), lambda bits, x: bits * 2 + (x > 0).cast("int"))
+        return bits * F.pow(F.lit(2), F.lit(8) - F.size(part)).cast("int")
 
-    return F.transform(F.sequence(F.lit(0), F.lit(dim // 8 - 1)), byte)
+    return F.transform(F.sequence(F.lit(0), F.lit(-(-dim // 8) - 1)), byte)
 
 
-@F.pandas_udf(T.BinaryType())
-def _pack_half(vectors: pd.Series) -> pd.Series:
-    return vectors.map(lambda v: None if v is None else np.asarray(v, dtype="<f2").tobytes())
+def _half_floats(values: pa.Array) -> pa.Array:
+    """Flattened once and converted once; each vector is a slice of the bytes."""
+    lengths = pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False)
+    flat = pc.list_flatten(values).to_numpy(zero_copy_only=False).astype("<f2")
+    ends = 2 * np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    missing = values.is_null().to_numpy(zero_copy_only=False)
+    packed = pa.BinaryArray.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(flat.tobytes())])
+    return pc.if_else(pa.array(missing), pa.scalar(None, pa.binary()), packed)
+
+
+@F.arrow_udf(T.BinaryType())
+def _pack_half(vectors: pa.Array) -> pa.Array:
+    return _half_floats(vectors)
 
 
 def pack_float16(vector: Column) -> Column:

@@ -1,39 +1,114 @@
-"""Approximate search as data work: coarse cells with probing, 8-bit codes, product codes, recall."""
+"""Approximate search as data work: coarse cells with probing, 8-bit codes, product codes, recall.
+
+Centres come from k-means over every vector: the start is the vectors of lowest id digest, a round is one pass that sums
+the vectors of each centre, and centres are rounded. So the result depends on the table alone, not on its layout.
+"""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans, KMeansModel
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from vecferry.operators.scoring import Dense, ProbedCells, matches
+from vecferry.functions import vectors as ve
+from vecferry.operators.scoring import Dense, matches, matches_by_cell
 from vecferry.operators.search import knn
+from vecferry.session import written
 from vecferry.sources.target import balanced
 
-TRAIN_ROWS_PER_CENTRE = 256
-ROWS_PER_TRAIN_PARTITION = 16_384
-ITERATIONS = 12
-FITS_AT_ONCE = 8
-
-
-def training_sample(vectors: DataFrame, vector: str, centres: int, seed: int) -> DataFrame:
-    """A bounded sample to place centres with; every vector is assigned to them later."""
-    rows = vectors.select(F.col(vector).cast("array<double>").alias(vector))
-    wanted, total = centres * TRAIN_ROWS_PER_CENTRE, rows.count()
-    sample = rows.sample(wanted / total, seed) if total > wanted else rows
-    return sample.repartition(1 + min(wanted, total) // ROWS_PER_TRAIN_PARTITION).cache()
-
-
-def _fit(sample: DataFrame, column: Column, centres: int, seed: int) -> KMeansModel:
-    rows = sample.select(array_to_vector(column).alias("features"))
-    return KMeans(k=centres, seed=seed, maxIter=ITERATIONS, featuresCol="features").fit(rows)
+ROUNDS = 6
+DIGITS = 6
+STEP = 4096  # rows that one step of an assignment works on
+
+
+def slices(dim: int, parts: int) -> list[tuple[int, int]]:
+    """First value and width of each part; the first ``dim % parts`` parts have one value more."""
+    width, more = divmod(dim, parts)
+    widths = [width + (p < more) for p in range(parts)]
+    return [(sum(widths[:p]), widths[p]) for p in range(parts)]
+
+
+def _matrix(batch: pa.RecordBatch, vector: str) -> np.ndarray:
+    column = batch.column(vector)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
+def nearest_centres(rows: np.ndarray, books: list[np.ndarray]) -> np.ndarray:
+    """(row, part) -> nearest centre of the part; ties go to the lower centre."""
+    out = np.empty((len(rows), len(books)), np.int32)
+    at = 0
+    for part, book in enumerate(books):
+        width = book.shape[1]
+        for start in range(0, len(rows), STEP):
+            piece = rows[start : start + STEP, at : at + width]
+            far = ((piece[:, None, :] - book[None]) ** 2).sum(axis=2) if width * len(book) <= 4096 else (
+                (piece**2).sum(axis=1)[:, None] + (book**2).sum(axis=1)[None] - 2 * piece @ book.T)
+            out[start : start + STEP, part] = far.argmin(axis=1)
+        at += width
+    return out
+
+
+def fit_centres(vectors: DataFrame, dim: int, parts: int, centres: int, id_column: str = "id", vector: str = "vector", rounds: int = ROUNDS) -> list[np.ndarray]:
+    """k-means for each slice of the vectors, over all of them; (centre, value) per part.
+
+    What reaches the driver is the centres themselves: ``centres`` vectors at the start and their sums in each round.
+    A centre to which no vector goes stays where it is.
+    """
+    present = vectors.filter(F.col(vector).isNotNull()).select(F.col(id_column).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    start = present.orderBy(F.md5(F.col("id").cast("string").cast("binary")), "id").limit(centres).collect()
+    whole = np.array([r.v for r in start]).reshape(len(start), -1)
+    if len(start) and whole.shape[1] != dim:
+        raise ValueError(f"vectors have {whole.shape[1]} dimensions, not {dim}")
+    books = [whole[:, at : at + width].copy() if len(start) else np.zeros((0, width)) for at, width in slices(dim, parts)]
+    if not len(start):
+        return books
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = [np.zeros_like(book) for book in books]
+        count = [np.zeros(len(book), np.int64) for book in books]
+        for batch in batches:
+            if batch.num_rows:
+                rows = _matrix(batch, "v")
+                near, at = nearest_centres(rows, books), 0
+                for part, book in enumerate(books):
+                    np.add.at(total[part], near[:, part], rows[:, at : at + book.shape[1]])
+                    count[part] += np.bincount(near[:, part], minlength=len(book))
+                    at += book.shape[1]
+        keys = [(part, c) for part in range(len(books)) for c in np.flatnonzero(count[part]).tolist()]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([p for p, _ in keys], pa.int32()), pa.array([c for _, c in keys], pa.int32()),
+            pa.array([int(count[p][c]) for p, c in keys], pa.int64()), pa.array([total[p][c].tolist() for p, c in keys], pa.list_(pa.float64())),
+        ], names=["part", "centre", "n", "total"])
+
+    for _ in range(rounds):
+        found = present.select("v").mapInArrow(sums, "part int, centre int, n long, total array<double>")
+        mean = vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total")
+        for r in found.groupBy("part", "centre").agg(F.sum("n").alias("n"), mean).collect():  # at most parts x centres rows
+            books[r.part][r.centre] = np.round(np.array(r.total) / r.n, DIGITS)
+    return books
+
+
+def assigned(vectors: DataFrame, books: list[np.ndarray], vector: str = "vector", codes: str = "codes") -> DataFrame:
+    """Adds the nearest centre of every slice in one Arrow pass; null for a null vector."""
+
+    @F.arrow_udf("array<int>")
+    def code(column: pa.Array) -> pa.Array:
+        present = column.is_valid().to_numpy(zero_copy_only=False)
+        rows = column.drop_null()
+        near = nearest_centres(rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), -1), books) if len(rows) else np.zeros((0, len(books)), np.int32)
+        offsets = np.concatenate([[0], np.cumsum(present * len(books))]).astype(np.int32)
+        whole = pa.ListArray.from_arrays(pa.array(offsets), pa.array(near.ravel()))
+        return pc.if_else(pa.array(present), whole, pa.scalar(None, whole.type))
+
+    return vectors.withColumn(codes, code(F.col(vector).cast("array<double>")))
 
 
 @dataclass
@@ -42,37 +117,36 @@ class CellIndex:
     centres: DataFrame  # id, vector; one row per cell
 
 
-def build_cells(vectors: DataFrame, path: str, n_cells: int, vector: str = "vector", seed: int = 42) -> CellIndex:
+def build_cells(vectors: DataFrame, path: str, n_cells: int, dim: int, id_column: str = "id", vector: str = "vector") -> CellIndex:
     """Every vector goes to its nearest centre; the table is laid out by cell, big cells over several files."""
-    spark = vectors.sparkSession
     present = vectors.filter(F.col(vector).isNotNull())
-    sample = training_sample(present, vector, n_cells, seed)
-    model = _fit(sample, F.col(vector), n_cells, seed)
-    sample.unpersist()
-    placed = model.setFeaturesCol("_features").setPredictionCol("cell").transform(
-        present.withColumn("_features", array_to_vector(F.col(vector).cast("array<double>")))
-    ).drop("_features")
+    books = fit_centres(present, dim, 1, n_cells, id_column, vector)
+    placed = assigned(present, books, vector, "_cells").withColumn("cell", F.col("_cells")[0]).drop("_cells")
     balanced(placed, "cell").write.partitionBy("cell").parquet(path)
-    rows = pa.table({"id": list(range(n_cells)), vector: [c.tolist() for c in model.clusterCenters()]})
-    return CellIndex(path, spark.createDataFrame(rows))
+    rows = pa.table({"id": list(range(len(books[0]))), vector: [c.tolist() for c in books[0]]})
+    schema = f"id long, {vector} array<double>"
+    return CellIndex(path, vectors.sparkSession.createDataFrame(rows, schema))
 
 
 def probe(index: CellIndex, queries: DataFrame, n_probe: int, vector: str = "vector") -> DataFrame:
-    """The nearest cells of every query."""
+    """One row per query and each of its nearest cells."""
     nearest = knn(index.centres, queries, n_probe, "L2", "id", vector)
-    cells = nearest.groupBy("query_id").agg(F.collect_list(F.col("id").cast("int")).alias("cells"))
-    return queries.join(cells, "query_id")
+    return queries.join(nearest.select("query_id", F.col("id").cast("int").alias("cell")), "query_id")
 
 
 def ann_search(
     index: CellIndex, queries: DataFrame, k: int, n_probe: int, metric: str = "COSINE", id_column: str = "id", vector: str = "vector"
 ) -> DataFrame:
-    """Best k among the probed cells; cells that no query probes are not read."""
+    """Best k among the probed cells; items meet only the queries that probe their cell.
+
+    The probes are written once: how many cells each query probes is a parameter, so they are as few as the queries.
+    Cells that no query probes are not read.
+    """
     spark = queries.sparkSession
-    probed = probe(index, queries, n_probe, vector)
-    wanted = [r.cell for r in probed.select(F.explode("cells").alias("cell")).distinct().collect()]
+    probed = written(probe(index, queries, n_probe, vector), "probed")
+    wanted = [r.cell for r in probed.select("cell").distinct().collect()]  # at most as many as there are cells
     items = spark.read.parquet(index.path).filter(F.col("cell").isin(wanted))
-    return matches(items, probed, ProbedCells(metric, vector), id_column, k=k)
+    return matches_by_cell(items, probed, Dense(metric, vector), id_column, k)
 
 
 def recall_at_k(found: DataFrame, exact: DataFrame, id_column: str = "id") -> DataFrame:
@@ -107,57 +181,44 @@ def quantize_sq8(vectors: DataFrame, vector: str = "vector", code: str = "code")
 class ProductCodes(Dense):
     """Scores of product codes from per-query tables: L2, or inner product for the other metrics."""
 
-    def __init__(self, metric: str, codebooks: np.ndarray, column: str = "codes"):
+    def __init__(self, metric: str, books: list[np.ndarray], column: str = "codes"):
         super().__init__(metric, column)
-        self.codebooks = codebooks  # part, centre, value
+        self.books = books  # per part (centre, value)
 
-    def prepare(self, queries: pa.Table) -> np.ndarray:
-        parts, _, width = self.codebooks.shape
-        asked = np.stack(queries.column("vector").to_pylist()).reshape(-1, parts, 1, width)
-        if self.metric == "L2":
-            return ((asked - self.codebooks[None]) ** 2).sum(axis=3)
-        return (asked * self.codebooks[None]).sum(axis=3)
+    def prepare(self, queries: pa.Table) -> list[np.ndarray]:
+        asked, at, tables = np.stack(queries.column("vector").to_pylist()).astype(np.float64), 0, []
+        for book in self.books:
+            part = asked[:, None, at : at + book.shape[1]]
+            tables.append(((part - book[None]) ** 2).sum(axis=2) if self.metric == "L2" else (part * book[None]).sum(axis=2))
+            at += book.shape[1]
+        return tables
 
-    def score(self, tables: np.ndarray, rows: pa.Table) -> np.ndarray:
+    def score(self, tables: list[np.ndarray], rows: pa.Table) -> np.ndarray:
         codes = self._matrix(rows).astype(np.int64)
-        total = sum(tables[:, part, codes[:, part]] for part in range(codes.shape[1])).T
+        total = sum(table[:, codes[:, part]] for part, table in enumerate(tables)).T
         return np.sqrt(total) if self.metric == "L2" else total
 
 
-def train_product_codes(vectors: DataFrame, dim: int, parts: int, centres: int, vector: str = "vector", seed: int = 42):
-    """One set of centres per slice of the vector; the fits run side by side on one sample."""
-    width = dim // parts
-    sample = training_sample(vectors.filter(F.col(vector).isNotNull()), vector, centres, seed)
-
-    def fit(part: int) -> KMeansModel:
-        return _fit(sample, F.slice(vector, part * width + 1, width), centres, seed)
-
-    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
-        models = list(pool.map(fit, range(parts)))
-    sample.unpersist()
-    return models
-
-
-def quantize_pq(vectors: DataFrame, models: list[KMeansModel], vector: str = "vector", codes: str = "codes") -> DataFrame:
-    """Nearest centre of every slice."""
-    coded = vectors
-    for part, model in enumerate(models):
-        width = len(model.clusterCenters()[0])
-        features = array_to_vector(F.slice(vector, part * width + 1, width).cast("array<double>"))
-        coded = model.setFeaturesCol("_features").setPredictionCol(f"_c{part}").transform(
-            coded.withColumn("_features", features)
-        ).drop("_features")
-    names = [f"_c{part}" for part in range(len(models))]
-    return coded.withColumn(codes, F.array(*names)).drop(*names)
-
-
-def codebooks(models: list[KMeansModel]) -> np.ndarray:
-    most = max(len(m.clusterCenters()) for m in models)
-    padded = [np.pad(np.stack(m.clusterCenters()), ((0, most - len(m.clusterCenters())), (0, 0))) for m in models]
-    return np.stack(padded)
+def quantize_pq(vectors: DataFrame, books: list[np.ndarray], vector: str = "vector", codes: str = "codes") -> DataFrame:
+    """Nearest centre of every slice; null for a null vector."""
+    return assigned(vectors, books, vector, codes)
 
 
 def pq_search(
-    coded: DataFrame, queries: DataFrame, models: list[KMeansModel], k: int, metric: str = "IP", id_column: str = "id"
+    coded: DataFrame, queries: DataFrame, books: list[np.ndarray], k: int, metric: str = "IP", id_column: str = "id",
+    refine: int = 1, vector: str = "vector",
 ) -> DataFrame:
-    return matches(coded, queries, ProductCodes(metric, codebooks(models)), id_column, k=k)
+    """Best k by product codes. With ``refine`` above 1 the best ``refine * k`` by codes are ranked by exact score.
+
+    Those candidates alone are joined with their vectors, ``refine * k`` rows per query.
+    """
+    found = matches(coded, queries, ProductCodes(metric, books), id_column, k=k * refine)
+    if refine == 1:
+        return found
+    asked = queries.select("query_id", F.col("vector").alias("_q"))
+    rows = found.select("query_id", id_column).join(coded.select(id_column, F.col(vector).alias("_v")), id_column).join(asked, "query_id")
+    exact = {"L2": ve.l2_distance, "COSINE": ve.cosine}.get(metric, ve.dot)(F.col("_v"), F.col("_q"))
+    scored = rows.select("query_id", id_column, F.round(exact, DIGITS).alias("score"))
+    best = F.col("score").asc() if metric == "L2" else F.col("score").desc()
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(best, F.col(id_column).asc()))
+    return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
