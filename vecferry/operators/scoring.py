@@ -26,6 +26,7 @@ from pyspark.sql.window import Window
 MAX_BROADCAST_QUERIES = 16_384
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 16_384  # of items and of queries: equal blocks copy the least data for the memory of a task
+BLOCK_BYTES = 32 * 1024 * 1024  # of items and of queries, measured over the columns that travel
 SMALLEST_BLOCK = 256
 CELLS_PER_STEP = 4_000_000  # size of the score matrix one step works on
 MAX_KEPT = 500_000  # rows a task holds back for groups
@@ -43,9 +44,11 @@ class Dense:
     def _matrix(self, rows: pa.Table) -> np.ndarray:
         column = rows.column(self.column).combine_chunks()
         if self.metric == "HAMMING":
-            raw = [np.frombuffer(b, dtype=np.uint8) for b in column.to_pylist()]
-            return np.unpackbits(np.stack(raw), axis=1).astype(np.float64) * 2 - 1
-        values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            raw = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8)
+            if len(raw) % len(column) or (pc.binary_length(column).to_numpy() != len(raw) // len(column)).any():
+                raise ValueError(f"vectors in {self.column} differ in length")
+            return np.unpackbits(raw.reshape(len(column), -1), axis=1).astype(np.float64) * 2 - 1
+        values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)  # a null element is NaN: no match
         if len(values) % len(column):
             raise ValueError(f"vectors in {self.column} differ in length")
         return values.reshape(len(column), -1)
@@ -67,43 +70,18 @@ class Dense:
         if self.metric == "L2":
             return np.sqrt(np.maximum(item_squares + query_squares - 2 * products, 0.0))
         lengths = np.sqrt(item_squares * query_squares)
-        return np.divide(products, lengths, out=np.zeros_like(products), where=lengths > 0)
-
-
-class ProbedCells(Dense):
-    """Dense scores of the items whose cell is among the cells a query probes; others do not match."""
-
-    def __init__(self, metric: str, column: str = "vector"):
-        super().__init__(metric, column)
-        self.columns = [column, "cell"]
-
-    def prepare(self, queries: pa.Table) -> tuple[np.ndarray, list[list[int]]]:
-        return self._matrix(queries), queries.column("cells").to_pylist()
-
-    def score(self, queries, rows: pa.Table) -> np.ndarray:
-        matrix, probed = queries
-        scores = np.full((rows.num_rows, len(matrix)), np.nan)
-        cells = rows.column("cell").to_numpy()
-        for cell in np.unique(cells):
-            here = np.flatnonzero(cells == cell)
-            asking = [position for position, wanted in enumerate(probed) if cell in wanted]
-            if asking:
-                scores[np.ix_(here, asking)] = super().score(matrix[asking], rows.take(pa.array(here)))
-        return scores
+        scores = np.divide(products, lengths, out=np.zeros_like(products), where=lengths > 0)
+        return np.where(np.isnan(products), np.nan, scores)
 
 
 class Sparse:
-    """Inner product over sparse vectors given as term and weight lists; only shared terms count.
-
-    With ``norm_column`` the items hold plain word lists, and a word that occurs tf times weighs
-    tf * (k1 + 1) / (tf + norm).
-    """
+    """Inner product over sparse vectors given as term and weight lists; only shared terms count."""
 
     descending = True
 
-    def __init__(self, terms: str = "terms", weights: str | None = "weights", norm_column: str | None = None, k1: float = 1.2):
-        self.terms, self.weights, self.norm_column, self.k1 = terms, weights, norm_column, k1
-        self.columns = [c for c in (terms, weights, norm_column) if c]
+    def __init__(self, terms: str = "terms", weights: str = "weights"):
+        self.terms, self.weights = terms, weights
+        self.columns = [terms, weights]
 
     def prepare(self, queries: pa.Table):
         terms = queries.column("terms").combine_chunks()
@@ -139,12 +117,7 @@ class Sparse:
         known = codes.is_valid().to_numpy(zero_copy_only=False)
         item = np.repeat(np.arange(len(terms)), pc.list_value_length(terms).to_numpy(zero_copy_only=False))[known]
         code = pc.fill_null(codes, 0).to_numpy(zero_copy_only=False).astype(np.int64)[known]
-        if self.norm_column is None:
-            return item, code, rows.column(self.weights).combine_chunks().flatten().to_numpy(zero_copy_only=False)[known]
-        pair, times = np.unique(item * max(len(vocabulary), 1) + code, return_counts=True)
-        item, code = np.divmod(pair, max(len(vocabulary), 1))
-        norm = rows.column(self.norm_column).to_numpy()[item]
-        return item, code, times * (self.k1 + 1) / (times + norm)
+        return item, code, rows.column(self.weights).combine_chunks().flatten().to_numpy(zero_copy_only=False)[known]
 
     def score(self, queries, rows: pa.Table) -> np.ndarray:
         vocabulary, starts, owner, weights, n_queries, grid = queries
@@ -265,11 +238,9 @@ class _Keeper:
 
 
 def _fits(queries: DataFrame) -> pa.Table | None:
-    """The query side if it is small enough to broadcast; it is never read beyond the bound."""
-    head = queries.limit(MAX_BROADCAST_QUERIES + 1).toArrow()
-    if head.num_rows > MAX_BROADCAST_QUERIES or head.nbytes > MAX_BROADCAST_BYTES:
-        return None
-    return head
+    """The query side if it is small enough to broadcast; it is measured before any row reaches the driver."""
+    n_rows, n_bytes = _measured(queries)
+    return queries.toArrow() if n_rows <= MAX_BROADCAST_QUERIES and n_bytes <= MAX_BROADCAST_BYTES else None
 
 
 def matches(
@@ -281,8 +252,15 @@ def matches(
     ``k``: the best k per query, or per query and ``group`` value. ``band``: all with low <= score < high.
     Neither: every score. Ties go to the lower id. ``broadcast=False`` forces the block way.
     """
+    wanted = [c for c in dict.fromkeys(carry or []) if c not in (group, id_column)]
+    if wanted and k is not None:
+        # A task may hold an item once per query and group: only ids travel, fields are fetched for what is left.
+        best = matches(items, queries, scorer, id_column, None, k, group, None, broadcast)
+        return best.join(items.select(id_column, *wanted), id_column).select(
+            "query_id", id_column, *[c for c in dict.fromkeys(carry) if c != id_column], *([group] if group and group not in carry else []), "score", "rank")
     carry = list(dict.fromkeys([*(carry or []), *([group] if group else [])]))
-    items = items.select(id_column, *carry, *[c for c in scorer.columns if c not in carry])
+    items = items.select(id_column, *[c for c in carry if c != id_column], *[c for c in scorer.columns if c not in carry])
+    carry = [c for c in carry if c != id_column]
     types = {f.name: f.dataType for f in items.schema.fields}
     out = T.StructType([
         T.StructField("query_id", queries.schema["query_id"].dataType), T.StructField(id_column, types[id_column]),
@@ -300,6 +278,10 @@ def matches(
         found = _meet_in_blocks(items, queries, keeper, id_column, out, arrow_out)
     if k is None:
         return found
+    return _best(found, scorer, id_column, k, group)
+
+
+def _best(found: DataFrame, scorer, id_column: str, k: int, group: str | None = None) -> DataFrame:
     order = [F.col("score").desc() if scorer.descending else F.col("score").asc(), F.col(id_column).asc()]
     window = Window.partitionBy("query_id", *([group] if group else [])).orderBy(*order)
     return found.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
@@ -318,28 +300,78 @@ def _scan(items: DataFrame, queries: pa.Table, keeper: Callable, out: T.StructTy
     return items.mapInArrow(score, out)
 
 
-def _meet_in_blocks(
-    items: DataFrame, queries: DataFrame, keeper: Callable, id_column: str, out: T.StructType, arrow_out: pa.Schema
-) -> DataFrame:
-    n_queries, n_items = queries.count(), items.count()
-    tasks = 4 * items.sparkSession.sparkContext.defaultParallelism
-    block_rows = min(BLOCK_ROWS, max(SMALLEST_BLOCK, int((n_items * n_queries / tasks) ** 0.5)))
-    query_blocks = max(1, -(-n_queries // block_rows))
-    item_blocks = max(1, -(-n_items // block_rows))
+def _measured(rows: DataFrame) -> tuple[int, int]:
+    """Rows, and their bytes as the sum of what their texts, lists and numbers take."""
+
+    def size(field: T.StructField):
+        column, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(column), F.lit(0)).cast("long")
+        if isinstance(kind, T.ArrayType):
+            if isinstance(kind.elementType, T.StringType):
+                return F.coalesce(F.octet_length(F.array_join(column, "____")), F.lit(0)).cast("long")
+            return F.coalesce(F.size(column), F.lit(0)).cast("long") * 8
+        return F.lit(8).cast("long")
+
+    total = sum((size(f) for f in rows.schema.fields[1:]), size(rows.schema.fields[0]))
+    found = rows.agg(F.count("*").alias("n"), F.sum(total).alias("bytes")).first()
+    return found.n, found.bytes or 0
 
-    def block(column: str, blocks: int):
-        return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
 
-    def every(blocks: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+def _block(column: str, blocks: int):
+    return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
 
-    left = items.withColumn("_ib", block(id_column, item_blocks)).withColumn("_qb", every(query_blocks))
-    right = queries.withColumn("_qb", block("query_id", query_blocks)).withColumn("_ib", every(item_blocks))
 
+def _every(blocks: int):
+    return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+
+def _meet(left: DataFrame, right: DataFrame, keys: list[str], keeper: Callable, out: T.StructType, arrow_out: pa.Schema) -> DataFrame:
     def score(item_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
         empty = arrow_out.empty_table()
         if not item_rows.num_rows or not query_rows.num_rows:
             return empty
         return pa.concat_tables([empty, *keeper(query_rows).run(iter([item_rows]), arrow_out)])
 
-    return left.groupBy("_ib", "_qb").cogroup(right.groupBy("_ib", "_qb")).applyInArrow(score, out)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, out)
+
+
+def _meet_in_blocks(
+    items: DataFrame, queries: DataFrame, keeper: Callable, id_column: str, out: T.StructType, arrow_out: pa.Schema
+) -> DataFrame:
+    """Every block of items meets every block of queries; a block is bounded in rows and in bytes."""
+    (n_queries, query_bytes), (n_items, item_bytes) = _measured(queries), _measured(items)
+    tasks = 4 * items.sparkSession.sparkContext.defaultParallelism
+    block_rows = min(BLOCK_ROWS, max(SMALLEST_BLOCK, int((n_items * n_queries / tasks) ** 0.5)))
+    query_blocks = max(1, -(-n_queries // block_rows), -(-query_bytes // BLOCK_BYTES))
+    item_blocks = max(1, -(-n_items // block_rows), -(-item_bytes // BLOCK_BYTES))
+    left = items.withColumn("_ib", _block(id_column, item_blocks)).withColumn("_qb", _every(query_blocks))
+    right = queries.withColumn("_qb", _block("query_id", query_blocks)).withColumn("_ib", _every(item_blocks))
+    return _meet(left, right, ["_ib", "_qb"], keeper, out, arrow_out)
+
+
+def matches_by_cell(items: DataFrame, queries: DataFrame, scorer, id_column: str, k: int) -> DataFrame:
+    """The best k items per query among those with its cell; ``queries`` has a row per query and cell.
+
+    Items and queries meet on the cell. A cell with many items is split by a salt, to each part of which its queries are
+    copied; its queries are split likewise, so a task holds a block of either at most.
+    """
+    n_queries, query_bytes = _measured(queries)
+    query_blocks = max(1, -(-n_queries // BLOCK_ROWS), -(-query_bytes // BLOCK_BYTES))
+    per_cell = items.groupBy("cell").agg(F.count("*").alias("_n"))
+    salts = per_cell.select(F.col("cell"), F.ceil(F.col("_n") / BLOCK_ROWS).cast("int").alias("_salts"))
+    columns = [id_column, *[c for c in scorer.columns if c != id_column]]
+    left = items.select("cell", *columns).join(salts, "cell").withColumn("_ib", F.pmod(F.xxhash64(id_column), F.col("_salts")).cast("int"))
+    left = left.drop("_salts").withColumn("_qb", _every(query_blocks))
+    right = queries.join(salts, "cell").withColumn("_ib", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
+    right = right.drop("_salts").withColumn("_qb", _block("query_id", query_blocks))
+    out = T.StructType([
+        T.StructField("query_id", queries.schema["query_id"].dataType), T.StructField(id_column, items.schema[id_column].dataType),
+        T.StructField("score", T.DoubleType()),
+    ])
+
+    def keeper(query_table: pa.Table) -> _Keeper:
+        return _Keeper(scorer, query_table, id_column, [], k, None, None)
+
+    found = _meet(left, right, ["cell", "_ib", "_qb"], keeper, out, to_arrow_schema(out))
+    return _best(found, scorer, id_column, k)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,39 +87,64 @@ def as_lists(weighted: DataFrame, key: str) -> DataFrame:
     )
 
 
+def term_counts(tokens: DataFrame, id_column: str) -> DataFrame:
+    """``<id>, n_words, term, tf``: the words of each document counted inside its row, so nothing is shuffled."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("words")
+            words = lists.flatten().dictionary_encode()
+            codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            most = max(len(words.dictionary), 1)
+            pair, tf = np.unique(np.repeat(np.arange(len(lists)), lengths) * most + codes, return_counts=True)
+            row, code = (pa.array(x) for x in np.divmod(pair, most))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(id_column).take(row), batch.column("n_words").take(row), words.dictionary.take(code), pa.array(tf)],
+                names=[id_column, "n_words", "term", "tf"])
+
+    kind = tokens.schema[id_column].dataType.simpleString()
+    rows = tokens.select(id_column, "n_words", "words")
+    return rows.mapInArrow(count, f"`{id_column}` {kind}, n_words int, term string, tf long")
+
+
+def saturated(mean_words: Column) -> Column:
+    """What ``tf`` occurrences of a word weigh in a document of ``n_words``, before its inverse frequency."""
+    return F.col("tf") * (K1 + 1) / (F.col("tf") + length_norm(mean_words))
+
+
 def bm25_search(
     documents: DataFrame, queries: DataFrame, k: int, id_column: str = "doc_id", text: str = "text",
     query_text: str = "text", broadcast: bool | None = None,
 ) -> DataFrame:
     """Best k documents per query, by their distinct words weighted by inverse document frequency.
 
-    Two passes over the corpus: the statistics of the asked words, then the scores. No text and no
-    posting is shuffled.
+    Two passes over the corpus: the statistics of the asked words, then the scores. Words that no query asks for are
+    dropped where the text is read; what is shuffled is one row per document and asked word that it has, never a text.
     """
     tokens = tokenized(documents, id_column, text)
     terms = query_terms(queries, query_text)
     statistics = written(term_statistics(tokens, terms), "terms")
     n_documents, mean_words = corpus_size(statistics)
     weighted = terms.join(statistics, "term").withColumn("weight", inverse_frequency(n_documents, F.col("df")))
-    items = tokens.withColumn("norm", length_norm(mean_words))
-    scorer = Sparse(terms="words", weights=None, norm_column="norm", k1=K1)
-    return matches(items, as_lists(weighted, "query_id"), scorer, id_column, k=k, broadcast=broadcast)
+    asked = statistics.filter(F.col("term") != ALL).select("term")
+    words = each_word(tokens, [id_column, "n_words"], F.col("words"))
+    words = words.join(F.broadcast(asked) if fits_broadcast(statistics) else asked, "term", "left_semi")
+    postings = words.groupBy(id_column, "n_words", "term").agg(F.count("*").alias("tf")).withColumn("weight", saturated(mean_words))
+    items = as_lists(postings.select(id_column, "term", "weight"), id_column)
+    return matches(items, as_lists(weighted, "query_id"), Sparse(), id_column, k=k, broadcast=broadcast)
 
 
 def bm25_weights(documents: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Weight of every word of every document, one row each.
 
-    The texts are shuffled once by document; counting the words of a document then stays in place.
-    Words are looked up in two parts: the ``FREQUENT`` most common ones, which make up nearly all
-    postings, are broadcast; the postings of the others, none of which is common, are shuffled.
+    Words are looked up in two parts: the ``FREQUENT`` most common ones, which make up nearly all postings, are
+    broadcast; the postings of the others, none of which is common, are shuffled.
     """
-    statistics = written(term_statistics(tokenized(documents, id_column, text)), "terms")
+    tokens = tokenized(documents, id_column, text)
+    statistics = written(term_statistics(tokens), "terms")
     n_documents, mean_words = corpus_size(statistics)
-    by_document = tokenized(documents.select(id_column, text).repartition(id_column), id_column, text)
-    postings = (
-        each_word(by_document, [id_column, "n_words"], F.col("words"))
-        .groupBy(id_column, "n_words", "term").agg(F.count("*").alias("tf"))
-    )
+    postings = term_counts(tokens, id_column)
     terms = statistics.filter(F.col("term") != ALL).select("term", "df")
     if fits_broadcast(statistics):
         found = postings.join(F.broadcast(terms), "term")
@@ -124,9 +154,8 @@ def bm25_weights(documents: DataFrame, id_column: str = "doc_id", text: str = "t
         rest = terms.join(F.broadcast(common.select("term")), "term", "left_anti")
         others = postings.join(F.broadcast(common.select("term")), "term", "left_anti").join(rest, "term")
         found = postings.join(F.broadcast(common), "term").unionByName(others)
-    saturated = F.col("tf") * (K1 + 1) / (F.col("tf") + length_norm(mean_words))
     return found.select(
-        id_column, "term", (inverse_frequency(n_documents, F.col("df")) * saturated).alias("weight")
+        id_column, "term", (inverse_frequency(n_documents, F.col("df")) * saturated(mean_words)).alias("weight")
     )
 
 
