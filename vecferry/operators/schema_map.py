@@ -61,8 +61,14 @@ def key_fields(fields: DataFrame) -> DataFrame:
     return fields.groupBy("index_name").agg(F.min_by("field_name", ordinal).alias("key_field"))
 
 
-def list_indexes(fields: DataFrame) -> DataFrame:
-    return fields.select("index_name").distinct()
+def list_indexes(fields: DataFrame, indexes: DataFrame | None = None) -> DataFrame:
+    """``indexes`` (index_name) has all of the catalog; from ``fields`` alone an index without fields is not seen."""
+    return (fields if indexes is None else indexes).select("index_name").distinct()
+
+
+def _with_fieldless(per_index: DataFrame, indexes: DataFrame | None, zeros: list[str]) -> DataFrame:
+    """Adds the indexes that declare no field, with counts of 0."""
+    return per_index if indexes is None else list_indexes(indexes).join(per_index, "index_name", "left").fillna(0, zeros)
 
 
 def convert_fields(
@@ -162,8 +168,8 @@ def unsupported_features(features: DataFrame) -> DataFrame:
     )
 
 
-def schema_warnings(conversions: DataFrame, unsupported: DataFrame) -> DataFrame:
-    """Type, lossy, missing-key and feature warnings in one table."""
+def schema_warnings(conversions: DataFrame, unsupported: DataFrame, indexes: DataFrame | None = None) -> DataFrame:
+    """Type, lossy, missing-key and feature warnings in one table; ``indexes`` as in ``list_indexes``."""
     def warning(category: str, message: Column) -> Column:
         return F.struct(F.lit(category).alias("category"), message.alias("message"))
 
@@ -175,9 +181,9 @@ def schema_warnings(conversions: DataFrame, unsupported: DataFrame) -> DataFrame
     of_fields = conversions.select("index_name", "field_name", F.explode(per_field).alias("w")).select(
         "index_name", "field_name", "w.category", "w.message"
     )
+    keyed = _with_fieldless(conversions.groupBy("index_name").agg(F.bool_or("is_primary_key").alias("has_key")), indexes, [])
     keyless = (
-        conversions.groupBy("index_name").agg(F.bool_or("is_primary_key").alias("has_key"))
-        .filter(~F.col("has_key"))
+        keyed.filter(~F.coalesce("has_key", F.lit(False)))
         .select(
             "index_name", F.lit("").alias("field_name"), F.lit("schema").alias("category"),
             F.lit("no key field, ids are generated").alias("message"),
@@ -189,8 +195,8 @@ def schema_warnings(conversions: DataFrame, unsupported: DataFrame) -> DataFrame
     return of_fields.unionByName(keyless).unionByName(of_feature)
 
 
-def schema_summary(conversions: DataFrame, unsupported: DataFrame) -> DataFrame:
-    """Totals of one index per row, from one pass over the conversions."""
+def schema_summary(conversions: DataFrame, unsupported: DataFrame, indexes: DataFrame | None = None) -> DataFrame:
+    """Totals of one index per row, from one pass over the conversions; ``indexes`` as in ``list_indexes``."""
     kept = ~F.col("skipped")
     per_index = conversions.groupBy("index_name").agg(
         F.count("*").alias("fields_total"),
@@ -204,6 +210,8 @@ def schema_summary(conversions: DataFrame, unsupported: DataFrame) -> DataFrame:
         ).alias("_warnings"),
     )
     features = unsupported.groupBy("index_name").agg(F.count("*").alias("unsupported_features"))
+    counts = ["fields_total", "fields_converted", "fields_skipped", "vector_fields", "indexes"]
+    per_index = _with_fieldless(per_index, indexes, counts).fillna(1, ["_warnings"])  # the missing key
     return (
         per_index.join(features, "index_name", "left")
         .fillna(0, ["unsupported_features"])
@@ -238,8 +246,11 @@ def attribute_flags(fields: DataFrame) -> DataFrame:
     )
 
 
-def assess(conversions: DataFrame) -> DataFrame:
-    """Field counts and feasibility per index."""
+def assess(conversions: DataFrame, indexes: DataFrame | None = None, rows_per_index: DataFrame | None = None) -> DataFrame:
+    """Field counts and feasibility per index; ``indexes`` as in ``list_indexes``.
+
+    With ``rows_per_index`` (index_name, n_rows) also ``document_count``, null for an index that has no count there.
+    """
     kept = ~F.col("skipped")
     counts = conversions.groupBy("index_name").agg(
         F.count("*").alias("total_fields"),
@@ -249,6 +260,10 @@ def assess(conversions: DataFrame) -> DataFrame:
         F.count_if(kept & (F.col("confidence") == "unsupported")).alias("unsupported_fields"),
         F.count_if("is_vector").alias("vector_fields"),
     )
+    counts = _with_fieldless(counts, indexes, [c for c in counts.columns if c != "index_name"])
+    if rows_per_index is not None:
+        counted = rows_per_index.select("index_name", F.col("n_rows").cast("long").alias("document_count"))
+        counts = counts.join(counted, "index_name", "left")
     clean = (F.col("skipped_fields") == 0) & (F.col("lossy_fields") == 0)
     return counts.withColumn(
         "feasibility",

@@ -26,6 +26,11 @@ def load_definitions(spark: SparkSession, path: str, multi_line: bool = True) ->
     return loaded.withColumn("name", F.coalesce("name", F.lit("unknown")))
 
 
+def definition_indexes(definitions: DataFrame) -> DataFrame:
+    """Every index of the catalog, also those that declare no field."""
+    return definitions.select(F.col("name").alias("index_name")).distinct()
+
+
 def definition_fields(definitions: DataFrame) -> DataFrame:
     rows = definitions.select(F.col("name").alias("index_name"), F.posexplode("fields").alias("ordinal", "f"))
     flag = {c: F.coalesce(F.col(f"f.{c}"), F.lit(False)) for c in ("searchable", "filterable", "sortable", "facetable")}
