@@ -20,6 +20,7 @@ ELEMENTS = {"VARCHAR": "string", **INTEGERS, **FLOATS, "BOOL": "boolean"}
 VECTORS = ("FLOAT_VECTOR", "FLOAT16_VECTOR", "BINARY_VECTOR")
 BOUNDS = {kind: (-(1 << bits - 1), (1 << bits - 1) - 1) for kind, bits in (
     ("tinyint", 8), ("smallint", 16), ("int", 32), ("bigint", 64))}
+BLANKS = " \t\n\x0b\x0c\r"
 INTEGER_TEXT = r"^[+-]?[0-9]+$"
 NUMBER_TEXT = r"^(?i)[+-]?([0-9]+\.?[0-9]*([e][+-]?[0-9]+)?|\.[0-9]+([e][+-]?[0-9]+)?|inf|infinity|nan)$"
 
@@ -36,6 +37,9 @@ class FieldSpec:
     is_key: bool = False
     is_partition_key: bool = False
     nullable: bool = False
+    wrap_text: bool = False  # JSON as the fallback of an unknown type: text that is no JSON becomes {"value": ...}
+    index_type: str | None = None  # of a vector field
+    metric_type: str | None = None
 
     @property
     def is_vector(self) -> bool:
@@ -81,12 +85,14 @@ def to_bool(column: Column, source_type: T.DataType) -> Column:
     return column.isNotNull()
 
 
-def to_json_text(column: Column, source_type: T.DataType) -> Column:
+def to_json_text(column: Column, source_type: T.DataType, wrap_text: bool = False) -> Column:
     if _nested(source_type):
         return as_json(column)
+    wrapped = as_json(F.struct(column.alias("value")))
     if isinstance(source_type, T.StringType):
-        return F.when(F.try_parse_json(column).isNotNull(), column)
-    return as_json(F.struct(column.alias("value")))
+        checked = F.when(F.try_parse_json(column).isNotNull(), column)
+        return F.when(column.isNotNull(), F.coalesce(checked, wrapped)) if wrap_text else checked
+    return wrapped
 
 
 def _always_fits(source_type: T.DataType, target: str) -> bool:
@@ -103,7 +109,7 @@ def can_fail(source_type: T.DataType, spec: FieldSpec) -> bool:
     if target in INTEGERS or target in FLOATS:
         return not _always_fits(source_type, {**INTEGERS, **FLOATS}[target])
     if target == "JSON":
-        return isinstance(source_type, T.StringType)
+        return isinstance(source_type, T.StringType) and not spec.wrap_text
     if target == "ARRAY":
         return (spec.element_type or "VARCHAR") != "VARCHAR"
     return spec.is_vector and not isinstance(source_type, T.BinaryType)
@@ -116,7 +122,7 @@ def to_number(column: Column, source_type: T.DataType, target: str) -> Column:
     than a comparison.
     """
     if isinstance(source_type, T.StringType):
-        return F.when(F.trim(column).rlike(INTEGER_TEXT if target in BOUNDS else NUMBER_TEXT), column.try_cast(target))
+        return F.when(F.btrim(column, F.lit(BLANKS)).rlike(INTEGER_TEXT if target in BOUNDS else NUMBER_TEXT), F.btrim(column, F.lit(BLANKS)).try_cast(target))
     if _always_fits(source_type, target):
         return column.cast(target)
     if target not in BOUNDS or not isinstance(source_type, (T.FractionalType, T.IntegralType)):
@@ -169,7 +175,7 @@ def convert(column: Column, source_type: T.DataType, spec: FieldSpec) -> Column:
     if target == "BOOL":
         return to_bool(column, source_type)
     if target == "JSON":
-        return to_json_text(column, source_type)
+        return to_json_text(column, source_type, spec.wrap_text)
     if target == "ARRAY":
         return to_array(column, source_type, spec.element_type)
     return to_vector(column, source_type, target)

@@ -68,6 +68,7 @@ VECTOR_TYPES = (
     ),
     EdmType("Collection(Edm.Byte)", "vector", "BINARY_VECTOR", "exact", notes="packed bits"),
 )
+# Metric names, index parameters where nothing or something unknown is declared, and feature keys.
 METRICS = {"cosine": "COSINE", "euclidean": "L2", "dotProduct": "IP", "hamming": "HAMMING"}
 DEFAULT_METRIC = "COSINE"
 DECLARED_HNSW = {"M": 4, "efConstruction": 400, "ef": 500}

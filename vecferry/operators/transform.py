@@ -7,25 +7,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecferry.functions.coerce import FieldSpec, can_fail, convert, default_value, spark_type
+from vecferry.operators.checks import stored_size
 
 REASON = "_reject_reason"
-MAX_FIELDS = 10_000
+GENERATED_KEY = "_generated_id"
 
 
-def field_specs(conversions: DataFrame, index_name: str) -> list[FieldSpec]:
-    """The kept fields of one index, in declared order. Metadata only, and checked to be small."""
+def field_specs(
+    conversions: DataFrame, index_name: str, max_fields: int = 10_000, resolved: DataFrame | None = None
+) -> list[FieldSpec]:
+    """The kept fields of one index, in declared order.
+
+    The plan of a load has an expression per field, so they are read to the driver; ``max_fields`` guards it against a
+    catalog that is not one, and an index that declares more fails loudly unless the caller allows them. ``resolved``,
+    from ``resolve_profiles``, adds index type and metric of the vector fields.
+    """
+    indexes = {}
+    if resolved is not None:
+        of_index = resolved.filter(F.col("index_name") == index_name).select("field_name", "index_type", "metric_type")
+        indexes = {r.field_name: (r.index_type, r.metric_type) for r in of_index.limit(max_fields).collect()}
     rows = (
         conversions.filter((F.col("index_name") == index_name) & ~F.col("skipped"))
         .select("ordinal", "field_name", "target_name", "target_type", "element_type", "max_length",
-                "max_capacity", "dim", "is_primary_key", "is_partition_key")
-        .limit(MAX_FIELDS + 1).collect()
+                "max_capacity", "dim", "is_primary_key", "is_partition_key", "confidence")
+        .limit(max_fields + 1).collect()
     )
-    if len(rows) > MAX_FIELDS:
-        raise ValueError(f"index {index_name} declares more than {MAX_FIELDS} fields")
+    if len(rows) > max_fields:
+        raise ValueError(f"index {index_name} declares more than {max_fields} fields")
     return [
         FieldSpec(
             r.field_name, r.target_name, r.target_type, r.element_type, r.max_length, r.max_capacity,
-            None if r.target_type == "BINARY_VECTOR" else r.dim, r.is_primary_key, r.is_partition_key,
+            r.dim, r.is_primary_key, r.is_partition_key, wrap_text=r.confidence == "unsupported",
+            index_type=indexes.get(r.field_name, (None, None))[0], metric_type=indexes.get(r.field_name, (None, None))[1],
         )
         for r in sorted(rows, key=lambda r: r.ordinal)
     ]
@@ -35,7 +48,7 @@ def target_schema(specs: list[FieldSpec]) -> T.StructType:
     """Columns of the target table; limits and roles travel as column metadata."""
     roles = {
         "max_length": "max_length", "max_capacity": "max_capacity", "dim": "dim", "is_key": "primary_key",
-        "is_partition_key": "partition_key",
+        "is_partition_key": "partition_key", "index_type": "index_type", "metric_type": "metric_type",
     }
     return T.StructType([
         T.StructField(
@@ -62,6 +75,23 @@ def dynamic_fields(documents: DataFrame, specs: list[FieldSpec]) -> Column:
     return F.to_json(F.struct(*rest)) if rest else F.lit("{}")
 
 
+def generated_key(documents: DataFrame) -> Column:
+    """A key for documents of an index without one: a digest of the whole row, the same in every run.
+
+    Documents that are alike in every field get the same key.
+    """
+    named = [F.col(_quoted(c)) for c in sorted(documents.columns) if not c.startswith("@")]
+    return F.sha2(F.to_json(F.struct(*named), {"ignoreNullFields": "false"}), 256)
+
+
+def with_key(documents: DataFrame, specs: list[FieldSpec]) -> tuple[DataFrame, list[FieldSpec]]:
+    """Documents and specs with a key: as they are, or with a generated one in front."""
+    if any(s.is_key for s in specs):
+        return documents, specs
+    keyed = documents.withColumn(GENERATED_KEY, generated_key(documents))
+    return keyed, [FieldSpec(GENERATED_KEY, GENERATED_KEY, "VARCHAR", max_length=64, is_key=True), *specs]
+
+
 def transform_documents(
     documents: DataFrame, specs: list[FieldSpec], defaults: bool = True, keep_dynamic: bool = False
 ) -> DataFrame:
@@ -85,8 +115,10 @@ def transform_documents(
             reasons.append(F.when(~missing & value.isNull(), F.lit(f"bad value in {spec.source}")))
         if spec.is_key:
             reasons.append(F.when(missing, F.lit(f"missing key {spec.source}")))
-        if spec.dim and spec.target_type == "FLOAT_VECTOR":
-            reasons.append(F.when(F.size(value) != spec.dim, F.lit(f"wrong dimension in {spec.source}")))
+        if spec.dim and spec.is_vector:
+            size = F.size(value) if spec.target_type == "FLOAT_VECTOR" else F.octet_length(value)
+            wanted = stored_size(spec.target_type, spec.dim)
+            reasons.append(F.when(size != wanted, F.lit(f"wrong dimension in {spec.source}")))
         default = default_value(spec) if defaults and not (spec.is_key or spec.nullable) else None
         filled = value if default is None else F.coalesce(value, default)
         columns.append(filled.alias(spec.target, metadata=target_schema([spec]).fields[0].metadata))
