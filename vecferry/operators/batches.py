@@ -64,11 +64,22 @@ def batch_stats(numbered: DataFrame, size: int, key: str) -> DataFrame:
 
 
 def running_sums(df: DataFrame, position: str, values: list[str], width: int = 10_000) -> DataFrame:
-    """Running totals over dense positions 0, 1, 2 ... by blocks of ``width`` and block offsets."""
+    """Running totals over dense positions 0, 1, 2 ... by blocks of ``width`` rows and groups of ``width`` blocks.
+
+    Windows run inside a block and inside a group of blocks; the one over all groups has a row per ``width ** 2`` rows.
+    """
     blocked = df.withColumn("_block", F.floor(F.col(position) / width).cast("long"))
+
+    def before(*partition: str) -> Window:
+        spec = Window.partitionBy(*partition) if partition else Window
+        return spec.orderBy("_group" if not partition else "_block").rowsBetween(Window.unboundedPreceding, -1)
+
     per_block = blocked.groupBy("_block").agg(*[F.sum(v).alias(f"_{v}") for v in values])
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # 1 / width of the rows
-    offsets = per_block.select("_block", *[F.coalesce(F.sum(f"_{v}").over(before), F.lit(0)).alias(f"_{v}") for v in values])
+    per_block = per_block.withColumn("_group", F.floor(F.col("_block") / width).cast("long"))
+    per_group = per_block.groupBy("_group").agg(*[F.sum(f"_{v}").alias(f"_{v}") for v in values])
+    groups = per_group.select("_group", *[F.coalesce(F.sum(f"_{v}").over(before()), F.lit(0)).alias(f"_g_{v}") for v in values])
+    blocks = per_block.select("_group", "_block", *[F.coalesce(F.sum(f"_{v}").over(before("_group")), F.lit(0)).alias(f"_b_{v}") for v in values])
+    offsets = blocks.join(groups, "_group").select("_block", *[(F.col(f"_b_{v}") + F.col(f"_g_{v}")).alias(f"_{v}") for v in values])
     inside = Window.partitionBy("_block").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
     summed = blocked.join(offsets, "_block")
     for v in values:

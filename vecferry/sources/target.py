@@ -4,26 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from vecferry.functions.coerce import FieldSpec
 from vecferry.functions.edm import KEY_TYPES
 from vecferry.operators.transform import REASON, target_schema
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at the path, whatever it holds and in whichever store."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def target_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+    """Whether the path is taken; also by a first load that has written no complete file yet."""
+    return folder_exists(spark, path)
 
 
 def create_target(spark: SparkSession, path: str, specs: list[FieldSpec], drop_existing: bool = False) -> bool:
     """Creates an empty table with the compiled schema; an existing one stays unless dropped."""
     if target_exists(spark, path) and not drop_existing:
         return False
-    spark.createDataFrame([], target_schema(specs)).write.mode("overwrite").parquet(path)
+    empty = spark.createDataFrame([], target_schema(specs))
+    empty.write.mode("overwrite" if drop_existing else "errorifexists").parquet(path)
     return True
 
 

@@ -1,10 +1,21 @@
-"""Change feed applied to a table, and ingest that is safe against repeated delivery."""
+"""Change feed applied to a table, and ingest that is safe against repeated delivery.
+
+Both tables are laid out by hash bucket of the key: a batch reads and writes only the buckets that its keys fall in, below
+a folder named by the batch id, so a batch that runs again overwrites its own output. A manifest per batch names, for
+every bucket, the batch that wrote it last; its size is the number of buckets.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
+
+from vecferry.sources.target import folder_exists
+
+BUCKET = "_bucket"
 
 
 def latest_changes(changes: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
@@ -18,6 +29,14 @@ def latest_changes(changes: DataFrame, keys: list[str], sequence: list[str]) ->
     ])
 
 
+def _run(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    query = (
+        stream.writeStream.foreachBatch(batch)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
 def apply_changes(stream: DataFrame, log_path: str, checkpoint: str, keys: list[str], sequence: list[str]) -> None:
     """Appends the last change per key of every micro-batch to a log.
 
@@ -27,27 +46,87 @@ def apply_changes(stream: DataFrame, log_path: str, checkpoint: str, keys: list[
     def batch(rows: DataFrame, batch_id: int) -> None:
         latest_changes(rows, keys, sequence).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
 
-    query = (
-        stream.writeStream.foreachBatch(batch)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    _run(stream, batch, checkpoint)
 
 
-def current_state(spark: SparkSession, log_path: str, keys: list[str], sequence: list[str], is_delete: Column) -> DataFrame:
-    """The table after all logged changes."""
-    logged = spark.read.parquet(log_path).drop("batch_id")
+def current_state(
+    spark: SparkSession, log_path: str, keys: list[str], sequence: list[str], is_delete: Column, snapshot_path: str | None = None
+) -> DataFrame:
+    """The table after all logged changes; with a snapshot, after it and the batches logged since."""
+    logged = spark.read.parquet(log_path)
+    if snapshot_path:
+        snapshot = spark.read.parquet(snapshot_path)
+        last = snapshot.agg(F.max("_last_batch").alias("n")).scalar()
+        logged = logged.filter(F.col("batch_id") > F.coalesce(last, F.lit(-1))).drop("batch_id").unionByName(snapshot.drop("_last_batch"))
+    else:
+        logged = logged.drop("batch_id")
     return latest_changes(logged, keys, sequence).filter(~is_delete)
 
 
 def compact(spark: SparkSession, log_path: str, snapshot_path: str, keys: list[str], sequence: list[str]) -> None:
-    """Last change per key as a new log with one batch; deletes are kept, late changes may still arrive."""
-    logged = spark.read.parquet(log_path).drop("batch_id")
-    latest_changes(logged, keys, sequence).write.parquet(f"{snapshot_path}/batch_id=-1")
+    """Last change per key of all batches so far as a snapshot; deletes are kept, late changes may still arrive.
+
+    The snapshot remembers the last batch it has, so that the log's later batches are read with it.
+    """
+    logged = spark.read.parquet(log_path)
+    last = logged.agg(F.max("batch_id").alias("n")).first().n
+    latest = latest_changes(logged.filter(F.col("batch_id") <= last).drop("batch_id"), keys, sequence)
+    latest.withColumn("_last_batch", F.lit(last).cast("long")).write.parquet(snapshot_path)
+
+
+def _bucket(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _manifest(spark: SparkSession, path: str, before: int | None = None) -> dict[int, int]:
+    """Bucket -> the batch that wrote it last, among the batches before ``before``. A row per bucket at most."""
+    if not folder_exists(spark, f"{path}/manifest"):
+        return {}
+    schema = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("written_by", T.LongType()), T.StructField("batch_id", T.LongType())])
+    noted = spark.read.schema(schema).parquet(f"{path}/manifest")
+    noted = noted if before is None else noted.filter(F.col("batch_id") < before)
+    last = noted.agg(F.max("batch_id").alias("n")).first().n
+    if last is None:
+        return {}
+    return {r.bucket: r.written_by for r in noted.filter(F.col("batch_id") == last).collect()}
+
+
+def _read_buckets(spark: SparkSession, path: str, owners: dict[int, int], schema: T.StructType | None = None) -> DataFrame:
+    paths = [f"{path}/rows/batch_id={batch}/{BUCKET}={bucket}" for bucket, batch in sorted(owners.items())]
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.option("basePath", f"{path}/rows").parquet(*paths).drop("batch_id", BUCKET)
+
+
+def apply_to_table(
+    stream: DataFrame, path: str, checkpoint: str, keys: list[str], sequence: list[str], buckets: int = 64
+) -> None:
+    """Keeps a table of the last change per key; every batch rewrites the buckets that its keys fall in."""
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        fresh = latest_changes(rows, keys, sequence).withColumn(BUCKET, _bucket(keys, buckets))
+        touched = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())  # at most ``buckets`` numbers
+        owners = _manifest(spark, path, batch_id)
+        old = {b: owners[b] for b in touched if b in owners}
+        merged = fresh.drop(BUCKET)
+        if old:
+            merged = latest_changes(merged.unionByName(_read_buckets(spark, path, old, merged.schema)), keys, sequence)
+        target = f"{path}/rows/batch_id={batch_id}"
+        merged.withColumn(BUCKET, _bucket(keys, buckets)).repartition(max(1, len(touched)), BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+        owners |= dict.fromkeys(touched, batch_id)
+        noted = spark.createDataFrame(sorted(owners.items()), "bucket int, written_by long")
+        noted.coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/batch_id={batch_id}")  # last: it makes the batch visible
+
+    _run(stream, batch, checkpoint)
+
+
+def table_state(spark: SparkSession, path: str, is_delete: Column) -> DataFrame:
+    """The table that ``apply_to_table`` keeps: one folder per bucket is read, whatever the number of batches."""
+    return _read_buckets(spark, path, _manifest(spark, path)).filter(~is_delete)
 
 
 def deduplicated(stream: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
-    """First delivery of every key, with state bounded by the delay.
+    """First delivery of every key, with state bounded by the delay: it holds the keys of that span of event time.
 
     Rows later than the delay are dropped by the watermark; where those must survive use ``append_new``.
     """
@@ -55,21 +134,33 @@ def deduplicated(stream: DataFrame, key: str, event_time: str, delay: str) -> Da
     return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def append_new(stream: DataFrame, path: str, checkpoint: str, key: str) -> None:
-    """Exact for rows of any age: each batch keeps the keys that the batches before it did not store."""
+def first_of_each(rows: DataFrame, key: str, sequence: list[str]) -> DataFrame:
+    """The row of each key that is first by ``sequence``, and among equals the one of least digest: the same in every run."""
+    others = [c for c in rows.columns if c != key]
+    row = F.struct(*others)
+    first = rows.groupBy(key).agg(F.min_by(row, F.struct(*sequence, F.xxhash64(*others))).alias("_r"))
+    return first.select(key, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*rows.columns)
+
+
+def append_new(stream: DataFrame, path: str, checkpoint: str, key: str, sequence: list[str] | None = None, buckets: int = 64) -> None:
+    """Exact for rows of any age: each batch keeps the keys that the batches before it did not store.
+
+    Of several rows with a key in one batch the first by ``sequence`` is kept. Only the key column of the buckets that
+    the batch falls in is read. ``stored_rows`` reads the table.
+    """
 
     def batch(rows: DataFrame, batch_id: int) -> None:
-        fresh = rows.dropDuplicates([key])
-        try:
-            stored = rows.sparkSession.read.parquet(path).filter(F.col("batch_id") != batch_id)
-        except AnalysisException:
-            stored = None
-        if stored is not None:
+        spark = rows.sparkSession
+        fresh = (first_of_each(rows, key, sequence or []) if len(rows.columns) > 1 else rows.distinct()).withColumn(BUCKET, _bucket([key], buckets))
+        if folder_exists(spark, path):
+            touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+            schema = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.LongType()), T.StructField(BUCKET, T.IntegerType())])
+            stored = spark.read.schema(schema).parquet(path).filter((F.col("batch_id") < batch_id) & F.col(BUCKET).isin(touched))
             fresh = fresh.join(stored.select(key), key, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        fresh.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/batch_id={batch_id}")
 
-    query = (
-        stream.writeStream.foreachBatch(batch)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    _run(stream, batch, checkpoint)
+
+
+def stored_rows(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("batch_id", BUCKET)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecferry.functions.coerce import FieldSpec
-from vecferry.operators.transform import REASON, transform_documents
+from vecferry.operators.transform import REASON, transform_documents, with_key
 
 LEDGER_SCHEMA = (
     "index_name string, n_accepted bigint, n_rejected bigint, first_key string, last_key string, at timestamp"
@@ -67,8 +67,8 @@ def _note_run(spark: SparkSession, paths: LoadPaths, index_name: str, status: st
     note.write.mode("append").parquet(paths.runs)
 
 
-def _write_batch(transformed: DataFrame, batch_id: int, paths: LoadPaths, index_name: str, key: str) -> None:
-    """Rows first, ledger second: a ledger row exists only for a batch whose rows are complete."""
+def _write_batch(transformed: DataFrame, batch_id: int, paths: LoadPaths, index_name: str, key: str) -> int:
+    """Rows first, ledger second: a ledger row exists only for a batch whose rows are complete. Returns the rows accepted."""
     spark = transformed.sparkSession
     good = F.col(REASON).isNull()
     seen = Observation(f"batch-{batch_id}")
@@ -89,6 +89,7 @@ def _write_batch(transformed: DataFrame, batch_id: int, paths: LoadPaths, index_
         F.current_timestamp().alias("at"),
     )
     entry.write.mode("overwrite").parquet(f"{paths.ledger}/batch_id={batch_id}")
+    return counted["n_accepted"]
 
 
 def stream_load(
@@ -97,17 +98,23 @@ def stream_load(
 ) -> None:
     """Loads everything that has arrived, then stops; run again to continue where it stopped.
 
-    On failure the run is recorded with its message and the error is raised again.
+    On failure the run is recorded with its message and the error is raised again. Documents of an index without a key
+    get a generated one, a digest of the row. The ledger is read once for a run; later batches add to its total.
     """
     spark = documents.sparkSession
+    documents, specs = with_key(documents, specs)
     key = next(s.target for s in specs if s.is_key)
+    done: list[int] = []
     transformed = transform_documents(documents, specs, defaults)
 
     def batch(rows: DataFrame, batch_id: int) -> None:
-        _write_batch(rows, batch_id, paths, index_name, key)
+        accepted = _write_batch(rows, batch_id, paths, index_name, key)
         if on_progress:
-            done = read_ledger(rows.sparkSession, paths).agg(F.sum("n_accepted").alias("n")).first().n
-            on_progress(done, total)
+            if not done:
+                before = read_ledger(rows.sparkSession, paths).filter(F.col("batch_id") < batch_id)
+                done.append(before.agg(F.sum("n_accepted").alias("n")).first().n or 0)
+            done[0] += accepted
+            on_progress(done[0], total)
 
     _note_run(spark, paths, index_name, "in_progress")
     try:
