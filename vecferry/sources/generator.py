@@ -1,4 +1,4 @@
-"""Product documents of any number for trying a load out. Every value follows from the row number and the seed."""
+"""Sensor readings of any number for trying a load out. Every value follows from the row number and the seed."""
 
 from __future__ import annotations
 
@@ -7,60 +7,33 @@ from pyspark.sql import functions as F
 
 from vecferry.functions.vectors import normalize
 
-VECTOR_DIM = 128
-CATEGORIES = ["electronics", "books", "clothing", "food", "sports", "furniture", "toys", "stationery"]
-BRANDS = ["Aldan", "Borea", "Cento", "Delmar", "Estro", "Fjell", "Gamut", "Hollis"]
-COLORS = ["red", "blue", "green", "black", "white", "yellow"]
-MATERIALS = ["plastic", "metal", "wood", "cloth", "glass", "leather"]
-TAGS = ["sale", "new", "popular", "limited", "gift", "eco", "local", "imported", "preorder", "seasonal"]
-CITIES = {
-    "Tokyo": (139.6503, 35.6762), "Osaka": (135.5023, 34.6937), "Nagoya": (136.9066, 35.1815),
-    "Sapporo": (141.3545, 43.0618), "Fukuoka": (130.4017, 33.5904),
-}
+VECTOR_DIM = 48
+STATIONS = 40
+FLAGS = ["drift", "clipped", "interpolated", "night"]
 
 
-def product_documents(spark: SparkSession, count: int, seed: int = 42) -> DataFrame:
+def sensor_readings(spark: SparkSession, count: int, seed: int = 42, dim: int = VECTOR_DIM) -> DataFrame:
+    """Documents with a text key, numbers, a flag, a time, a list, a nested record and a unit vector."""
+
     def drawn(name: str, below: int) -> Column:
         return F.pmod(F.xxhash64("id", F.lit(name), F.lit(seed)), F.lit(below))
 
-    def pick(name: str, values: list) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in values]), (drawn(name, len(values)) + 1).cast("int"))
-
     def component(position: Column) -> Column:
-        """Sum of twelve uniform draws less six: close to a normal draw."""
-        draws = F.transform(
-            F.sequence(F.lit(1), F.lit(12)),
-            lambda i: F.pmod(F.xxhash64("id", position, i, F.lit(seed)), F.lit(1_000_000)) / 1_000_000.0,
-        )
-        return F.aggregate(draws, F.lit(-6.0), lambda total, x: total + x)
-
-    city = F.element_at(F.array(*[
-        F.struct(F.lit(name).alias("name"), F.lit(lon).alias("lon"), F.lit(lat).alias("lat"))
-        for name, (lon, lat) in CITIES.items()
-    ]), (drawn("city", len(CITIES)) + 1).cast("int"))
-    parts = spark.range(count).select(
-        "id", pick("category", CATEGORIES).alias("category"), pick("brand", BRANDS).alias("brand"),
-        pick("color", COLORS).alias("color"), pick("material", MATERIALS).alias("material"), city.alias("city"),
-    )
-    hours = drawn("day", 366) * 24 + drawn("hour", 24)
-    created = F.timestamp_add("HOUR", hours.cast("int"), F.lit("2025-01-01").cast("timestamp_ntz"))
-    ranked_tags = F.array_sort(F.transform(
-        F.array(*[F.lit(t) for t in TAGS]), lambda t: F.struct(F.xxhash64("id", t, F.lit(seed)).alias("order"), t.alias("tag"))
-    ))
-    raw = F.transform(F.sequence(F.lit(1), F.lit(VECTOR_DIM)), component)
-    return parts.select(
-        F.concat(F.lit("product-"), F.format_string("%04d", "id")).alias("id"),
-        F.concat_ws(" ", "brand", "color", "material", "category").alias("title"),
-        F.concat(
-            "brand", F.lit(" goods in "), "category", F.lit(", "), "color", F.lit(" "), "material",
-            F.lit(", sent from "), "city.name", F.lit("."),
-        ).alias("description"),
-        "category", "brand",
-        F.round(drawn("price", 4_990_001) / 100.0 + 100, 2).alias("price"),
-        (drawn("rating", 5) + 1).cast("int").alias("rating"),
-        (drawn("stock", 2) == 1).alias("in_stock"),
-        F.date_format(created, "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("created_at"),
-        F.slice(F.transform(ranked_tags, lambda t: t["tag"]), F.lit(1), (drawn("tags", 5) + 1).cast("int")).alias("tags"),
-        F.struct(F.lit("Point").alias("type"), F.array("city.lon", "city.lat").alias("coordinates")).alias("warehouse_location"),
-        normalize(raw).cast("array<float>").alias("content_vector"),
+        return F.pmod(F.xxhash64("id", position, F.lit(seed)), F.lit(2_000_001)) / 1_000_000.0 - 1.0
+
+    station = drawn("station", STATIONS)
+    level = F.round(drawn("level", 8_000) / 100.0 - 30, 2)
+    taken = F.timestamp_add("SECOND", drawn("second", 86_400 * 90).cast("int"), F.lit("2023-06-01").cast("timestamp_ntz"))
+    flags = F.filter(F.array(*[F.when(drawn(flag, 4) == 0, F.lit(flag)) for flag in FLAGS]), lambda f: f.isNotNull())
+    return spark.range(count).select(
+        F.format_string("reading/%09d", "id").alias("reading"),
+        F.format_string("st-%02d", station).alias("station"),
+        level.alias("level"),
+        drawn("samples", 600).cast("int").alias("samples"),
+        (drawn("manual", 10) == 0).alias("manual"),
+        F.date_format(taken, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("taken_at"),
+        flags.alias("flags"),
+        F.struct(F.format_string("probe %d", drawn("probe", 7)).alias("probe"), F.round(drawn("depth", 900) / 10.0, 1).alias("depth")).alias("device"),
+        F.format_string("%s measured %.2f over %d samples", F.format_string("st-%02d", station), level, drawn("samples", 600)).alias("remark"),
+        normalize(F.transform(F.sequence(F.lit(1), F.lit(dim)), component)).cast("array<float>").alias("signature"),
     )
