@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vecferry.operators import ann, fusion, search, text
 from vecferry.operators.scoring import Dense, matches
+from vecferry.plans import search as plans
 
 RNG = np.random.default_rng(5)
 ITEMS = RNG.normal(size=(400, 8))
@@ -167,6 +168,22 @@ def test_bm25_equals_plain_formula(spark, broadcast):
         np.testing.assert_allclose([found[d] for d in sorted(found)], [wanted[d] for d in sorted(wanted)], atol=2e-6)
 
 
+def test_blocks_are_bounded_in_bytes(spark, monkeypatch):
+    from vecferry.operators import scoring
+
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    asked = spark.createDataFrame(list(enumerate(ASKED)), "query_id long, text string")
+    whole = sorted(map(tuple, text.bm25_search(docs, asked, 10).collect()))
+    monkeypatch.setattr(scoring, "BLOCK_BYTES", 40)
+    assert sorted(map(tuple, text.bm25_search(docs, asked, 10, broadcast=False).collect())) == whole
+
+
+def test_no_text_is_shuffled(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    plan = text.bm25_weights(docs)._jdf.queryExecution().toString()
+    assert "REPARTITION" not in plan
+
+
 def test_rare_and_common_words_by_two_joins(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
     whole = {(r.doc_id, r.term): r.weight for r in text.bm25_weights(docs).collect()}
@@ -192,29 +209,84 @@ def test_fusion_adds_reciprocal_ranks(spark):
     assert rows[0].score == pytest.approx(1 / 61 + 1 / 62)
 
 
-def test_ann_recall_and_pruning(spark, tmp_path):
-    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select(
+def embedded(spark):
+    return spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select(
         F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
-    asked = table.filter("id < 20").select(F.col("id").alias("query_id"), "vector")
-    index = ann.build_cells(table, str(tmp_path / "cells"), 8)
+
+
+def mean_recall(found, exact):
+    return ann.recall_at_k(found, exact).agg(F.avg("recall")).first()[0]
+
+
+def test_cells_of_the_shipped_size_find_nine_tenths(spark, tmp_path):
+    table = embedded(spark)
+    asked = table.filter("id < 40").select(F.col("id").alias("query_id"), "vector")
+    index = ann.build_cells(table, str(tmp_path / "cells"), plans.CELLS, plans.DIM)
     assert spark.read.parquet(index.path).count() == table.count()
     exact = search.knn(table, asked, 10)
-    some = ann.recall_at_k(ann.ann_search(index, asked, 10, 4), exact).agg(F.avg("recall")).first()[0]
-    every = ann.recall_at_k(ann.ann_search(index, asked, 10, 8), exact).agg(F.avg("recall")).first()[0]
-    assert some > 0.6 and every == 1.0
-    assert some <= every
+    assert mean_recall(ann.ann_search(index, asked, 10, plans.PROBES), exact) >= 0.9
+    assert mean_recall(ann.ann_search(index, asked, 10, plans.CELLS), exact) == 1.0
+
+
+def test_cells_split_over_several_tasks_give_the_same(spark, tmp_path, monkeypatch):
+    from vecferry.operators import scoring
+
+    table = embedded(spark)
+    asked = table.filter("id < 10").select(F.col("id").alias("query_id"), "vector")
+    index = ann.build_cells(table, str(tmp_path / "cells"), 4, 64)
+    whole = sorted(map(tuple, ann.ann_search(index, asked, 5, 2).collect()))
+    monkeypatch.setattr(scoring, "BLOCK_ROWS", 30)
+    assert sorted(map(tuple, ann.ann_search(index, asked, 5, 2).collect())) == whole
+
+
+def test_centres_do_not_depend_on_the_layout(spark):
+    table = embedded(spark)
+    one, other = (ann.fit_centres(table.repartition(n), 64, 3, 5) for n in (1, 7))
+    for left, right in zip(one, other):
+        np.testing.assert_array_equal(left, right)
+
+
+def test_k_means_rounds(spark):
+    values = RNG.normal(size=(300, 7))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(values)] + [(300, None)], "id long, vector array<double>").repartition(4)
+    books = ann.fit_centres(rows, 7, 3, 6)
+    assert [b.shape for b in books] == [(6, 3), (6, 2), (6, 2)]  # no value is left out
+    import hashlib
+
+    start = sorted(range(300), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())[:6]
+    for (at, width), book in zip(ann.slices(7, 3), books):
+        part, centres = values[:, at : at + width], values[start, at : at + width]
+        for _ in range(ann.ROUNDS):
+            near = ((part[:, None] - centres[None]) ** 2).sum(2).argmin(1)
+            centres = np.array([np.round(part[near == c].mean(0), 6) if (near == c).any() else centres[c] for c in range(6)])
+        np.testing.assert_allclose(book, centres, atol=2e-6)
+    coded = {r.id: r.codes for r in ann.quantize_pq(rows, books).collect()}
+    assert coded[300] is None and len(coded[0]) == 3
+    assert coded[5] == [int(((values[5, at : at + w] - b) ** 2).sum(1).argmin()) for (at, w), b in zip(ann.slices(7, 3), books)]
 
 
 def test_product_codes_find_near_neighbours(spark):
-    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select(
-        F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    table = embedded(spark)
     asked = table.filter("id < 20").select(F.col("id").alias("query_id"), "vector")
-    models = ann.train_product_codes(table, 64, 16, 64)
-    coded = ann.quantize_pq(table, models)
+    books = ann.fit_centres(table, 64, 16, 64)
+    coded = ann.quantize_pq(table, books)
     assert coded.filter(F.size("codes") == 16).count() == table.count()
-    found = ann.pq_search(coded, asked, models, 10, "L2")
-    recall = ann.recall_at_k(found, search.knn(table, asked, 10, "L2")).agg(F.avg("recall")).first()[0]
-    assert recall > 0.4
+    exact = search.knn(table, asked, 10, "L2")
+    assert mean_recall(ann.pq_search(coded, asked, books, 10, "L2"), exact) > 0.4
+    assert mean_recall(ann.pq_search(coded, asked, books, 10, "L2", refine=8), exact) >= 0.9
+
+
+def test_a_vector_with_a_null_element_matches_nothing(spark, queries):
+    items = spark.createDataFrame([(1, [1.0] * 7 + [None]), (2, [-1.0] * 8)], "id long, vector array<double>")
+    for metric in ("COSINE", "IP", "L2"):
+        assert {r.id for r in search.knn(items, queries, 5, metric).collect()} == {2}
+
+
+def test_fields_are_fetched_for_what_is_left(spark, vectors, queries):
+    wide = vectors.withColumn("text", F.concat(F.lit("t"), "id"))
+    for broadcast in (None, False):
+        rows = search.knn(wide, queries, 2, group="label", output_fields=["text", "label"], broadcast=broadcast).collect()
+        assert len(rows) == 6 * 4 * 2 and all(r.text == f"t{r.id}" for r in rows)
 
 
 def test_eight_bit_codes(spark):

@@ -1,5 +1,5 @@
 import pytest
-from fixtures import PRODUCTS, write_definitions
+from fixtures import RECIPES, write_definitions
 from pyspark.sql import functions as F
 
 from vecferry import session
@@ -68,12 +68,12 @@ def test_other_key_types_are_written_plainly(spark, tmp_path):
 
 
 def test_definitions_from_files_and_lines(spark, tmp_path):
-    loaded = de.load_definitions(spark, write_definitions(tmp_path, PRODUCTS))
+    loaded = de.load_definitions(spark, write_definitions(tmp_path, RECIPES))
     fields = de.definition_fields(loaded)
     de.write_definitions(fields, str(tmp_path / "lines"))
     again = de.definition_fields(de.load_definitions(spark, str(tmp_path / "lines"), multi_line=False))
     assert sorted(map(tuple, fields.collect())) == sorted(map(tuple, again.collect()))
-    assert de.definition_profiles(loaded).first().algorithm_name == "hnsw-config"
+    assert de.definition_profiles(loaded).first().algorithm_name == "by-flavour"
 
 
 def test_scan_needs_a_schema_for_json(spark, tmp_path):
@@ -91,28 +91,35 @@ def test_projection_reaches_the_scan(spark):
     assert "ReadSchema: struct<doc_id:bigint,lang:string>" in df._jdf.queryExecution().toString()
 
 
-def test_generated_products(spark):
-    rows = generator.product_documents(spark, 200).collect()
-    assert len({r.id for r in rows}) == 200
-    assert all(abs(sum(x * x for x in r.content_vector) - 1) < 1e-3 and len(r.content_vector) == 128 for r in rows)
-    assert all(1 <= len(r.tags) <= 5 and len(set(r.tags)) == len(r.tags) for r in rows)
-    assert all(100 <= r.price <= 50_000 and 1 <= r.rating <= 5 for r in rows)
-    assert rows == generator.product_documents(spark, 200).collect()
-    liked = generator.product_documents(spark, 200).filter((F.col("rating") >= 4) & F.col("in_stock")).count()
-    assert 0 < liked < 200
+def test_a_path_in_use_is_not_overwritten(spark, tmp_path):
+    path = tmp_path / "busy"
+    (path / "_temporary").mkdir(parents=True)  # a first load under way: nothing can be read yet
+    assert tg.target_exists(spark, str(path))
+    assert not tg.create_target(spark, str(path), SPECS)
+    assert (path / "_temporary").exists()
 
 
-def test_generated_products_load_without_rejects(spark, tmp_path):
+def test_generated_readings(spark):
+    rows = generator.sensor_readings(spark, 200).collect()
+    assert len({r.reading for r in rows}) == 200
+    assert all(abs(sum(x * x for x in r.signature) - 1) < 1e-3 and len(r.signature) == generator.VECTOR_DIM for r in rows)
+    assert all(set(r.flags) <= set(generator.FLAGS) and -30 <= r.level <= 50 for r in rows)
+    assert rows == generator.sensor_readings(spark, 200).collect()
+    assert rows != generator.sensor_readings(spark, 200, seed=1).collect()
+    assert 0 < sum(r.manual for r in rows) < 100
+
+
+def test_generated_readings_load_without_rejects(spark, tmp_path):
     specs = [
-        FieldSpec("id", "id", "VARCHAR", max_length=64, is_key=True), FieldSpec("price", "price", "DOUBLE"),
-        FieldSpec("tags", "tags", "ARRAY", element_type="VARCHAR"), FieldSpec("warehouse_location", "place", "JSON"),
-        FieldSpec("created_at", "created_at", "VARCHAR", max_length=64),
-        FieldSpec("content_vector", "vector", "FLOAT_VECTOR", dim=128),
+        FieldSpec("reading", "id", "VARCHAR", max_length=64, is_key=True), FieldSpec("level", "level", "DOUBLE"),
+        FieldSpec("flags", "flags", "ARRAY", element_type="VARCHAR"), FieldSpec("device", "device", "JSON"),
+        FieldSpec("taken_at", "taken_at", "VARCHAR", max_length=64),
+        FieldSpec("signature", "vector", "FLOAT_VECTOR", dim=generator.VECTOR_DIM),
     ]
-    out = tr.transform_documents(generator.product_documents(spark, 100), specs)
+    out = tr.transform_documents(generator.sensor_readings(spark, 100), specs)
     assert tg.write_outcomes(out, str(tmp_path / "o")) == {"accepted": 100, "rejected": 0}
     row = tg.read_outcome(spark, str(tmp_path / "o"), "accepted").first()
-    assert row.place.startswith('{"type":"Point","coordinates":[1')
+    assert row.device.startswith('{"probe":"probe ')
 
 
 def test_work_folder_follows_the_setting(spark):
@@ -121,8 +128,9 @@ def test_work_folder_follows_the_setting(spark):
     assert session.work_path(spark, "x") != session.work_path(spark, "x")
 
 
-def test_clear_work_deletes_working_files(spark):
+def test_clear_work_deletes_working_files(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "shared")
+    monkeypatch.setattr(session, "_configured_checkpoint_dir", lambda _: folder)
     frame = session.written(spark.range(3), "cleared")
     assert frame.count() == 3
-    assert session.clear_work(spark) >= 1
-    assert session.clear_work(spark) == 0
+    assert (session.clear_work(spark), session.clear_work(spark)) == (1, 0)

@@ -106,9 +106,49 @@ def test_changes_upsert_delete_and_late_arrival(spark, tmp_path):
     )
     state = changes.current_state(spark, log, ["k"], ["seq"], F.col("op") == "del")
     assert {r.k: r.v for r in state.collect()} == {1: "c", 3: "d"}
-    changes.compact(spark, log, str(tmp_path / "snapshot"), ["k"], ["seq"])
-    again = changes.current_state(spark, str(tmp_path / "snapshot"), ["k"], ["seq"], F.col("op") == "del")
+    snapshot = str(tmp_path / "snapshot")
+    changes.compact(spark, log, snapshot, ["k"], ["seq"])
+    deleted = F.col("op") == "del"
+    again = changes.current_state(spark, log, ["k"], ["seq"], deleted, snapshot)
     assert sorted(again.collect()) == sorted(state.collect())
+    apply(spark, tmp_path, [(1, 9, "del", None), (2, 4, "put", "too late"), (4, 1, "put", "new")])
+    after = changes.current_state(spark, log, ["k"], ["seq"], deleted, snapshot)
+    assert {r.k: r.v for r in after.collect()} == {3: "d", 4: "new"}
+    assert sorted(after.collect()) == sorted(changes.current_state(spark, log, ["k"], ["seq"], deleted).collect())
+
+
+def test_bucketed_table_rewrites_only_what_a_batch_touches(spark, tmp_path):
+    feed, path, checkpoint = (str(tmp_path / n) for n in ("feed", "table", "cp"))
+    feeds = [
+        [(k, 1, "put", f"a{k}") for k in range(40)],
+        [(3, 2, "put", "b"), (4, 2, "del", None)],
+        [(3, 1, "put", "late"), (4, 3, "put", "back"), (99, 1, "put", "new")],
+    ]
+    for rows in feeds:
+        spark.createDataFrame(rows, CHANGES).coalesce(1).write.mode("append").parquet(feed)
+        stream = load.read_stream(spark, feed, spark.createDataFrame([], CHANGES).schema)
+        changes.apply_to_table(stream, path, checkpoint, ["k"], ["seq"], buckets=16)
+    state = {r.k: r.v for r in changes.table_state(spark, path, F.col("op") == "del").collect()}
+    assert state == {**{k: f"a{k}" for k in range(40)}, 3: "b", 4: "back", 99: "new"}
+    written = spark.read.parquet(f"{path}/rows").groupBy("batch_id").agg(F.count_distinct("_bucket").alias("n"))
+    found = {r.batch_id: r.n for r in written.collect()}
+    assert found[0] > 8 and found[1] <= 2 and found[2] <= 3
+
+
+def test_first_of_each_is_the_same_in_every_run(spark):
+    rows = [(1, 5, "x"), (1, 2, "y"), (1, 2, "z"), (2, 1, "w")]
+    found = {tuple(sorted(map(tuple, changes.first_of_each(spark.createDataFrame(rows[::d], "k int, s int, v string").repartition(n), "k", ["s"]).collect())))
+             for d in (1, -1) for n in (1, 3)}
+    assert len(found) == 1 and {r[1] for r in found.pop()} == {2, 1}
+
+
+def test_a_load_without_a_key_gets_one(spark, tmp_path):
+    source, paths = str(tmp_path / "in"), load.LoadPaths(str(tmp_path / "out"))
+    schema = stage(spark, source, 0, 20)
+    keyless = [FieldSpec("id", "id", "INT64"), FieldSpec("n", "n", "INT32")]
+    load.stream_load(load.read_stream(spark, source, schema), keyless, paths, "items")
+    rows = load.read_rows(spark, paths)
+    assert rows.count() == 20 and "_generated_id" in rows.columns
 
 
 def test_null_values_of_the_last_change_win(spark, tmp_path):
@@ -123,4 +163,4 @@ def test_append_new_keeps_every_key_once(spark, tmp_path):
         spark.range(start, start + 60).coalesce(1).write.mode("append").parquet(source)
         stream = load.read_stream(spark, source, spark.range(0).schema)
         changes.append_new(stream, out, str(tmp_path / "cp"), "id")
-    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(110))
+    assert sorted(r.id for r in changes.stored_rows(spark, out).collect()) == list(range(110))

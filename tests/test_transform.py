@@ -71,7 +71,7 @@ def test_excluded_field_is_absent(spark):
 
 
 @pytest.mark.parametrize("kind, source, value, expected", [
-    ("INT32", "double", 1.9, 1), ("INT32", "double", -1.9, -1), ("INT32", "string", " 12 ", 12),
+    ("INT32", "double", 1.9, 1), ("INT32", "double", -1.9, -1), ("INT32", "string", " 12 ", 12), ("INT64", "string", "\t42\n", 42), ("DOUBLE", "string", "\r1.5\t", 1.5),
     ("INT32", "string", "1.5", None), ("INT32", "string", "x", None), ("INT8", "int", 128, None), ("INT8", "int", -128, -128),
     ("INT16", "double", 32767.9, 32767), ("INT16", "double", 32768.0, None), ("INT64", "string", "9223372036854775807", 2**63 - 1),
     ("INT64", "string", "9223372036854775808", None), ("INT64", "double", 1e300, None), ("INT32", "double", float("nan"), None),
@@ -111,6 +111,22 @@ def test_wrong_dimension_and_bad_bytes_are_rejected(spark):
     assert out[3][tr.REASON] == "bad value in b"
 
 
+def test_packed_vectors_of_the_wrong_length_are_rejected(spark):
+    specs = [
+        FieldSpec("k", "k", "INT32", is_key=True), FieldSpec("h", "h", "FLOAT16_VECTOR", dim=3), FieldSpec("b", "b", "BINARY_VECTOR", dim=12),
+    ]
+    rows = [(1, [1.0, 2.0, 3.0], [1, 2]), (2, [1.0, 2.0], [1, 2]), (3, [1.0, 2.0, 3.0], [1]), (4, None, None)]
+    out = {r.k: r[tr.REASON] for r in transformed(spark, rows, "k int, h array<double>, b array<int>", specs).collect()}
+    assert out == {1: None, 2: "wrong dimension in h", 3: "wrong dimension in b", 4: None}
+
+
+def test_text_of_an_unknown_type_is_wrapped(spark):
+    specs = [FieldSpec("k", "k", "INT32", is_key=True), FieldSpec("v", "v", "JSON", wrap_text=True)]
+    rows = [(1, "plain words"), (2, '{"a":1}'), (3, None)]
+    out = {r.k: (r.v, r[tr.REASON]) for r in transformed(spark, rows, "k int, v string", specs, defaults=False).collect()}
+    assert out == {1: ('{"value":"plain words"}', None), 2: ('{"a":1}', None), 3: (None, None)}
+
+
 def test_bytes_and_empty_bytes_to_floats(spark):
     specs = [FieldSpec("k", "k", "INT32", is_key=True), FieldSpec("v", "v", "FLOAT_VECTOR")]
     out = transformed(spark, [(1, bytearray(b"\x00\x7f\xff")), (2, bytearray())], "k int, v binary", specs)
@@ -124,6 +140,12 @@ def test_half_floats_match_the_standard_packing(spark, values):
     assert bytes(packed) == b"".join(struct.pack("<e", v) for v in values)
 
 
+def test_half_floats_of_null_and_empty_vectors(spark):
+    rows = spark.createDataFrame([(1, [1.0]), (2, None), (3, []), (4, [2.0, 3.0])], "k int, v array<double>").coalesce(1)
+    out = {r.k: r.p if r.p is None else bytes(r.p) for r in rows.select("k", ve.pack_float16(F.col("v")).alias("p")).collect()}
+    assert out == {1: struct.pack("<e", 1), 2: None, 3: b"", 4: struct.pack("<2e", 2, 3)}
+
+
 def test_half_float_overflow_is_rejected(spark):
     specs = [FieldSpec("k", "k", "INT32", is_key=True), FieldSpec("v", "v", "FLOAT16_VECTOR")]
     out = transformed(spark, [(1, [65_504.0]), (2, [70_000.0])], "k int, v array<double>", specs)

@@ -158,7 +158,8 @@ def q_map_vector_index(spark, sf_dir):
 
 
 def q_convert_fields(spark, sf_dir):
-    return conversions(spark, sf_dir).drop("type_warnings", "notes", "profile_name", "skip_reason")
+    every = conversions(spark, sf_dir).withColumn("warnings", F.array_join(F.array_sort("type_warnings"), "; "))
+    return every.drop("type_warnings", "notes", "profile_name")
 
 
 def q_collection_name(spark, sf_dir):
@@ -359,7 +360,10 @@ _BODIES = {
     "map_vector_index": f"SELECT index_name, algorithm_name, {_index_columns('kind')} FROM algorithms",
     "resolve_profile": f"""SELECT index_name, field_name, target_name, profile_name, algorithm_kind, metric,
       {_index_columns('algorithm_kind')} FROM resolved""",
-    "convert_fields": "SELECT * EXCLUDE (notes, profile_name) FROM conversions",
+    "convert_fields": """SELECT c.* EXCLUDE (notes, profile_name), CASE WHEN skipped THEN 'excluded by option' END AS skip_reason,
+      CASE WHEN confidence = 'unsupported' THEN 'unknown type, stored as JSON' ELSE coalesce(w.said, '') END AS warnings
+      FROM conversions c LEFT JOIN (SELECT edm_type, string_agg(message, '; ' ORDER BY message) AS said FROM typewarn GROUP BY 1) w
+      ON w.edm_type = c.edm_type""",
     "collection_name": """SELECT DISTINCT index_name, CASE WHEN index_name LIKE '%7' THEN 'coll_' || index_name
       ELSE replace(index_name, '-', '_') END AS collection FROM fields""",
     "unsupported_features": "SELECT index_name, feature, message FROM unsupported",

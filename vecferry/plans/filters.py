@@ -54,6 +54,13 @@ def q_f_date_text(spark, sf_dir):
     ).select("o_orderkey", "at")
 
 
+def q_f_date_typed(spark, sf_dir):
+    """The same range over the typed column: the comparison reaches the scan."""
+    orders = table(spark, sf_dir, "orders").filter(
+        pr.date_between("o_orderdate", "1997-01-01T00:00:00", "1998-06-30T23:59:59.999999"))
+    return orders.select("o_orderkey", iso_text(F.col("o_orderdate"), T.TimestampNTZType()).alias("at"))
+
+
 def q_f_prefix(spark, sf_dir):
     return table(spark, sf_dir, "part").filter(pr.prefix("p_name", "bl")).select("p_partkey", "p_name")
 
@@ -128,6 +135,8 @@ ORACLES = {
     "f_nested_any": """SELECT p_partkey, p_name FROM part
       WHERE len([t for t in string_split(p_name, ' ') if length(t) >= 5 AND starts_with(t, 'g')]) > 0""",
     "f_json_path": "SELECT event_id, props FROM events WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) > 50",
+    "f_date_typed": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%fZ') AS at FROM orders
+      WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-07-01'""",
     "f_date_text": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%fZ') AS at FROM orders
       WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-07-01'""",
     "f_prefix": "SELECT p_partkey, p_name FROM part WHERE starts_with(p_name, 'bl')",

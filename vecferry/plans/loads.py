@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vecferry import workflow
+from vecferry.functions import vectors as ve
 from vecferry.functions.coerce import FieldSpec
 from vecferry.functions.edm import pair_table
 from vecferry.operators import batches as ba
@@ -205,6 +209,10 @@ ALTERED_SQL = """altered AS (
 COMPARED = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
+def _plain(checked: DataFrame) -> DataFrame:
+    return checked.drop("message")
+
+
 def q_check_count(spark, sf_dir):
     return ch.check_count(table(spark, sf_dir, "orders"), partial_orders(spark, sf_dir))
 
@@ -222,16 +230,23 @@ def q_fill_rate(spark, sf_dir):
 
 def q_check_fill(spark, sf_dir):
     rows = tr.accepted(tr.transform_documents(dirty_customer(spark, sf_dir), CUSTOMER_SPECS, defaults=False))
-    return ch.check_fill_rate(rows, SCALARS)
+    return _plain(ch.check_fill_rate(rows, SCALARS))
 
 
 def q_check_dim(spark, sf_dir):
     ragged = table(spark, sf_dir, "embeddings").select(
         F.when(F.col("label") == 3, F.slice("embedding", 1, 32)).when(F.col("label") != 5, F.col("embedding")).alias("vector")
     )
-    return ch.check_dimension(_vector_rows(spark, sf_dir), "vector", 64).unionByName(
-        ch.check_dimension(ragged, "vector", 64)
-    )
+    with_bits = table(spark, sf_dir, "embeddings").withColumn("bits", ve.sign_bits(F.col("embedding"), 60))
+    packed = tr.transform_documents(with_bits, [
+        FieldSpec("vec_id", "id", "INT64", is_key=True), FieldSpec("embedding", "half", "FLOAT16_VECTOR", dim=64),
+        FieldSpec("bits", "bits", "BINARY_VECTOR", dim=60)])
+    parts = [
+        ch.check_dimension(_vector_rows(spark, sf_dir), "vector", 64), ch.check_dimension(ragged, "vector", 64),
+        ch.check_dimension(packed, "half", 64, "FLOAT16_VECTOR"), ch.check_dimension(packed, "half", 32, "FLOAT16_VECTOR"),
+        ch.check_dimension(packed, "bits", 60, "BINARY_VECTOR"),
+    ]
+    return _plain(reduce(DataFrame.unionByName, parts))
 
 
 def q_reconcile_values(spark, sf_dir):
@@ -245,9 +260,23 @@ def q_reconcile_digest(spark, sf_dir):
     return rec.reconcile(docs, copy, "doc_id", ["text", "lang", "n_chars"], digest=True)
 
 
+def q_reconcile_duplicates(spark, sf_dir):
+    """A target that a restart has loaded again in part, a third of it with other balances."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", *COMPARED)
+    balance = F.when(F.col("c_custkey") % 3 == 0, F.col("c_acctbal") - 1).otherwise(F.col("c_acctbal"))
+    again = customer.filter(F.col("c_nationkey") < 5).withColumn("c_acctbal", balance)
+    return rec.reconcile(customer, customer.unionByName(again), "c_custkey", COMPARED)
+
+
 def q_vector_agreement(spark, sf_dir):
+    """Stored vectors of which some are scaled, null, cut, gone, extra or stored twice."""
     path = work_path(spark, "vectors")
-    tg.append(_vector_rows(spark, sf_dir), path)
+    label, vector = F.col("label"), F.col("vector")
+    scaled = F.transform(vector, lambda x: x * F.lit(5).cast("float"))
+    spoilt = _vector_rows(spark, sf_dir).filter(label != 5).withColumn(
+        "vector", F.when(label == 1, scaled).when(label == 3, F.slice(vector, 1, 32)).when(label != 4, vector))
+    extra = spoilt.filter(label == 2).withColumn("id", -F.col("id") - 1)
+    tg.append(spoilt.unionByName(extra).unionByName(spoilt.filter(label == 6)), path)
     source = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
     return rec.vector_agreement(source, spark.read.parquet(path), "id", "vector")
 
@@ -265,7 +294,7 @@ def q_semi_loaded(spark, sf_dir):
 def _customer_checks(spark, sf_dir):
     customer, altered = table(spark, sf_dir, "customer"), altered_customer(spark, sf_dir)
     differences = rec.reconcile(customer, altered, "c_custkey", COMPARED)
-    return (
+    return _plain(
         ch.check_count(customer, altered)
         .unionByName(ch.check_columns(5, altered))
         .unionByName(ch.check_fill_rate(altered, COMPARED))
@@ -302,23 +331,17 @@ def q_migrate_customer(spark, sf_dir):
         F.lit(None).cast("int").alias("max_length"), F.lit(None).cast("int").alias("max_capacity"),
         F.lit(False).alias("is_partition_key"),
     )
-    specs = tr.field_specs(sm.convert_fields(declared, renamed), "customer-index")
+    conversions = sm.convert_fields(declared, renamed)
     source = dirty_customer(spark, sf_dir)
-    path = work_path(spark, "customer")
-    tg.write_outcomes(tr.transform_documents(source, specs, defaults=False), path)
-    stored = tg.read_outcome(spark, path, "accepted")
-    keyed = source.filter(F.col("c_custkey").isNotNull()).withColumnRenamed("c_acctbal", "balance")
-    differences = rec.reconcile(keyed, stored, "c_custkey", ["c_name", "c_nationkey", "balance", "c_mktsegment"])
-    return (
-        ch.check_count(source, stored, tolerance_pct=20.0)
-        .unionByName(ch.check_columns(len(specs), stored))
-        .unionByName(ch.check_fill_rate(stored, [s.target for s in specs]))
-        .unionByName(ch.check_reconciled(differences))
-    )
+    done = workflow.migrate(source, conversions, "customer-index", work_path(spark, "customer"), defaults=False)
+    return _plain(workflow.validate(
+        conversions, "customer-index", source, done.stored(spark), defaults=False, tolerance_pct=20.0))
 
 
 QUERIES = {name.removeprefix("q_"): query for name, query in list(globals().items()) if name.startswith("q_")}
 
+_COUNT_MESSAGE = """SELECT *, expected || ' rows in the source, ' || actual || ' in the target, '
+  || format('{:.2f}', abs(expected::BIGINT - actual::BIGINT) * 100.0::DOUBLE / expected::BIGINT) || ' % apart' AS message FROM ("""
 _COUNT_CHECK = """SELECT 'document_count' AS name, e = 0 OR abs(e - a) * 100.0 / e <= {tolerance} AS passed,
   e::VARCHAR AS expected, a::VARCHAR AS actual FROM (SELECT (SELECT count(*) FROM {source}) AS e, (SELECT count(*) FROM {target}) AS a)"""
 
@@ -330,11 +353,15 @@ def _fill_check(table_name: str, columns: list[str]) -> str:
 
 
 def _reconcile_sql(columns: list[str], source: str, target: str, key: str) -> str:
+    order = ", ".join(f"{c} NULLS FIRST" for c in columns)
+    least = f"""SELECT *, count(*) OVER (PARTITION BY {key}) AS n FROM {{table}}
+      QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1"""
     parts = [
         f"""SELECT '{c}' AS field, count(*) FILTER (s.{key} IS NOT NULL AND t.{key} IS NOT NULL AND s.{c} IS NOT DISTINCT FROM t.{c})
           AS n_match, count(*) FILTER (s.{key} IS NOT NULL AND t.{key} IS NOT NULL AND s.{c} IS DISTINCT FROM t.{c}) AS n_different,
-          count(*) FILTER (t.{key} IS NULL) AS n_missing, count(*) FILTER (s.{key} IS NULL) AS n_extra
-          FROM {source} s FULL OUTER JOIN {target} t ON s.{key} = t.{key}"""
+          count(*) FILTER (t.{key} IS NULL) AS n_missing, count(*) FILTER (s.{key} IS NULL) AS n_extra,
+          count(*) FILTER (t.n > coalesce(s.n, 1)) AS n_duplicate
+          FROM ({least.format(table=source)}) s FULL OUTER JOIN ({least.format(table=target)}) t ON s.{key} = t.{key}"""
         for c in columns
     ]
     return " UNION ALL ".join(parts)
@@ -346,7 +373,8 @@ _ALL_CHECKS = f"""{_COUNT_CHECK.format(tolerance=1, source='customer', target='a
   UNION ALL {_fill_check('altered', COMPARED)}
   UNION ALL SELECT 'vector_dim_vector', min(len(embedding)) = 64 AND max(len(embedding)) = 64, '64', min(len(embedding))::VARCHAR
     FROM embeddings
-  UNION ALL SELECT 'values', sum(n_different + n_missing + n_extra) = 0, '0', sum(n_different + n_missing + n_extra)::BIGINT::VARCHAR
+  UNION ALL SELECT 'values', sum(n_different + n_missing + n_extra + n_duplicate) = 0, '0',
+    sum(n_different + n_missing + n_extra + n_duplicate)::BIGINT::VARCHAR
     FROM ({_reconcile_sql(COMPARED, 'customer', 'altered', 'c_custkey')})"""
 
 ORACLES = {
@@ -386,9 +414,9 @@ ORACLES = {
         FROM n GROUP BY 1)
       SELECT batch, succeeded, failed, CAST(sum(succeeded) OVER (ORDER BY batch) AS BIGINT) AS running_succeeded,
         CAST(sum(failed) OVER (ORDER BY batch) AS BIGINT) AS running_failed FROM b""",
-    "check_count": _COUNT_CHECK.format(
+    "check_count": _COUNT_MESSAGE + _COUNT_CHECK.format(
         tolerance=1, source="orders", target="(SELECT * FROM orders WHERE o_orderstatus <> 'P')"
-    ),
+    ) + ")",
     "check_fields": f"""WITH {catalog.CATALOG_SQL} SELECT index_name, count(*) FILTER (NOT skipped) AS expected,
       count(*) FILTER (NOT skipped AND confidence <> 'unsupported') AS actual,
       count(*) FILTER (NOT skipped AND confidence <> 'unsupported') >= count(*) FILTER (NOT skipped) AS passed
@@ -402,11 +430,27 @@ ORACLES = {
     "check_dim": """SELECT 'vector_dim_vector' AS name, bool_and(len(embedding) = 64) AS passed, '64' AS expected, '64' AS actual
       FROM embeddings UNION ALL
       SELECT 'vector_dim_vector', bool_and(label <> 3), '64', CASE WHEN bool_or(label = 3) THEN '32..64' ELSE '64' END
-      FROM embeddings WHERE label <> 5""",
+      FROM embeddings WHERE label <> 5
+      UNION ALL SELECT 'vector_dim_half', bool_and(2 * len(embedding) = 128), '128', (2 * max(len(embedding)))::VARCHAR FROM embeddings
+      UNION ALL SELECT 'vector_dim_half', bool_and(2 * len(embedding) = 64), '64', (2 * max(len(embedding)))::VARCHAR FROM embeddings
+      UNION ALL SELECT 'vector_dim_bits', bool_and(ceil(60 / 8) = 8), '8', '8' FROM embeddings""",
+    "reconcile_duplicates": """WITH again AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer UNION ALL
+      SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal - 1 ELSE c_acctbal END, c_mktsegment
+      FROM customer WHERE c_nationkey < 5) """ + _reconcile_sql(COMPARED, "customer", "again", "c_custkey"),
     "reconcile_values": f"WITH {ALTERED_SQL} {_reconcile_sql(COMPARED, 'customer', 'altered', 'c_custkey')}",
     "reconcile_digest": """WITH copy AS (SELECT doc_id, CASE WHEN lang = 'fr' THEN text || 'x' ELSE text END AS text, lang, n_chars
       FROM documents) """ + _reconcile_sql(["text", "lang", "n_chars"], "documents", "copy", "doc_id"),
-    "vector_agreement": """SELECT count(*) AS n_compared, 0::BIGINT AS n_apart, 1.0::DOUBLE AS lowest FROM embeddings""",
+    "vector_agreement": """WITH stored AS (SELECT vec_id AS id, CASE WHEN label = 1 THEN [x * 5::FLOAT FOR x IN embedding]
+        WHEN label = 3 THEN embedding[1:32] WHEN label <> 4 THEN embedding END AS t, CASE WHEN label = 6 THEN 2 ELSE 1 END AS n
+        FROM embeddings WHERE label <> 5 UNION ALL SELECT -vec_id - 1, embedding, 1 FROM embeddings WHERE label = 2),
+      pairs AS (SELECT e.vec_id, stored.id, n, embedding::DOUBLE[] AS s, t::DOUBLE[] AS t,
+        coalesce(len(embedding) = len(t), false) AS alike FROM embeddings e FULL OUTER JOIN stored ON e.vec_id = stored.id)
+      SELECT count(*) FILTER (alike) AS n_compared,
+        count(*) FILTER (alike AND CASE WHEN alike THEN list_distance(s, t) > 1e-6 END) AS n_apart,
+        count(*) FILTER (id IS NULL) AS n_missing, count(*) FILTER (vec_id IS NULL) AS n_extra, count(*) FILTER (n > 1) AS n_duplicate,
+        count(*) FILTER (vec_id IS NOT NULL AND id IS NOT NULL AND (s IS NULL) <> (t IS NULL)) AS n_null,
+        count(*) FILTER (s IS NOT NULL AND t IS NOT NULL AND len(s) <> len(t)) AS n_other_length,
+        round(min(CASE WHEN alike THEN list_cosine_similarity(s, t) END), 6) AS lowest FROM pairs""",
     "anti_missing": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'P'",
     "semi_loaded": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus <> 'P'",
     "all_checks": f"WITH {ALTERED_SQL} {_ALL_CHECKS}",
@@ -416,7 +460,9 @@ ORACLES = {
       || ' checks passed' AS summary FROM checks""",
     "migrate_customer": f"""WITH {DIRTY_SQL}, stored AS (SELECT * FROM dirty WHERE c_custkey IS NOT NULL)
       {_COUNT_CHECK.format(tolerance=20, source='dirty', target='stored')}
-      UNION ALL SELECT 'field_count', true, '5', '5'
+      UNION ALL SELECT 'field_count', count(*) >= 5, '5', count(*)::VARCHAR FROM (SELECT unnest(['c_custkey', {', '.join(map(repr, COMPARED))}]))
       UNION ALL {_fill_check('stored', ['c_custkey'] + COMPARED)}
-      UNION ALL SELECT 'values', true, '0', '0'""",
+      UNION ALL SELECT 'values', sum(n_different + n_missing + n_extra + n_duplicate) = 0, '0',
+        sum(n_different + n_missing + n_extra + n_duplicate)::BIGINT::VARCHAR
+        FROM ({_reconcile_sql(COMPARED, '(SELECT * FROM dirty WHERE c_custkey IS NOT NULL)', 'stored', 'c_custkey')})""",
 }

@@ -257,11 +257,11 @@ def q_complex_json(spark, sf_dir):
 def q_unknown_json(spark, sf_dir):
     out = _one(
         table(spark, sf_dir, "events"), [("event_id", "bigint")], number=("user_id", "JSON", {}),
-        word=("event_type", "JSON", {}),
+        word=("event_type", "JSON", {"wrap_text": True}),
     )
     return out.select(
         "event_id", F.get_json_object("number", "$.value").cast("long").alias("number"),
-        F.col(tr.REASON).alias("reason"),
+        F.get_json_object("word", "$.value").alias("word"), F.col(tr.REASON).alias("reason"),
     )
 
 
@@ -360,7 +360,7 @@ ORACLES = {
       c_nationkey::DOUBLE * 1.25 + 20 AS lat FROM customer""",
     "complex_json": """SELECT o_orderkey, o_orderstatus AS status, o_orderpriority AS priority,
       CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END AS customer, o_orderkey % 2 <> 0 AS keeps_null FROM orders""",
-    "unknown_json": "SELECT event_id, user_id AS number, 'bad value in event_type' AS reason FROM events",
+    "unknown_json": "SELECT event_id, user_id AS number, event_type AS word, NULL::VARCHAR AS reason FROM events",
     "transform_batch": f"""WITH {DIRTY_SQL} SELECT CASE WHEN c_custkey IS NULL THEN 'missing key c_custkey' ELSE 'accepted'
       END AS outcome, count(*) AS n_rows, round(sum(coalesce(c_acctbal, 0)), 2) AS balance,
       CAST(sum(length(substring(coalesce(c_name, ''), 1, 12))) AS BIGINT) AS name_chars FROM dirty GROUP BY 1""",

