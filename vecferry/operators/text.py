@@ -48,24 +48,8 @@ def fits_broadcast(terms: DataFrame) -> bool:
     return size.rows <= FREQUENT and (size.bytes or 0) <= FREQUENT * LONGEST
 
 
-def term_statistics(tokens: DataFrame, terms: DataFrame | None = None) -> DataFrame:
-    """Documents per term (only of ``terms`` when given) and their total words, in one pass.
-
-    Every document also counts once for the empty word, which no text contains: that row holds the
-    number of documents and words of the whole corpus. Counts combine on the map side, and asked
-    terms that are too many to broadcast are looked up after counting, when every term is one row.
-    """
-    postings = each_word(tokens, ["n_words"], F.array_append(F.array_distinct("words"), ALL))
-    if terms is None:
-        return _counted(postings)
-    every = tokens.sparkSession.range(1).select(F.lit(ALL).alias("term"))
-    asked = written(terms.select("term").distinct().unionByName(every), "asked")
-    if fits_broadcast(asked):
-        return _counted(postings.join(F.broadcast(asked), "term", "left_semi"))
-    return _counted(postings).join(asked, "term", "left_semi")
-
-
-def _counted(postings: DataFrame) -> DataFrame:
+def term_statistics(postings: DataFrame) -> DataFrame:
+    """Documents per term and their total words. The row of the empty word has those of the whole corpus."""
     return postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("n_words").alias("total_words"))
 
 
@@ -108,6 +92,22 @@ def term_counts(tokens: DataFrame, id_column: str) -> DataFrame:
     return rows.mapInArrow(count, f"`{id_column}` {kind}, n_words int, term string, tf long")
 
 
+def written_postings(documents: DataFrame, id_column: str, text: str, terms: DataFrame | None = None) -> DataFrame:
+    """``<id>, n_words, term, tf``, written once, so that texts are cut into words once.
+
+    Every document also has the empty word, which no text contains: it stands for the corpus in the statistics. With
+    ``terms`` only those are kept: the others go where the text is read, if the asked ones are few enough to broadcast.
+    """
+    tokens = tokenized(documents, id_column, text).withColumn("words", F.array_append("words", F.lit(ALL)))
+    if terms is None:
+        return written(term_counts(tokens, id_column), "postings")
+    every = documents.sparkSession.range(1).select(F.lit(ALL).alias("term"))
+    asked = written(terms.select("term").distinct().unionByName(every), "asked")
+    words = each_word(tokens, [id_column, "n_words"], F.col("words"))
+    kept = words.join(F.broadcast(asked) if fits_broadcast(asked) else asked, "term", "left_semi")
+    return written(kept.groupBy(id_column, "n_words", "term").agg(F.count("*").alias("tf")), "postings")
+
+
 def saturated(mean_words: Column) -> Column:
     """What ``tf`` occurrences of a word weigh in a document of ``n_words``, before its inverse frequency."""
     return F.col("tf") * (K1 + 1) / (F.col("tf") + length_norm(mean_words))
@@ -119,19 +119,16 @@ def bm25_search(
 ) -> DataFrame:
     """Best k documents per query, by their distinct words weighted by inverse document frequency.
 
-    Two passes over the corpus: the statistics of the asked words, then the scores. Words that no query asks for are
-    dropped where the text is read; what is shuffled is one row per document and asked word that it has, never a text.
+    One pass over the corpus. Words that no query asks for are dropped where the text is read; what is shuffled is one
+    row per document and asked word that it has, never a text.
     """
-    tokens = tokenized(documents, id_column, text)
     terms = query_terms(queries, query_text)
-    statistics = written(term_statistics(tokens, terms), "terms")
+    postings = written_postings(documents, id_column, text, terms)
+    statistics = written(term_statistics(postings), "terms")
     n_documents, mean_words = corpus_size(statistics)
     weighted = terms.join(statistics, "term").withColumn("weight", inverse_frequency(n_documents, F.col("df")))
-    asked = statistics.filter(F.col("term") != ALL).select("term")
-    words = each_word(tokens, [id_column, "n_words"], F.col("words"))
-    words = words.join(F.broadcast(asked) if fits_broadcast(statistics) else asked, "term", "left_semi")
-    postings = words.groupBy(id_column, "n_words", "term").agg(F.count("*").alias("tf")).withColumn("weight", saturated(mean_words))
-    items = as_lists(postings.select(id_column, "term", "weight"), id_column)
+    scored = postings.filter(F.col("term") != ALL).withColumn("weight", saturated(mean_words))
+    items = as_lists(scored.select(id_column, "term", "weight"), id_column)
     return matches(items, as_lists(weighted, "query_id"), Sparse(), id_column, k=k, broadcast=broadcast)
 
 
@@ -141,10 +138,10 @@ def bm25_weights(documents: DataFrame, id_column: str = "doc_id", text: str = "t
     Words are looked up in two parts: the ``FREQUENT`` most common ones, which make up nearly all postings, are
     broadcast; the postings of the others, none of which is common, are shuffled.
     """
-    tokens = tokenized(documents, id_column, text)
-    statistics = written(term_statistics(tokens), "terms")
+    every = written_postings(documents, id_column, text)
+    statistics = written(term_statistics(every), "terms")
     n_documents, mean_words = corpus_size(statistics)
-    postings = term_counts(tokens, id_column)
+    postings = every.filter(F.col("term") != ALL)
     terms = statistics.filter(F.col("term") != ALL).select("term", "df")
     if fits_broadcast(statistics):
         found = postings.join(F.broadcast(terms), "term")
