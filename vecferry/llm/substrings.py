@@ -44,7 +44,7 @@ def passage_dedup(documents: DataFrame, size: int = 50, gram: int = 8, few: int
     unit = windows.Words(size, gram)
     rows = windows.keyed(documents)
     spans = windows.covered(
-        rows, unit, _first_documents(unit), within=False, repeats="lo < hi", combine="min(lo)", goes="mark < doc", few=few, small=small)
+        rows, unit, _first_documents(unit), within=False, repeats="lo < hi", combine="min(lo)", alone="true", goes="mark < doc", few=few, small=small)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -21,6 +21,9 @@ from pyspark.sql import DataFrame, functions as F
 from vecferry.llm import windows
 
 
+MOST_SYMBOLS = 2_000_000
+
+
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """The order of the suffixes of ``s``, numbers from 1 on, by difference cover modulo 3."""
     n = len(s)
@@ -29,9 +32,13 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     t = np.concatenate([s, [0, 0, 0]]).astype(np.int64)
     extra = n % 3 == 1  # a triple of zeros then ends the places 1 modulo 3
     sample = np.concatenate([np.arange(1, n + extra, 3), np.arange(2, n, 3)])
-    order = np.lexsort((t[sample + 2], t[sample + 1], t[sample]))
-    by = sample[order]
-    new = np.concatenate([[True], (t[by[1:]] != t[by[:-1]]) | (t[by[1:] + 1] != t[by[:-1] + 1]) | (t[by[1:] + 2] != t[by[:-1] + 2])])
+    size = int(t.max()) + 1
+    if size > MOST_SYMBOLS:
+        raise ValueError(f"more than {MOST_SYMBOLS} symbols")  # a triple must fit into one number
+    triple = (t[sample] * size + t[sample + 1]) * size + t[sample + 2]
+    order = np.argsort(triple)
+    by, triple = sample[order], triple[order]
+    new = np.concatenate([[True], triple[1:] != triple[:-1]])
     names = np.empty(len(sample), np.int64)
     names[order] = np.cumsum(new)
     if new.all():
@@ -42,14 +49,14 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     rank[sampled] = np.arange(1, len(sampled) + 1)
     sampled = sampled[sampled < n]
     others = np.arange(0, n, 3)
-    others = others[np.lexsort((rank[others + 1], t[others]))]
+    wide = np.int64(len(sampled) + 2)
+    single = t[others] * wide + rank[others + 1]
+    order = np.argsort(single)
+    others, single = others[order], single[order]
     # Merge: how many sampled suffixes of either kind come before each other one.
     ones, twos = sampled[sampled % 3 == 1], sampled[sampled % 3 == 2]
-    wide = np.int64(len(rank) + 1)
-    before = np.searchsorted(t[ones] * wide + rank[ones + 1], t[others] * wide + rank[others + 1])
-    _, pair = np.unique(np.concatenate([t[twos] * (t.max() + 1) + t[twos + 1], t[others] * (t.max() + 1) + t[others + 1]]), return_inverse=True)
-    key = pair * wide + np.concatenate([rank[twos + 2], rank[others + 2]])
-    before = before + np.searchsorted(key[: len(twos)], key[len(twos) :])
+    before = np.searchsorted(t[ones] * wide + rank[ones + 1], single)
+    before = before + np.searchsorted((t[twos] * size + t[twos + 1]) * wide + rank[twos + 2], (t[others] * size + t[others + 1]) * wide + rank[others + 2])
     out = np.empty(n, np.int64)
     place = np.arange(len(others)) + before
     out[place] = others
@@ -91,7 +98,7 @@ def _twice(unit: windows.Bytes) -> windows.Judge:
     return judge
 
 
-def byte_dedup(documents: DataFrame, size: int = 200, gram: int = 32, few: int = windows.FEW, small: int = windows.SMALL) -> DataFrame:
+def byte_dedup(documents: DataFrame, size: int = 200, gram: int = 32, few: int = windows.FEW, small: int = 1 << 20) -> DataFrame:
     """A row per document: ``doc_id, kept`` (the bytes that stay), ``n_bytes, n_removed, n_spans``.
 
     A byte goes when a string of ``size`` bytes that covers it starts anywhere else too, in this document or another;
@@ -101,7 +108,7 @@ def byte_dedup(documents: DataFrame, size: int = 200, gram: int = 32, few: int =
     unit = windows.Bytes(size, gram)
     rows = windows.keyed(documents)
     spans = windows.covered(
-        rows, unit, _twice(unit), within=True, repeats="total > 1", combine="sum(times)", goes="mark > 1", few=few, small=small)
+        rows, unit, _twice(unit), within=True, repeats="total > 1", combine="sum(times)", alone="times > 1", goes="mark > 1", few=few, small=small)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -6,8 +6,8 @@ string (a super-k-mer), and only those whose minimiser occurs again travel at al
 are shuffled; a group is the distinct strings of one minimiser, and windows are compared within their group.
 
 For scale: first the minimisers alone are counted, a few bytes for dozens of windows; what travels as text is the part
-of the corpus that repeats. A group of more than ``few`` strings or ``small`` bytes is not gathered: its windows go one
-by one, as 128-bit digests, through an aggregation that spreads by digest.
+of the corpus that repeats. A group of more than ``few`` strings or ``small`` bytes, what a task can hold, is not gathered:
+it is dealt to chunks of that size, and the distinct windows of each meet as 128-bit digests.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from vecferry.llm.common import texts, written
 
-FEW, SMALL = 1000, 1 << 19
+FEW, SMALL = 8000, 1 << 21
 HELD = 8 << 20
 LAST = (1 << 63) - 1
 K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -189,14 +189,19 @@ def occurrences(documents: DataFrame, unit, repeated: DataFrame) -> DataFrame:
 Judge = Callable[[list[tuple[bytes, int, int]]], list[list[tuple[int, int, int]]]]
 
 
-def judged(strings: DataFrame, unit, judge: Judge, combine: str, few: int = FEW, small: int = SMALL) -> DataFrame:
+def judged(strings: DataFrame, unit, judge: Judge, combine: str, alone: str, few: int = FEW, small: int = SMALL) -> DataFrame:
     """``digest, parts``: for each distinct string the runs (first window, windows, mark) of its windows.
 
-    ``strings`` has ``value, packed, digest, lo, times``. The mark of a window is ``min`` of ``lo`` or ``sum`` of
-    ``times`` over all windows equal to it. ``judge`` does that for whole groups that fit into memory.
+    ``strings`` has ``value, packed, digest, n, lo, times``. The mark of a window is ``min`` of ``lo`` or ``sum`` of
+    ``times`` over all windows equal to it. ``judge`` does that for whole groups that fit into memory; where ``alone``
+    holds, a string that is its whole group needs no comparison, and its windows have the mark of the string.
     """
     sizes = strings.groupBy("value").agg(F.count("*").alias("strings"), F.sum(F.length("packed")).alias("bytes"))
-    sized = written(strings.join(sizes, "value"), "sized")
+    every = written(strings.join(sizes, "value"), "sized")
+    plain = (F.col("strings") == 1) & F.expr(alone)
+    mark = "lo" if combine.startswith("min") else "times"
+    whole = every.filter(plain).select("digest", F.array(F.struct(F.lit(0).alias("at"), "n", F.col(mark).alias("mark"))).alias("parts"))
+    sized = every.filter(~plain)
     fits = (F.col("strings") <= few) & (F.col("bytes") <= small)
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,23 +234,40 @@ def judged(strings: DataFrame, unit, judge: Judge, combine: str, few: int = FEW,
     gathered = sized.filter(fits).repartition("value").sortWithinPartitions("value")
     gathered = gathered.select("value", "digest", "packed", "lo", "times").mapInArrow(together, JUDGED)
 
-    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for digest, packed, lo, times in zip(*(batch.column(c).to_pylist() for c in ("digest", "packed", "lo", "times")), strict=True):
-                cut = unit.cut(packed)
-                for a in range(0, len(cut), 1 << 14):
-                    part = [xxhash.xxh3_128_digest(w) for w in cut[a : a + (1 << 14)]]
-                    k = len(part)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(part, pa.binary()), pa.array([digest] * k, pa.binary()), pa.array(range(a, a + k), pa.int32()),
-                        pa.array([lo] * k, pa.int64()), pa.array([times] * k, pa.int64())], names=["window", "digest", "at", "lo", "times"])
-
-    rows = written(sized.filter(~fits).select("digest", "packed", "lo", "times").mapInArrow(
-        apart, "window binary, digest binary, at int, lo long, times long"), "single-windows")
-    marks = rows.groupBy("window").agg(F.expr(f"{combine} AS mark"))
-    single = rows.join(marks, "window").select("digest", "at", "mark")
-    single = single.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("at", F.lit(1).alias("n"), "mark"))).alias("parts"))
-    return gathered.unionByName(single)
+    # Larger groups are dealt to chunks that fit. A chunk first sends each of its distinct windows once, with what it has
+    # of the mark; the marks of all chunks are put together by window, and each chunk reads those of its windows again.
+    chunks = F.greatest(F.ceil(F.col("strings") / few), F.ceil(F.col("bytes") / small)).cast("int")
+    large = sized.filter(~fits).withColumn("chunk", F.pmod(F.xxhash64("digest"), chunks))
+    large = large.select("value", "chunk", "digest", "packed", "lo", "times")
+
+    def digests(packed: bytes) -> list[bytes]:
+        return [xxhash.xxh3_128_digest(w) for w in unit.cut(packed)]
+
+    def send(rows: pa.Table) -> pa.Table:
+        found: dict[bytes, list[int]] = {}
+        for packed, lo, times in zip(*(rows.column(c).to_pylist() for c in ("packed", "lo", "times")), strict=True):
+            for window in digests(packed):
+                mark = found.setdefault(window, [lo, 0])
+                mark[0] = min(mark[0], lo)
+                mark[1] += times
+        n = len(found)
+        return pa.table({
+            "value": pa.array(rows.column("value").to_pylist()[:1] * n, pa.int64()), "chunk": pa.array(rows.column("chunk").to_pylist()[:1] * n, pa.int64()),
+            "window": pa.array(list(found), pa.binary()), "lo": pa.array([m[0] for m in found.values()], pa.int64()),
+            "times": pa.array([m[1] for m in found.values()], pa.int64())})
+
+    def receive(rows: pa.Table, marks: pa.Table) -> pa.Table:
+        known = dict(zip(marks.column("window").to_pylist(), marks.column("mark").to_pylist(), strict=True))
+        parts = [as_runs([known[w] for w in digests(packed)]) for packed in rows.column("packed").to_pylist()]
+        return pa.table({
+            "digest": pa.array(rows.column("digest").to_pylist(), pa.binary()),
+            "parts": pa.array([[{"at": a, "n": n, "mark": m} for a, n, m in p] for p in parts], PART)})
+
+    sent = written(large.groupBy("value", "chunk").applyInArrow(send, "value long, chunk long, window binary, lo long, times long"), "window-marks")
+    marks = sent.groupBy("window").agg(F.expr(f"{combine} AS mark"))
+    back = sent.join(marks, "window").select("value", "chunk", "window", "mark")
+    single = large.groupBy("value", "chunk").cogroup(back.groupBy("value", "chunk")).applyInArrow(receive, JUDGED)
+    return whole.unionByName(gathered).unionByName(single)
 
 
 PART = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32()), ("mark", pa.int64())]))
@@ -263,19 +285,19 @@ def as_runs(marks: list[int]) -> list[tuple[int, int, int]]:
     return [tuple(r) for r in out]
 
 
-def covered(documents: DataFrame, unit, judge: Judge, within: bool, repeats: str, combine: str, goes: str, few: int = FEW, small: int = SMALL) -> DataFrame:
+def covered(documents: DataFrame, unit, judge: Judge, within: bool, repeats: str, combine: str, alone: str, goes: str, few: int = FEW, small: int = SMALL) -> DataFrame:
     """``uid, spans``: the units of each document that windows which go cover, as (start, end) spans.
 
-    ``repeats`` says on the aggregates ``lo``, ``hi``, ``total`` which minimisers can repeat; ``goes`` on ``mark`` and
-    ``doc`` which windows go.
+    ``repeats`` says on the aggregates ``lo``, ``hi``, ``total`` which minimisers can repeat; ``alone`` as in ``judged``;
+    ``goes`` on ``mark`` and ``doc`` which windows go.
     """
     marks = written(minimisers(documents, unit, within), "minimisers")
     found = marks.groupBy("value").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.sum("n").alias("total")).filter(repeats)
     again = marks.select("uid", "value").join(found.select("value"), "value").distinct()
     places = occurrences(documents, unit, again).withColumn("digest", F.unhex(F.sha2("packed", 256)))
     places = written(places, "super-k-mers")
-    strings = places.groupBy("value", "packed", "digest").agg(F.min("doc").alias("lo"), F.count("*").alias("times"))
-    parts = written(judged(written(strings, "strings"), unit, judge, combine, few, small), "judged")
+    strings = places.groupBy("value", "packed", "digest").agg(F.min("n").alias("n"), F.min("doc").alias("lo"), F.count("*").alias("times"))
+    parts = written(judged(written(strings, "strings"), unit, judge, combine, alone, few, small), "judged")
     met = places.select("uid", "doc", "first", "digest").join(parts, "digest")
     gone = met.select("uid", "doc", "first", F.explode("parts").alias("part")).select(
         "uid", "doc", (F.col("first") + F.col("part.at")).alias("start"),
