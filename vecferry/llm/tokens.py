@@ -6,19 +6,24 @@ where the tokenizer's own pattern cuts too, so the ids are those of the whole te
 - ``spaced`` (byte-level pattern that puts one blank before a word): before each single blank and around each single
   line feed. A text in which two blanks meet, or that begins or ends with one, goes to the library whole.
 - otherwise (a tokenizer that drops white space): at blanks and line feeds.
-- before one full stop or comma that ends a word and follows an ASCII letter; both patterns cut there.
+- before the punctuation marks (ASCII, no apostrophe) that end a word and follow an ASCII letter; both patterns make them
+  one piece.
+
+A tokenizer that works in lower case gives a word and its lower case the same ids, so it keeps the latter alone.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
 import numpy as np  # noqa: E402
 import tokenizers  # noqa: E402
 
-HELD_WORDS = 300_000  # in each of two generations
+HELD_WORDS = 600_000  # in each of two generations
+TAIL = re.compile(r"(?<=[A-Za-z])[!-&(-/:-@\[-`{-~]+\Z")
 
 
 class _Odd(Exception):
@@ -28,9 +33,10 @@ class _Odd(Exception):
 class _Words(dict):
     """Ids by word, as bytes. Holds two generations: words that come again move to the younger one."""
 
-    def __init__(self, encode, prefix: str, strict: bool) -> None:
+    def __init__(self, encode, prefix: str, strict: bool, lower: bool, bare: _Words | None = None) -> None:
         super().__init__()
-        self.encode, self.prefix, self.strict = encode, prefix, strict
+        self.encode, self.prefix, self.strict, self.lower = encode, prefix, strict, lower
+        self.bare = self if bare is None else bare  # the same without a prefix
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
@@ -38,9 +44,11 @@ class _Words(dict):
         if ids is None:
             if self.strict and (not word or word[0].isspace() or word[-1].isspace()):
                 raise _Odd
-            stem = word[:-1]
-            if word[-1:] in (".", ",") and stem[-1:].isascii() and stem[-1:].isalpha():
-                ids = self[stem] + self.encode(word[-1])
+            tail = TAIL.search(word)
+            if tail:
+                ids = self[word[: tail.start()]] + self.bare[tail[0]]
+            elif self.lower and word.isascii() and not word.islower() and word.lower() != word:
+                ids = self[word.lower()]
             else:
                 ids = self.encode(self.prefix + word)
         self[word] = ids
@@ -59,18 +67,11 @@ class Encoder:
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are text
         self.spaced = spaced
-        self.marks: dict[str, bytes] = {}
-        self.plain = _Words(self._mark, "", spaced)
-        self.after = _Words(self._mark, " ", spaced)
+        lower = not spaced and self.library("A a.") == self.library("a a.")
+        self.plain = _Words(self.library, "", spaced, lower)
+        self.after = _Words(self.library, " ", spaced, lower, self.plain)
         self.feed = self.library("\n")
 
-    def _mark(self, text: str) -> bytes:
-        if text not in (".", ","):
-            return self.library(text)
-        if text not in self.marks:
-            self.marks[text] = self.library(text)
-        return self.marks[text]
-
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
