@@ -26,6 +26,8 @@ from vecferry.llm.common import WORD, unused, written
 ROUNDS = 4
 WALK = 64  # steps outside the range that cycle walking may take; the chance to need more is below 2 ** -64
 GRID = 1024  # cells that spread the draws over the sources
+MOST_SHARDS = 1 << 16  # a larger mix gets larger shards, so that a source has no more rows of counts than this
+TASK_SLOTS = 250_000  # slots that one task lists
 
 
 @dataclass(frozen=True)
@@ -100,6 +102,7 @@ def mix(
 
     totals = sources.agg(F.sum("slots"), F.sum("source_size")).first()
     n_slots = round(totals[0] or 0)
+    shard_blocks = max(shard_blocks, -(-n_slots // MOST_SHARDS))
     n_shards = -(-n_slots // shard_blocks)
     # Positions of documents in their source: cells of some cell_rows documents, then documents within a cell.
     cells = max(1, -(-sized.count() // cell_rows))
@@ -145,6 +148,7 @@ def mix(
     counts = counts.groupBy("shard", "place").agg(F.sum("n").alias("n")).filter("n > 0")
     first_slot = F.sum("n").over(Window.partitionBy("place").orderBy("shard")) - F.col("n")
     slots = counts.withColumn("from", first_slot).join(sources.select("place", "n_blocks"), "place")
+    slots = slots.repartition(-(-max(n_slots, 1) // TASK_SLOTS), "place", "shard")  # a few bytes of counts stand for many slots
     slots = slots.withColumn("k", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("n") - 1))).filter(
         F.col("k") < F.col("n_blocks") * most)  # a draw beyond the last round finds no block left
     slots = slots.withColumn("round", F.floor(F.col("k") / F.col("n_blocks")).cast("long"))
@@ -176,12 +180,17 @@ def mix_documents(documents: DataFrame, **options) -> DataFrame:
     parts = made.taken.groupBy("_row", "round").agg(
         F.sort_array(F.collect_list(F.struct("first", "words"))).alias("parts"), F.sum("words").alias("words"))
     parts = parts.join(made.documents.select("_row", "size"), "_row")
-    of, cut, words = (unused(n, [*numbered.columns, row]) for n in ("_of", "_parts", "_words"))
+    of, cut = (unused(n, [*numbered.columns, row]) for n in ("_of", "_parts"))
     parts = parts.select(F.col("_row").alias(of), F.when(F.col("words") < F.col("size"), F.col("parts")).alias(cut))
     met = numbered.join(parts, F.col(row) == F.col(of))
-    split = F.regexp_extract_all("text", F.lit(f"({WORD})"))
-    some = F.array_join(F.flatten(F.transform(cut, lambda p: F.slice(F.col(words), (p["first"] + 1).cast("int"), p["words"].cast("int")))), " ")
-    met = met.withColumn(words, F.when(F.col(cut).isNotNull(), split)).withColumn("text", F.when(F.col(cut).isNull(), F.col("text")).otherwise(some))
+
+    def taken(words: Column) -> Column:
+        pieces = F.transform(cut, lambda p: F.slice(words, (p["first"] + 1).cast("int"), p["words"].cast("int")))
+        return F.array_join(F.flatten(pieces), " ")
+
+    # The words are bound by an outer transform, so that they are found once per document and not once per piece.
+    some = F.transform(F.array(F.regexp_extract_all("text", F.lit(f"({WORD})"))), taken)[0]
+    met = met.withColumn("text", F.when(F.col(cut).isNull(), F.col("text")).otherwise(some))
     if "n_chars" in documents.columns:
         met = met.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
     return met.select(*documents.columns)
