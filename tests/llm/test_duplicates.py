@@ -12,7 +12,8 @@ from llm.cases import documents, edge_rows, prose, with_clashing_columns
 from oracle import compare, connect
 from pyspark.sql import functions as F
 
-from vecferry.llm import exact, lines, queries, simhash, substrings, suffixes, windows
+import corpus_pipeline
+from vecferry.llm import exact, lines, near, queries, simhash, substrings, suffixes, windows
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -301,3 +302,75 @@ def test_components_of_a_long_chain(spark):
     random.Random(1).shuffle(edges)
     found = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**dict.fromkeys(range(61), 0), 100: 100, 101: 100, 103: 100}
+
+
+# Similar shingles
+
+
+def shingle_set(text, size=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} or {tuple(words)}
+
+
+def similar_groups(rows, percent=80):
+    """The smallest identifier of each row's group, by comparing every pair of sets."""
+    sets = [shingle_set(r[1]) for r in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if find(i) != find(j) and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                parent[find(i)] = find(j)
+    known = defaultdict(list)
+    for i, row in enumerate(rows):
+        known[find(i)] += [] if row[0] is None else [row[0]]
+    return [min(known[find(i)], default=None) for i in range(len(rows))]
+
+
+def copies_at_all_similarities(rnd):
+    """Texts with copies that differ in a few words, so that similarities lie on both sides of 0.8, and a large group."""
+    rows = []
+    for i in range(60):
+        words = [f"w{rnd.randrange(3000)}" for _ in range(rnd.choice([3, 9, 20, 60, 150]))]
+        rows.append((len(rows), " ".join(words)))
+        for _ in range(rnd.randrange(4)):
+            words = list(words)
+            for _ in range(rnd.randrange(1, 2 + len(words) // 40)):
+                words[rnd.randrange(len(words))] = f"v{rnd.randrange(3000)}"
+            rows.append((len(rows), " ".join(words)))
+    base = [f"g{i}" for i in range(100)]
+    for i in range(90):
+        words = list(base)
+        for _ in range(rnd.randrange(1, 5)):
+            words[rnd.randrange(100)] = f"u{rnd.randrange(10_000)}"
+        rows.append((len(rows), " ".join(words)))
+    rnd.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("few,stars", [(near.FEW, near.STARS), (1, 1), (1, 0)])
+def test_near_components(spark, few, stars):
+    rows = copies_at_all_similarities(random.Random(6))
+    got = near.near_components(documents(spark, rows), few=few, stars=stars)
+    assert {r.doc_id: r.component_id for r in got.collect()} == dict(zip([r[0] for r in rows], similar_groups(rows)))
+
+
+def test_near_components_edge_cases(spark):
+    rows = edge_rows()
+    frame = with_clashing_columns(documents(spark, rows))
+    got = Counter((r.doc_id, r.component_id) for r in near.near_components(frame).collect())
+    assert got == Counter(zip([r[0] for r in rows], similar_groups(rows)))
+    assert near.near_dedup(frame).columns == frame.columns
+    assert near.near_components(documents(spark, [])).count() == 0
+
+
+def test_pipeline_stage_finds_all_similar_texts(spark):
+    rows = copies_at_all_similarities(random.Random(8))
+    rows += [(r.doc_id + 10_000, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    got = corpus_pipeline.drop_near_copies(spark, documents(spark, rows), SF_DIR)
+    assert sorted(r.doc_id for r in got.collect()) == sorted({g for g in similar_groups(rows)})
