@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vecferry.llm import exact, lines, mixing, packing, pii, quality, simhash, substrings, suffixes, tokenfiles
+from vecferry.llm import exact, lines, lm, mixing, packing, pii, quality, simhash, substrings, suffixes, tokenfiles
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -53,9 +53,14 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digest(suffixes.byte_dedup(_table(spark, sf_dir)))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(_table(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_exact_dedup, op3_best_fit_packing, op4_substring_dedup, op5_source_mixing,
-    op6_simhash_near_dedup, op7_token_files, op8_line_dedup, op9_pii, op10_suffix_array_dedup)}
+    op6_simhash_near_dedup, op7_token_files, op8_line_dedup, op9_pii, op10_suffix_array_dedup,
+    op11_lm_scoring)}
 
 _EXACT = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
