@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vecferry.llm import exact, lines, lm, mixing, packing, pii, quality, simhash, substrings, suffixes, tokenfiles
+from vecferry.llm import clusters, exact, lines, lm, mixing, packing, pii, quality, simhash, substrings, suffixes, tokenfiles
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -57,10 +57,14 @@ def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(_table(spark, sf_dir))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.digest(clusters.cluster_vectors(_table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_exact_dedup, op3_best_fit_packing, op4_substring_dedup, op5_source_mixing,
     op6_simhash_near_dedup, op7_token_files, op8_line_dedup, op9_pii, op10_suffix_array_dedup,
-    op11_lm_scoring)}
+    op11_lm_scoring, op12_centroid_clustering)}
 
 _EXACT = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -102,4 +106,32 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLES = {"op2_exact_dedup": _EXACT, "op4_substring_dedup": _PASSAGES, "op8_line_dedup": _LINES}
+_CLUSTERS = """
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS c, v
+  FROM (SELECT sha256('2:' || vec_id) AS h, v FROM kept ORDER BY h LIMIT 40)),
+""" + "".join(f"""
+a{n} AS MATERIALIZED (
+  SELECT vec_id, k.v, min(struct_pack(
+    d := list_inner_product(k.v, k.v) - 2 * list_inner_product(k.v, o.v) + list_inner_product(o.v, o.v), c := o.c)) AS best
+  FROM kept k, c{n} o GROUP BY vec_id, k.v),
+c{n + 1} AS MATERIALIZED (
+  SELECT c, coalesce(m.v, o.v) AS v FROM c{n} o LEFT JOIN (
+    SELECT c, list(x ORDER BY i) AS v FROM (
+      SELECT best.c AS c, i, floor(sum(v[i]) / count(*)) AS x FROM a{n}, range(1, 65) AS r(i) GROUP BY 1, 2) GROUP BY c) m USING (c)),
+""" for n in range(5)) + """
+a5 AS MATERIALIZED (
+  SELECT vec_id, min(struct_pack(
+    d := list_inner_product(k.v, k.v) - 2 * list_inner_product(k.v, o.v) + list_inner_product(o.v, o.v), c := o.c)) AS best
+  FROM kept k, c5 o GROUP BY vec_id, k.v)
+SELECT vec_id, best.c::INTEGER AS cluster, best.d::BIGINT AS distance,
+       (sum(best.d) OVER (PARTITION BY best.c))::BIGINT AS cluster_inertia, (sum(best.d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(list_transform(o.v, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a5 JOIN c5 o ON o.c = best.c
+"""
+
+ORACLES = {"op2_exact_dedup": _EXACT, "op4_substring_dedup": _PASSAGES, "op8_line_dedup": _LINES,
+    "op12_centroid_clustering": _CLUSTERS}
