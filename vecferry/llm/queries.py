@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vecferry.llm import clusters, exact, lines, lm, mixing, packing, pii, quality, simhash, substrings, suffixes, tokenfiles
+from vecferry.llm import clusters, exact, lines, lm, mixing, packing, pii, quality, simhash, substrings, suffixes, tokenfiles, trie
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -61,10 +61,14 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.digest(clusters.cluster_vectors(_table(spark, sf_dir, "embeddings")))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_exact_dedup, op3_best_fit_packing, op4_substring_dedup, op5_source_mixing,
     op6_simhash_near_dedup, op7_token_files, op8_line_dedup, op9_pii, op10_suffix_array_dedup,
-    op11_lm_scoring, op12_centroid_clustering)}
+    op11_lm_scoring, op12_centroid_clustering, op13_conversation_trie)}
 
 _EXACT = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -133,5 +137,39 @@ SELECT vec_id, best.c::INTEGER AS cluster, best.d::BIGINT AS distance,
 FROM a5 JOIN c5 o ON o.c = best.c
 """
 
+_CRC32 = """xor(list_reduce(list_concat([4294967295], list_transform(string_split({}::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda r, z: xor(r >> 1, (r & 1) * 3988292384))), 4294967295)"""
+
+_TRIE = rf"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, {_CRC32.format("conv_id")} % 4 AS h, conv_id - conv_id % 20 AS base FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS own, i, role, text FROM convs c JOIN turns t ON t.conv_id = c.base AND i <= h
+  UNION ALL SELECT c.conv_id, 1, i, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND i > h),
+lists AS (
+  SELECT conv_id, list(md5(length(role) || ':' || role || text) ORDER BY own, i) AS ks,
+         list(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) ORDER BY own, i) AS ws FROM rebuilt GROUP BY conv_id),
+whole AS (SELECT conv_id, coalesce(ks, []) AS ks, coalesce(ws, []) AS ws FROM convs LEFT JOIN lists USING (conv_id)),
+paths AS (
+  SELECT conv_id, d, d = len(ks) AS ends, CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS w, md5(array_to_string(ks[1:d], ',')) AS node,
+         CASE WHEN d > 0 THEN md5(array_to_string(ks[1:d - 1], ',')) END AS parent
+  FROM (SELECT *, unnest(range(len(ks) + 1)) AS d FROM whole)),
+nodes AS (
+  SELECT node, d, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n, any_value(w) AS w,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ids FROM paths GROUP BY node, d),
+children AS (SELECT parent, count(*) AS n FROM nodes WHERE d > 0 GROUP BY parent),
+below AS (
+  SELECT a.node, count(*) FILTER (x.node NOT IN (SELECT parent FROM children)) AS n_leaves, sum((x.n - 1) * x.w) AS saved
+  FROM nodes x JOIN paths a ON a.conv_id = x.conv_id AND a.d <= x.d GROUP BY a.node)
+SELECT x.conv_id, x.d AS depth, p.conv_id AS parent_conv_id, x.n AS n_convs, coalesce(c.n, 0) AS n_children, n_leaves,
+       saved::BIGINT AS saved_tokens, sha256(x.ids) AS ends_sha256
+FROM nodes x LEFT JOIN nodes p ON p.node = x.parent LEFT JOIN children c ON c.parent = x.node JOIN below b ON b.node = x.node
+"""
+
 ORACLES = {"op2_exact_dedup": _EXACT, "op4_substring_dedup": _PASSAGES, "op8_line_dedup": _LINES,
-    "op12_centroid_clustering": _CLUSTERS}
+    "op12_centroid_clustering": _CLUSTERS, "op13_conversation_trie": _TRIE}
