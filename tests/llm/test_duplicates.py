@@ -369,6 +369,46 @@ def test_near_components_edge_cases(spark):
     assert near.near_components(documents(spark, [])).count() == 0
 
 
+def counted(monkeypatch):
+    """Collects the rows of every table that the near stage writes, by name."""
+    rows = defaultdict(list)
+    write = near.written
+
+    def noted(table, name):
+        out = write(table, name)
+        rows[name].append(out.count())
+        return out
+
+    monkeypatch.setattr(near, "written", noted)
+    return rows
+
+
+def test_unrelated_texts_with_one_passage_are_not_compared_pair_by_pair(spark, monkeypatch):
+    rnd = random.Random(2)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for i in range(400):  # 56 common shingles of 57 to 75: some sizes reach the similarity, most don't
+        own = [f"o{i}x{j}" for j in range(rnd.randrange(1, 20))]
+        rows.append((i, " ".join(own + passage)))
+    made = counted(monkeypatch)
+    got = near.near_components(documents(spark, rows))
+    assert {r.doc_id: r.component_id for r in got.collect()} == dict(zip([r[0] for r in rows], similar_groups(rows)))
+    assert sum(made["pairs"]) <= 2 * len(rows)
+
+
+def test_texts_of_common_passages_in_different_mixes(spark, monkeypatch):
+    rnd = random.Random(3)
+    passages = [[f"p{k}w{i}" for i in range(40)] for k in range(4)]
+    rows = []
+    for i in range(240):
+        chosen = rnd.sample(range(4), rnd.randrange(1, 4))
+        rows.append((i, " ".join([f"o{i}x{j}" for j in range(rnd.randrange(8))] + [w for k in sorted(chosen) for w in passages[k]])))
+    made = counted(monkeypatch)
+    got = near.near_components(documents(spark, rows), few=1, stars=0)
+    assert {r.doc_id: r.component_id for r in got.collect()} == dict(zip([r[0] for r in rows], similar_groups(rows)))
+    assert sum(made["pairs"]) <= 20 * len(rows)
+
+
 def test_pipeline_stage_finds_all_similar_texts(spark):
     rows = copies_at_all_similarities(random.Random(8))
     rows += [(r.doc_id + 10_000, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
