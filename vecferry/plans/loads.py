@@ -20,6 +20,7 @@ from vecferry.plans import catalog
 from vecferry.plans.rows import CUSTOMER_SPECS, DIRTY_SQL, dirty_customer
 from vecferry.plans.tables import table
 from vecferry.session import work_path
+from vecferry.sources import bulk
 from vecferry.sources import definitions as de
 from vecferry.sources import documents as src
 from vecferry.sources import target as tg
@@ -88,6 +89,18 @@ def q_load_append(spark, sf_dir):
     )
 
 
+def q_bulk_export(spark, sf_dir):
+    """Vectors out as bulk-import files, in two writes, and read back from them."""
+    path = work_path(spark, "bulk")
+    rows = _vector_rows(spark, sf_dir)
+    for mode, even in (("overwrite", True), ("append", False)):
+        bulk.export(rows.filter((F.col("id") % 2 == 0) == even), path, mode, max_rows=BATCH)
+    stored = bulk.read(spark, path)
+    return stored.select(
+        "id", "label", F.size("vector").alias("dim"), F.element_at("vector", 1).cast("double").alias("first"),
+        F.round(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double")), 6).alias("total"))
+
+
 def q_count_target(spark, sf_dir):
     path = work_path(spark, "target")
     tg.append(_vector_rows(spark, sf_dir), path)
@@ -389,6 +402,8 @@ ORACLES = {
     "payload_size": """SELECT n_bytes, n_bytes / 1048576.0::DOUBLE AS megabytes FROM (SELECT CAST(sum(octet_length(encode(
       to_json({'doc_id': doc_id, 'text': text, 'lang': lang, 'source': source, 'n_chars': n_chars})::VARCHAR))) AS BIGINT)
       AS n_bytes FROM documents)""",
+    "bulk_export": """SELECT vec_id AS id, label, len(embedding)::INTEGER AS dim, embedding[1]::DOUBLE AS first,
+      round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS total FROM embeddings""",
     "load_append": """SELECT label, count(*) AS n_rows, CAST(sum(vec_id) AS BIGINT) AS id_sum,
       CAST(min(len(embedding)) AS INTEGER) AS dim FROM embeddings GROUP BY label""",
     "count_target": "SELECT count(*) AS n_documents FROM embeddings",
