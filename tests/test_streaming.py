@@ -117,24 +117,6 @@ def test_changes_upsert_delete_and_late_arrival(spark, tmp_path):
     assert sorted(after.collect()) == sorted(changes.current_state(spark, log, ["k"], ["seq"], deleted).collect())
 
 
-def test_bucketed_table_rewrites_only_what_a_batch_touches(spark, tmp_path):
-    feed, path, checkpoint = (str(tmp_path / n) for n in ("feed", "table", "cp"))
-    feeds = [
-        [(k, 1, "put", f"a{k}") for k in range(40)],
-        [(3, 2, "put", "b"), (4, 2, "del", None)],
-        [(3, 1, "put", "late"), (4, 3, "put", "back"), (99, 1, "put", "new")],
-    ]
-    for rows in feeds:
-        spark.createDataFrame(rows, CHANGES).coalesce(1).write.mode("append").parquet(feed)
-        stream = load.read_stream(spark, feed, spark.createDataFrame([], CHANGES).schema)
-        changes.apply_to_table(stream, path, checkpoint, ["k"], ["seq"], buckets=16)
-    state = {r.k: r.v for r in changes.table_state(spark, path, F.col("op") == "del").collect()}
-    assert state == {**{k: f"a{k}" for k in range(40)}, 3: "b", 4: "back", 99: "new"}
-    written = spark.read.parquet(f"{path}/rows").groupBy("batch_id").agg(F.count_distinct("_bucket").alias("n"))
-    found = {r.batch_id: r.n for r in written.collect()}
-    assert found[0] > 8 and found[1] <= 2 and found[2] <= 3
-
-
 def test_first_of_each_is_the_same_in_every_run(spark):
     rows = [(1, 5, "x"), (1, 2, "y"), (1, 2, "z"), (2, 1, "w")]
     found = {tuple(sorted(map(tuple, changes.first_of_each(spark.createDataFrame(rows[::d], "k int, s int, v string").repartition(n), "k", ["s"]).collect())))

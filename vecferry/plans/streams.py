@@ -13,6 +13,7 @@ from vecferry.plans.tables import table
 from vecferry.session import work_path
 from vecferry.sources import target as tg
 from vecferry.streaming import changes, load
+from vecferry.streaming import table as kept
 
 BATCHES = 4
 EVENT_SPECS = [
@@ -117,12 +118,22 @@ def _change_stream(spark, sf_dir):
     return load.read_stream(spark, staged, feed.schema, files_per_batch=_stage(feed, staged))
 
 
+USER, ORDER, DELETED = ["user_id"], ["ts", "event_id"], "event_type = 'error'"
+
+
 def q_cdc_upsert(spark, sf_dir):
-    """Events as changes to one row per user, kept in a table of key buckets; an ``error`` event deletes the row."""
+    """Events as changes to one row per user, merged when read; an ``error`` event deletes the row."""
     path = work_path(spark, "users")
-    changes.apply_to_table(_change_stream(spark, sf_dir), path, work_path(spark, "checkpoint"), ["user_id"], ["ts", "event_id"])
-    state = changes.table_state(spark, path, F.col("event_type") == "error")
-    return state.select("user_id", "event_id", "event_type", "value")
+    kept.apply_to_table(_change_stream(spark, sf_dir), path, work_path(spark, "checkpoint"), USER, ORDER)
+    return kept.table_state(spark, path, USER, ORDER, F.expr(DELETED)).select("user_id", "event_id", "event_type", "value")
+
+
+def q_cdc_merged(spark, sf_dir):
+    """The same with two runs a level and small buckets, so that levels are merged and buckets split; then vacuumed."""
+    path = work_path(spark, "users")
+    kept.apply_to_table(_change_stream(spark, sf_dir), path, work_path(spark, "checkpoint"), USER, ORDER, fan_in=2, bucket_bytes=32 * 1024)
+    kept.vacuum(spark, path)
+    return kept.table_state(spark, path, USER, ORDER, F.expr(DELETED)).select("user_id", "event_id", "event_type", "value")
 
 
 def q_cdc_compacted(spark, sf_dir):
@@ -188,6 +199,7 @@ ORACLES = {
       CAST(sum(user_id) AS BIGINT) AS user_sum FROM events WHERE event_id % 11 <> 0 GROUP BY 1""",
     "stream_rejects": "SELECT event_id AS id, 'bad value in props' AS reason FROM events WHERE event_id % 11 = 0",
     "cdc_upsert": _LAST_CHANGE,
+    "cdc_merged": _LAST_CHANGE,
     "cdc_compacted": _LAST_CHANGE,
     "stream_dedup": _UNIQUE,
     "stream_append_new": _UNIQUE,

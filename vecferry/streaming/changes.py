@@ -1,8 +1,7 @@
-"""Change feed applied to a table, and ingest that is safe against repeated delivery.
+"""A log of changes, and ingest that is safe against repeated delivery.
 
-Both tables are laid out by hash bucket of the key: a batch reads and writes only the buckets that its keys fall in, below
-a folder named by the batch id, so a batch that runs again overwrites its own output. A manifest per batch names, for
-every bucket, the batch that wrote it last; its size is the number of buckets.
+Rows of a batch go below a folder named by its id, so a batch that runs again overwrites its own output. ``table`` has the
+change feed that is kept as a table.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecferry.sources.target import folder_exists
+from vecferry.sources.target import balanced, folder_exists
 
 BUCKET = "_bucket"
 
@@ -29,7 +28,7 @@ def latest_changes(changes: DataFrame, keys: list[str], sequence: list[str]) ->
     ])
 
 
-def _run(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+def run_batches(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     query = (
         stream.writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -46,7 +45,7 @@ def apply_changes(stream: DataFrame, log_path: str, checkpoint: str, keys: list[
     def batch(rows: DataFrame, batch_id: int) -> None:
         latest_changes(rows, keys, sequence).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
 
-    _run(stream, batch, checkpoint)
+    run_batches(stream, batch, checkpoint)
 
 
 def current_state(
@@ -78,53 +77,6 @@ def _bucket(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def _manifest(spark: SparkSession, path: str, before: int | None = None) -> dict[int, int]:
-    """Bucket -> the batch that wrote it last, among the batches before ``before``. A row per bucket at most."""
-    if not folder_exists(spark, f"{path}/manifest"):
-        return {}
-    schema = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("written_by", T.LongType()), T.StructField("batch_id", T.LongType())])
-    noted = spark.read.schema(schema).parquet(f"{path}/manifest")
-    noted = noted if before is None else noted.filter(F.col("batch_id") < before)
-    last = noted.agg(F.max("batch_id").alias("n")).first().n
-    if last is None:
-        return {}
-    return {r.bucket: r.written_by for r in noted.filter(F.col("batch_id") == last).collect()}
-
-
-def _read_buckets(spark: SparkSession, path: str, owners: dict[int, int], schema: T.StructType | None = None) -> DataFrame:
-    paths = [f"{path}/rows/batch_id={batch}/{BUCKET}={bucket}" for bucket, batch in sorted(owners.items())]
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.option("basePath", f"{path}/rows").parquet(*paths).drop("batch_id", BUCKET)
-
-
-def apply_to_table(
-    stream: DataFrame, path: str, checkpoint: str, keys: list[str], sequence: list[str], buckets: int = 64
-) -> None:
-    """Keeps a table of the last change per key; every batch rewrites the buckets that its keys fall in."""
-
-    def batch(rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
-        fresh = latest_changes(rows, keys, sequence).withColumn(BUCKET, _bucket(keys, buckets))
-        touched = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())  # at most ``buckets`` numbers
-        owners = _manifest(spark, path, batch_id)
-        old = {b: owners[b] for b in touched if b in owners}
-        merged = fresh.drop(BUCKET)
-        if old:
-            merged = latest_changes(merged.unionByName(_read_buckets(spark, path, old, merged.schema)), keys, sequence)
-        target = f"{path}/rows/batch_id={batch_id}"
-        merged.withColumn(BUCKET, _bucket(keys, buckets)).repartition(max(1, len(touched)), BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(target)
-        owners |= dict.fromkeys(touched, batch_id)
-        noted = spark.createDataFrame(sorted(owners.items()), "bucket int, written_by long")
-        noted.coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/batch_id={batch_id}")  # last: it makes the batch visible
-
-    _run(stream, batch, checkpoint)
-
-
-def table_state(spark: SparkSession, path: str, is_delete: Column) -> DataFrame:
-    """The table that ``apply_to_table`` keeps: one folder per bucket is read, whatever the number of batches."""
-    return _read_buckets(spark, path, _manifest(spark, path)).filter(~is_delete)
-
-
 def deduplicated(stream: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
     """First delivery of every key, with state bounded by the delay: it holds the keys of that span of event time.
 
@@ -157,9 +109,9 @@ def append_new(stream: DataFrame, path: str, checkpoint: str, key: str, sequence
             schema = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.LongType()), T.StructField(BUCKET, T.IntegerType())])
             stored = spark.read.schema(schema).parquet(path).filter((F.col("batch_id") < batch_id) & F.col(BUCKET).isin(touched))
             fresh = fresh.join(stored.select(key), key, "left_anti")
-        fresh.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/batch_id={batch_id}")
+        balanced(fresh, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/batch_id={batch_id}")
 
-    _run(stream, batch, checkpoint)
+    run_batches(stream, batch, checkpoint)
 
 
 def stored_rows(spark: SparkSession, path: str) -> DataFrame:
