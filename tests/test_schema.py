@@ -192,3 +192,12 @@ def test_an_index_wider_than_allowed_fails_loudly(loaded):
     with pytest.raises(ValueError, match="more than 5 fields"):
         tr.field_specs(converted(loaded), "recipes", max_fields=5)
     assert len(tr.field_specs(converted(loaded), "recipes", max_fields=6)) == 6
+
+
+def test_more_vector_fields_than_allowed_fail_loudly(loaded):
+    fields = converted(loaded)
+    spark = fields.sparkSession
+    resolved = spark.createDataFrame([("recipes", f"v{i}", "HNSW", "COSINE") for i in range(7)], "index_name string, field_name string, index_type string, metric_type string")
+    with pytest.raises(ValueError, match="more than 6 vector fields"):
+        tr.field_specs(fields, "recipes", max_fields=6, resolved=resolved)
+    assert len(tr.field_specs(fields, "recipes", max_fields=7, resolved=resolved)) == 6

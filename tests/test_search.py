@@ -68,6 +68,7 @@ def test_knn_equals_brute_force(vectors, queries, metric, broadcast):
 def test_many_small_blocks_give_the_same(vectors, queries, monkeypatch):
     from vecferry.operators import scoring
 
+    monkeypatch.setattr(scoring, "FEW_QUERIES", 1)
     monkeypatch.setattr(scoring, "MAX_BROADCAST_QUERIES", 2)
     monkeypatch.setattr(scoring, "BLOCK_ROWS", 40)
     monkeypatch.setattr(scoring, "CELLS_PER_STEP", 64)

@@ -23,6 +23,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
+from vecferry.session import written
+
+FEW_QUERIES = 256  # taken to the driver unmeasured
 MAX_BROADCAST_QUERIES = 16_384
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 16_384  # of items and of queries: equal blocks copy the least data for the memory of a task
@@ -237,25 +240,33 @@ class _Keeper:
             yield self._result(self.kept, schema)
 
 
-def _fits(queries: DataFrame) -> pa.Table | None:
-    """The query side if it is small enough to broadcast; it is measured before any row reaches the driver."""
+def _fits(queries: DataFrame) -> tuple[pa.Table | None, DataFrame]:
+    """The query side if it is small enough to broadcast, and where to read it otherwise; it is worked out once.
+
+    A few rows come to the driver as they are. More are written first and measured before they do.
+    """
+    few = queries.limit(FEW_QUERIES + 1).toArrow()
+    if few.num_rows <= FEW_QUERIES:
+        return (few if few.nbytes <= MAX_BROADCAST_BYTES else None), queries
+    queries = written(queries, "queries")
     n_rows, n_bytes = _measured(queries)
-    return queries.toArrow() if n_rows <= MAX_BROADCAST_QUERIES and n_bytes <= MAX_BROADCAST_BYTES else None
+    return (queries.toArrow() if n_rows <= MAX_BROADCAST_QUERIES and n_bytes <= MAX_BROADCAST_BYTES else None), queries
 
 
 def matches(
     items: DataFrame, queries: DataFrame, scorer, id_column: str, carry: list[str] | None = None, k: int | None = None,
-    group: str | None = None, band: tuple[float, float] | None = None, broadcast: bool | None = None,
+    group: str | None = None, band: tuple[float, float] | None = None, broadcast: bool | None = None, derived: bool = False,
 ) -> DataFrame:
     """Rows ``query_id, <id>, <carry...>, score`` and, with ``k``, ``rank``.
 
     ``k``: the best k per query, or per query and ``group`` value. ``band``: all with low <= score < high.
-    Neither: every score. Ties go to the lower id. ``broadcast=False`` forces the block way.
+    Neither: every score. Ties go to the lower id. ``broadcast=False`` forces the block way, in which both sides are
+    measured first; items that are ``derived``, not read, are then written so that they are worked out once.
     """
     wanted = [c for c in dict.fromkeys(carry or []) if c not in (group, id_column)]
     if wanted and k is not None:
         # A task may hold an item once per query and group: only ids travel, fields are fetched for what is left.
-        best = matches(items, queries, scorer, id_column, None, k, group, None, broadcast)
+        best = matches(items, queries, scorer, id_column, None, k, group, None, broadcast, derived)
         return best.join(items.select(id_column, *wanted), id_column).select(
             "query_id", id_column, *[c for c in dict.fromkeys(carry) if c != id_column], *([group] if group and group not in carry else []), "score", "rank")
     carry = list(dict.fromkeys([*(carry or []), *([group] if group else [])]))
@@ -271,10 +282,11 @@ def matches(
     def keeper(query_table: pa.Table) -> _Keeper:
         return _Keeper(scorer, query_table, id_column, carry, k, group, band)
 
-    small = None if broadcast is False else _fits(queries)
+    small, queries = (None, written(queries, "queries")) if broadcast is False else _fits(queries)
     if small is not None:
         found = _scan(items, small, keeper, out, arrow_out)
     else:
+        items = written(items, "items") if derived else items
         found = _meet_in_blocks(items, queries, keeper, id_column, out, arrow_out)
     if k is None:
         return found

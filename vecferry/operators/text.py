@@ -129,7 +129,7 @@ def bm25_search(
     weighted = terms.join(statistics, "term").withColumn("weight", inverse_frequency(n_documents, F.col("df")))
     scored = postings.filter(F.col("term") != ALL).withColumn("weight", saturated(mean_words))
     items = as_lists(scored.select(id_column, "term", "weight"), id_column)
-    return matches(items, as_lists(weighted, "query_id"), Sparse(), id_column, k=k, broadcast=broadcast)
+    return matches(items, as_lists(weighted, "query_id"), Sparse(), id_column, k=k, broadcast=broadcast, derived=True)
 
 
 def bm25_weights(documents: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -167,4 +167,4 @@ def sparse_search(
 ) -> DataFrame:
     """Best k by inner product of sparse maps; ``queries`` has query_id, terms, weights."""
     items = vectors.select(id_column, F.map_keys("sparse").alias("terms"), F.map_values("sparse").alias("weights"))
-    return matches(items, queries, Sparse(), id_column, k=k, broadcast=broadcast)
+    return matches(items, queries, Sparse(), id_column, k=k, broadcast=broadcast, derived=True)

@@ -25,7 +25,10 @@ def field_specs(
     indexes = {}
     if resolved is not None:
         of_index = resolved.filter(F.col("index_name") == index_name).select("field_name", "index_type", "metric_type")
-        indexes = {r.field_name: (r.index_type, r.metric_type) for r in of_index.limit(max_fields).collect()}
+        found = of_index.limit(max_fields + 1).collect()
+        if len(found) > max_fields:
+            raise ValueError(f"index {index_name} declares more than {max_fields} vector fields")
+        indexes = {r.field_name: (r.index_type, r.metric_type) for r in found}
     rows = (
         conversions.filter((F.col("index_name") == index_name) & ~F.col("skipped"))
         .select("ordinal", "field_name", "target_name", "target_type", "element_type", "max_length",

@@ -13,6 +13,7 @@ from vecferry.functions.coerce import FieldSpec
 from vecferry.functions.edm import pair_table
 from vecferry.operators import batches as ba
 from vecferry.operators import checks as ch
+from vecferry.operators import digest_tree as dt
 from vecferry.operators import reconcile as rec
 from vecferry.operators import schema_map as sm
 from vecferry.operators import transform as tr
@@ -273,6 +274,16 @@ def q_reconcile_digest(spark, sf_dir):
     return rec.reconcile(docs, copy, "doc_id", ["text", "lang", "n_chars"], digest=True)
 
 
+def q_reconcile_tree(spark, sf_dir):
+    """Orders against a copy in which few differ: only leaves of the digest tree that do are joined."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    copy = orders.filter("o_orderkey % 3001 <> 5").withColumn(
+        "o_totalprice", F.when(F.col("o_orderkey") % 2003 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    extra = orders.filter("o_orderkey % 4001 = 9").withColumn("o_orderkey", -F.col("o_orderkey"))
+    return dt.reconcile_by_digest(
+        orders, copy.unionByName(extra), "o_orderkey", ["o_orderstatus", "o_totalprice", "o_orderpriority"])
+
+
 def q_reconcile_duplicates(spark, sf_dir):
     """A target that a restart has loaded again in part, a third of it with other balances."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", *COMPARED)
@@ -449,6 +460,10 @@ ORACLES = {
       UNION ALL SELECT 'vector_dim_half', bool_and(2 * len(embedding) = 128), '128', (2 * max(len(embedding)))::VARCHAR FROM embeddings
       UNION ALL SELECT 'vector_dim_half', bool_and(2 * len(embedding) = 64), '64', (2 * max(len(embedding)))::VARCHAR FROM embeddings
       UNION ALL SELECT 'vector_dim_bits', bool_and(ceil(60 / 8) = 8), '8', '8' FROM embeddings""",
+    "reconcile_tree": """WITH copy AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 2003 = 7 THEN o_totalprice + 1
+      ELSE o_totalprice END AS o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 3001 <> 5
+      UNION ALL SELECT -o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 4001 = 9) """
+      + _reconcile_sql(["o_orderstatus", "o_totalprice", "o_orderpriority"], "orders", "copy", "o_orderkey"),
     "reconcile_duplicates": """WITH again AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer UNION ALL
       SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal - 1 ELSE c_acctbal END, c_mktsegment
       FROM customer WHERE c_nationkey < 5) """ + _reconcile_sql(COMPARED, "customer", "again", "c_custkey"),
