@@ -362,8 +362,10 @@ def _meet_in_blocks(
     return _meet(left, right, ["_ib", "_qb"], keeper, out, arrow_out)
 
 
-def matches_by_cell(items: DataFrame, queries: DataFrame, scorer, id_column: str, k: int) -> DataFrame:
-    """The best k items per query among those with its cell; ``queries`` has a row per query and cell.
+def matches_by_cell(
+    items: DataFrame, queries: DataFrame, scorer, id_column: str, k: int | None, band: tuple[float, float] | None = None
+) -> DataFrame:
+    """The best k items per query among those with its cell, or all in the band; ``queries`` has a row per query and cell.
 
     Items and queries meet on the cell. A cell with many items is split by a salt, to each part of which its queries are
     copied; its queries are split likewise, so a task holds a block of either at most.
@@ -383,7 +385,7 @@ def matches_by_cell(items: DataFrame, queries: DataFrame, scorer, id_column: str
     ])
 
     def keeper(query_table: pa.Table) -> _Keeper:
-        return _Keeper(scorer, query_table, id_column, [], k, None, None)
+        return _Keeper(scorer, query_table, id_column, [], k, None, band)
 
     found = _meet(left, right, ["cell", "_ib", "_qb"], keeper, out, to_arrow_schema(out))
-    return _best(found, scorer, id_column, k)
+    return found if k is None else _best(found, scorer, id_column, k)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecferry.functions import vectors as ve
-from vecferry.operators import ann, fusion, search, text
+from vecferry.operators import ann, fusion, pruned, search, text
 from vecferry.plans.rows import packed_signs
 from vecferry.plans.tables import spread, table
 from vecferry.session import work_path
@@ -17,6 +17,7 @@ from vecferry.session import work_path
 K = 10
 DEPTH = 20
 DIM = 64
+BOUNDED_CELLS = 32
 CELLS, PROBES = 8, 6  # of 8 cells 6: mean recall of at least 0.9, which the tests hold
 PQ_PARTS, PQ_CENTRES, PQ_REFINE = 8, 32, 8
 
@@ -121,6 +122,23 @@ def q_ann_all_cells(spark, sf_dir):
     return ann.ann_search(_cells(spark, sf_dir), label_queries(spark, sf_dir), K, CELLS)
 
 
+def _bounded(spark, sf_dir, metric="L2"):
+    return pruned.build_bounded_cells(vectors(spark, sf_dir), work_path(spark, "bounded"), BOUNDED_CELLS, DIM, metric)
+
+
+def q_knn_pruned(spark, sf_dir):
+    """Exact nearest neighbours from the cells that may hold them."""
+    return pruned.pruned_knn(_bounded(spark, sf_dir), label_queries(spark, sf_dir), K)
+
+
+def q_knn_cosine_pruned(spark, sf_dir):
+    return pruned.pruned_knn(_bounded(spark, sf_dir, "COSINE"), label_queries(spark, sf_dir), K)
+
+
+def q_range_pruned(spark, sf_dir):
+    return pruned.pruned_range(_bounded(spark, sf_dir), label_queries(spark, sf_dir), 0.8, 0.95)
+
+
 def q_quantize_sq8(spark, sf_dir):
     coded = ann.quantize_sq8(vectors(spark, sf_dir))
     return coded.select("id", F.array_join("code", ",").alias("code"))
@@ -251,9 +269,13 @@ ORACLES = {
       sparse AS ({_top(_BM25_SCORES, k=DEPTH)})
       {_top('''SELECT query_id, id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS score FROM
         (SELECT query_id, id, rank FROM dense UNION ALL SELECT query_id, id, rank FROM sparse) GROUP BY 1, 2''')}""",
+    "knn_pruned": _knn_sql("L2"),
+    "knn_cosine_pruned": _knn_sql("COSINE"),
     "ann_all_cells": _knn_sql("COSINE"),
     "quantize_sq8": """WITH e AS (SELECT vec_id, p, embedding[p]::DOUBLE AS x FROM embeddings, range(1, 65) AS r(p)),
       m AS (SELECT p, min(x) AS lo, max(x) AS hi FROM e GROUP BY p)
       SELECT vec_id AS id, string_agg(CAST(CASE WHEN hi = lo THEN 0 ELSE floor((x - lo) / (hi - lo) * 255 + 0.5) END AS INTEGER)::VARCHAR, ','
         ORDER BY p) AS code FROM e JOIN m USING (p) GROUP BY vec_id""",
 }
+
+ORACLES["range_pruned"] = ORACLES["range_search"]
