@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +25,13 @@ from vecferry.session import work_path
 from vecferry.sources import bulk
 from vecferry.sources import definitions as de
 from vecferry.sources import documents as src
+from vecferry.sources import tables as tb
 from vecferry.sources import target as tg
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SCALARS = ["name", "nation", "balance", "segment"]
 BATCH = 500
+TABLE_BUCKETS = 8
 
 
 def documents(spark: SparkSession, sf_dir: str, select: list[str] | None = None) -> DataFrame:
@@ -129,6 +132,34 @@ def q_create_target(spark, sf_dir):
     return stored.select(*[s.target for s in CUSTOMER_SPECS], F.lit(",".join(map(str, loaded))).alias("created"))
 
 
+def q_create_table(spark, sf_dir):
+    """By name in the catalog: created, loaded in part, kept by a second creation, and completed by key."""
+    name, path = f"customers_{uuid.uuid4().hex}", work_path(spark, "table")
+    rows = tr.accepted(tr.transform_documents(table(spark, sf_dir, "customer"), CUSTOMER_SPECS))
+    steps = [tb.table_exists(spark, name), tb.create_table(spark, name, CUSTOMER_SPECS, TABLE_BUCKETS, path=path)]
+    tb.append_table(rows.filter("id % 3 = 0"), name)
+    steps += [tb.table_exists(spark, name), tb.create_table(spark, name, CUSTOMER_SPECS, TABLE_BUCKETS)]
+    tb.load_missing(rows, name)
+    return spark.table(name).select(*[s.target for s in CUSTOMER_SPECS], F.lit(",".join(map(str, steps))).alias("steps"))
+
+
+def _saved(rows: DataFrame, key: str) -> DataFrame:
+    name = f"saved_{uuid.uuid4().hex}"
+    tb.save_table(rows, name, key, TABLE_BUCKETS, work_path(rows.sparkSession, "table"))
+    return rows.sparkSession.table(name)
+
+
+def q_table_reconcile(spark, sf_dir):
+    """Two bucketed tables against each other, bucket by bucket."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", *COMPARED)
+    return rec.reconcile(_saved(customer, "c_custkey"), _saved(altered_customer(spark, sf_dir).select("c_custkey", *COMPARED), "c_custkey"), "c_custkey", COMPARED)
+
+
+def q_table_missing(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return rec.missing_in_target(_saved(orders, "o_orderkey"), _saved(partial_orders(spark, sf_dir).select("o_orderkey"), "o_orderkey"), "o_orderkey")
+
+
 def q_load_definitions(spark, sf_dir):
     """The catalog written as JSON index definitions, loaded again and flattened."""
     path = work_path(spark, "definitions")
@@ -426,6 +457,10 @@ ORACLES = {
     "report_indexes": catalog.ORACLES["resolve_profile"],
     "create_target": """SELECT c_custkey AS id, substring(c_name, 1, 12) AS name, CAST(c_nationkey AS SMALLINT) AS nation,
       c_acctbal AS balance, c_mktsegment AS segment, 'True,False,True' AS created FROM customer""",
+    "create_table": """SELECT c_custkey AS id, substring(c_name, 1, 12) AS name, CAST(c_nationkey AS SMALLINT) AS nation,
+      c_acctbal AS balance, c_mktsegment AS segment, 'False,True,True,False' AS steps FROM customer""",
+    "table_reconcile": f"WITH {ALTERED_SQL} {_reconcile_sql(COMPARED, 'customer', 'altered', 'c_custkey')}",
+    "table_missing": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'P'",
     "batch_number": f"WITH {_NUMBERED} SELECT o_orderkey, (rn - 1) // 500 AS batch FROM numbered",
     "batch_number_text": """SELECT c_name, (row_number() OVER (ORDER BY c_name) - 1) // 100 AS batch FROM customer""",
     "skip_rows": f"WITH {_NUMBERED} SELECT o_orderkey, o_custkey FROM numbered WHERE rn > 1000",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecferry.functions import vectors as ve
-from vecferry.operators import ann, fusion, pruned, search, text
+from vecferry.operators import ann, fusion, postings, pruned, search, text
 from vecferry.plans.rows import packed_signs
 from vecferry.plans.tables import spread, table
 from vecferry.session import work_path
@@ -79,6 +79,14 @@ def q_bm25(spark, sf_dir):
     return text.bm25_search(texts(spark, sf_dir), benchmark_queries(spark, sf_dir), K)
 
 
+def q_bm25_stored(spark, sf_dir):
+    """The same from stored postings, which two additions have made."""
+    path = work_path(spark, "postings")
+    for even in (True, False):
+        postings.add_documents(texts(spark, sf_dir).filter((F.col("doc_id") % 2 == 0) == even), path)
+    return postings.search_stored(spark, path, benchmark_queries(spark, sf_dir), K)
+
+
 def q_bm25_weights(spark, sf_dir):
     weights = text.bm25_weights(texts(spark, sf_dir))
     return weights.select("doc_id", "term", F.round("weight", 6).alias("weight"))
@@ -278,4 +286,5 @@ ORACLES = {
         ORDER BY p) AS code FROM e JOIN m USING (p) GROUP BY vec_id""",
 }
 
+ORACLES["bm25_stored"] = ORACLES["bm25"]
 ORACLES["range_pruned"] = ORACLES["range_search"]
