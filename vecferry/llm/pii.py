@@ -1,14 +1,18 @@
 """Personal data: fixed rules, and a skip-chain conditional random field that adds what the rules miss.
 
 The rules find e-mail addresses, IPv4 addresses, card and phone numbers; what they find stays. The field labels the other
-tokens that hold a digit or an at sign. Its nodes are the spans of the rules, whose labels are given, and those tokens.
-Neighbours in the text share a chain potential; tokens anywhere in the document that are equal but for their writing
-(the same address, the same last seven digits) share a skip potential, so that a number named once in full is found again
-where it is written otherwise. Loopy belief propagation with damped messages gives each token's marginals.
-
-Training is piecewise. The labelled rows are the spans that the rules find in at most ``train_rows`` documents, those with
-the lowest hash of ``doc_id``, and at most ``train_tokens`` tokens of them: a softmax regression on the shape of a token
-gives the node potentials, counts of agreeing pairs give those of both kinds of edges.
+tokens that hold a digit or an at sign, and groups of digits that blanks, brackets, dots or hyphens join. Its nodes are the
+spans of the rules, whose labels are given, and those tokens. Neighbours in the text share a chain potential; tokens
+anywhere in the document that are equal but for their writing (the same address, the same last seven digits) share a
+skip potential with the one before and with the rules' span of that name, so that a number named once in full is found
+again where it is written otherwise. Loopy belief propagation with damped messages gives each token's marginals.
+
+Training is piecewise, on at most ``train_rows`` documents, those with the lowest hash of ``doc_id``, and at most
+``train_tokens`` tokens of them. What the rules find there is written anew in other forms, in copies of its surroundings
+that are appended to the text, and labelled with its kind. Beside one copy of each stands another with other digits, which nothing
+names: it is labelled none, like all other tokens, so that the form of a number alone does not decide. A softmax regression on the
+shape of a token and the words around it gives the node potentials; counts of pairs that agree and that don't give those of
+both kinds of edges.
 
 For scale: a document is one row and its graph is built where it is read; the number of edges is at most twice the number
 of nodes. One pass, no shuffle; the model is of fixed size.
@@ -44,6 +48,8 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 EDGE = " \t\n\x0b\x0c\r.,;:!?()[]{}<>\"'"
 QUAD = re.compile(r"([0-9]{1,3})[.:_-]([0-9]{1,3})[.:_-]([0-9]{1,3})[.:_-]([0-9]{1,3})")
 AT = re.compile(r"\(at\)|\[at\]|\{at\}", re.I)
+GROUPS = re.compile(r"\(?[0-9]+\)?(?:[ .-][0-9]+|[ .-]?\([0-9]+\)|(?<=\))[0-9]+)+")  # digits in groups
+AROUND = 40  # characters of a span's surroundings that its copies are written in
 
 Span = tuple[str, int, int]
 
@@ -103,6 +109,12 @@ def tokens(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def groups(text: str) -> list[tuple[int, int]]:
+    """Places of digit groups that together may be a number to call or pay with, where blanks or brackets join them."""
+    found = [m.span() for m in GROUPS.finditer(text) if " " in m[0] or "(" in m[0]]
+    return [(s, e) for s, e in found if 7 <= len(digits(text[s:e])) <= 19]
+
+
 def skip_key(token: str) -> str | None:
     """Tokens with the same key name the same thing, written alike or not."""
     quad = QUAD.fullmatch(token)
@@ -124,15 +136,23 @@ def allowed(token: str) -> list[bool]:
         not letters and 13 <= len(number) <= 19 and luhn(number), not letters and 7 <= len(number) <= 15]
 
 
-def features(token: str) -> list[int]:
-    """Places of a token's features: its shape, its coarse shape, its number of digits and checks of them."""
-    shape = "".join("9" if "0" <= c <= "9" else "a" if c.islower() else "A" if c.isupper() else c for c in token[:64])
+def features(token: str, before: str, after: str) -> list[int]:
+    """Places of a token's features: its shape, its coarse shape, its number of digits, checks of them, the words around it."""
+    shape = "".join("9" if "0" <= c <= "9" else "a" if c.islower() else "A" if c.isupper() else c for c in token)
     coarse = re.sub(r"(.)\1+", r"\1", shape)
     number = digits(token)
-    found = [f"s{shape}", f"c{coarse}", f"n{min(len(number), 20)}", f"l{13 <= len(number) <= 19 and luhn(number)}", f"@{'@' in token}", "1"]
+    found = [
+        f"s{shape}", f"c{coarse}", f"n{min(len(number), 20)}", f"l{13 <= len(number) <= 19 and luhn(number)}", f"@{'@' in token}", "1",
+        f"b{before}", f"a{after}"]
     return [crc32(x.encode("utf-8", "surrogatepass")) % PLACES for x in found]
 
 
+def described(text: str, start: int, end: int) -> list[int]:
+    """The features of a place: of the words around it those within ``AROUND`` characters."""
+    before, after = text[max(0, start - AROUND) : start].split(), text[end : end + AROUND].split()
+    return features(text[start:end], before[-1].strip(EDGE).lower() if before else "", after[0].strip(EDGE).lower() if after else "")
+
+
 @dataclass(frozen=True)
 class Field:
     """Node weights by feature and label, and the potentials of agreeing on the chain and on skip edges."""
@@ -146,23 +166,30 @@ def graph(text: str, spans: list[Span]) -> tuple[list[tuple[int, int, int]], lis
     """(nodes, chain edges, skip edges): nodes are (start, end, label), label 0 for tokens that the rules left."""
     taken = sorted((s, e) for _, s, e in spans)
     nodes = [(s, e, LABELS.index(k)) for k, s, e in spans]
-    at = 0
-    for start, end in tokens(text):
-        while at < len(taken) and taken[at][1] <= start:
-            at += 1
-        if at == len(taken) or taken[at][0] >= end:
-            nodes.append((start, end, 0))
+    for found in (groups(text), tokens(text)):  # a word inside of digit groups is no node of its own
+        at, held = 0, []
+        for start, end in found:
+            while at < len(taken) and taken[at][1] <= start:
+                at += 1
+            if at == len(taken) or taken[at][0] >= end:
+                held.append((start, end))
+        nodes += [(s, e, 0) for s, e in held]
+        taken = sorted(taken + held)
     nodes.sort()
     chain = [(i, i + 1) for i in range(len(nodes) - 1) if nodes[i + 1][0] - nodes[i][1] <= NEAR]
+    keys = [skip_key(text[start:end].strip(EDGE)) for start, end, _ in nodes]
+    named: dict[str, int] = {}
+    for i, (key, node) in enumerate(zip(keys, nodes, strict=True)):
+        if key is not None and node[2]:
+            named.setdefault(key, i)
     last: dict[str, int] = {}
     skip = []
-    for i, (start, end, _) in enumerate(nodes):
-        key = skip_key(text[start:end].strip(EDGE))
+    for i, key in enumerate(keys):
         if key is not None:
-            if key in last:
-                skip.append((last[key], i))
+            ends = {last.get(key, i), named.get(key, i)} - {i}
+            skip += [(min(i, j), max(i, j)) for j in sorted(ends)]
             last[key] = i
-    return nodes, chain, skip
+    return nodes, chain, sorted(set(skip))
 
 
 def propagate(unary: np.ndarray, edges: np.ndarray, strength: np.ndarray) -> np.ndarray:
@@ -203,14 +230,54 @@ def added_spans(text: str, spans: list[Span], field: Field) -> list[Span]:
         if label:
             unary[i, label] = 0.0
         else:
-            token = text[start:end]
-            unary[i] = np.where(allowed(token), field.weights[features(token)].sum(0), -40.0)
+            unary[i] = np.where(allowed(text[start:end]), field.weights[described(text, start, end)].sum(0), -40.0)
     edges = np.array(chain + skip, np.int64).reshape(-1, 2)
     strength = np.array([field.chain] * len(chain) + [field.skip] * len(skip))
     marginal = propagate(unary, edges, strength)
     return [(LABELS[j], nodes[i][0], nodes[i][1]) for i in free if (j := int(marginal[i].argmax())) and marginal[i, j] >= SURE]
 
 
+def rewritten(kind: str, token: str) -> list[str]:
+    """Other ways to write what the rules have found."""
+    number = digits(token)
+    if kind == "email":
+        return [token.replace("@", at) for at in ("(at)", "[at]")]
+    if kind == "ip":
+        return [token.replace(".", mark) for mark in "-_:"]
+    if kind == "card":
+        fours = [number[i : i + 4] for i in range(0, len(number), 4)]
+        return [".".join(fours)]
+    area, middle, rest = number[-10:-7], number[-7:-4], number[-4:]
+    return [f"{area}-{middle}-{rest}", f"({area}) {middle}-{rest}", f"{area}.{middle}.{rest}", f"{area} {middle} {rest}"] if area else [f"{middle}-{rest}"]
+
+
+def decoy(kind: str, form: str) -> str | None:
+    """The same form with other digits; of an address in words there is none, its form says what it is."""
+    if kind == "email":
+        return None
+    if kind == "ip":
+        return re.sub("[0-9]+", lambda m: str((int(m[0]) + 37) % 256), form)
+    return "".join(str((int(c) + 3 + i) % 10) if "0" <= c <= "9" else c for i, c in enumerate(form))
+
+
+def training_text(text: str, spans: list[Span]) -> tuple[str, dict[tuple[int, int], int]]:
+    """The text with its spans written anew at the end, each in a copy of its surroundings; places and labels of the copies."""
+    parts, at, labels = [text], len(text), {}
+    for kind, start, end in spans:
+        before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
+        forms = rewritten(kind, text[start:end])
+        chosen = forms[crc32(text[start:end].encode()) % len(forms)]
+        for form in forms:
+            place = at + 2 + len(before)
+            labels[place, place + len(form)] = LABELS.index(kind)
+            parts.append(f"\n\n{before}{form}{after}")
+            other = decoy(kind, form) if form == chosen else None
+            if other:
+                parts.append(f"\n\n{before}{other}{after}")
+            at += sum(map(len, parts[-2 if other else -1 :]))
+    return "".join(parts), labels
+
+
 def fit(documents: DataFrame, train_rows: int = 2000, train_tokens: int = 20_000) -> Field:
     """The field, fitted on rows that the rules label; an empty table gives one that adds nothing by itself."""
     picked = documents.select(F.col("doc_id").cast("long").alias("_id")).filter("_id is not null").distinct()
@@ -223,27 +290,31 @@ def fit(documents: DataFrame, train_rows: int = 2000, train_tokens: int = 20_000
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if not HINT.search(text):
                     continue
-                nodes, chain, skip = graph(text, base_spans(text))
-                near = {i: int(nodes[i][2] == nodes[j][2]) for i, j in chain}
-                far = {j: int(nodes[i][2] == nodes[j][2]) for i, j in skip if nodes[i][2] and nodes[j][2]}
-                rows += [(doc_id, s, label, features(text[s:e]), near.get(i), far.get(i)) for i, (s, e, label) in enumerate(nodes)]
+                whole, labels = training_text(text, base_spans(text))
+                nodes, chain, skip = graph(whole, base_spans(whole))
+                label = [known or labels.get((s, e), 0) for s, e, known in nodes]
+                near, far = [[0, 0] for _ in nodes], [[0, 0] for _ in nodes]
+                for pairs, of in ((chain, near), (skip, far)):
+                    for i, j in pairs:
+                        of[j][label[i] == label[j]] += 1
+                rows += [(doc_id, s, label[i], described(whole, s, e), near[i], far[i]) for i, (s, e, _) in enumerate(nodes)]
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.int32(), pa.int32()]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.list_(pa.int32())] * 3]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "start", "label", "features", "near", "far"])
 
-    found = written(sample.mapInArrow(run, "doc_id long, start int, label int, features array<int>, near int, far int"), "labelled-tokens")
-    agree = found.agg(*[F.sum(F.expr(f"int({c} = {v})")) for c in ("near", "far") for v in (1, 0)]).first()
-    chain, skip = (float(np.log((a or 0) + 1.0) - np.log((b or 0) + 1.0)) for a, b in (agree[:2], agree[2:]))
+    found = written(sample.mapInArrow(run, "doc_id long, start int, label int, features array<int>, near array<int>, far array<int>"), "labelled-tokens")
+    agree = found.agg(*[F.coalesce(F.sum(F.element_at(c, at)), F.lit(0)) for c in ("near", "far") for at in (2, 1)]).first()
+    chain, skip = (float(np.log(a + 1.0) - np.log(b + 1.0)) for a, b in (agree[:2], agree[2:]))
     rows = found.select("label", "features", "doc_id", "start").orderBy(F.xxhash64("doc_id", "start"), "doc_id", "start").limit(train_tokens).collect()
-    return Field(_softmax(rows), float(np.clip(chain, 0, 1)), float(np.clip(skip, 6, 8)))
+    return Field(_softmax(rows), max(0.0, chain), max(0.0, skip))
 
 
 def _softmax(rows: list, rounds: int = 200, rate: float = 0.5, ridge: float = 1e-4) -> np.ndarray:
     """Weights (feature, label) of a softmax regression, by full gradients with Adagrad."""
     w = np.zeros((PLACES, len(LABELS)))
     if not rows:
-        w[features("")[-1], 0] = 40.0
+        w[features("", "", "")[5], 0] = 40.0
         return w
     x = np.array([r[1] for r in rows])
     y = np.eye(len(LABELS))[[r[0] for r in rows]]
@@ -263,7 +334,7 @@ def _softmax(rows: list, rounds: int = 200, rate: float = 0.5, ridge: float = 1e
 def find_pii(documents: DataFrame, field: Field) -> DataFrame:
     """A row per document: ``doc_id, base, added``, arrays of (kind, start, end) by kind and start.
 
-    Places are code points, ends exclusive. Null and empty texts have no spans. Repeated rows get the same spans. An empty
+    Places are code points, ends exclusive. Null and empty texts have no spans; very long ones are read whole, in linear time. Repeated rows get the same spans. An empty
     table gives no rows.
     """
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))

@@ -9,7 +9,8 @@ where the tokenizer's own pattern cuts too, so the ids are those of the whole te
 - before the punctuation marks (ASCII, no apostrophe) that end a word and follow an ASCII letter; both patterns make them
   one piece.
 
-A tokenizer that works in lower case gives a word and its lower case the same ids, so it keeps the latter alone.
+A tokenizer that works in lower case gives a word and its lower case the same ids, so it keeps the latter alone. A text
+that holds the name of an added token, which the library finds anywhere, goes to it whole.
 """
 
 from __future__ import annotations
@@ -65,8 +66,9 @@ class Encoder:
 
     def __init__(self, path: str, spaced: bool) -> None:
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are text
         self.spaced = spaced
+        self.names = [str(t.content).lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marks = {n[0] for n in self.names}
         lower = not spaced and self.library("A a.") == self.library("a a.")
         self.plain = _Words(self.library, "", spaced, lower)
         self.after = _Words(self.library, " ", spaced, lower, self.plain)
@@ -78,6 +80,8 @@ class Encoder:
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(m in text for m in self.marks) and any(n in text.lower() for n in self.names):
+            return self.library(text)
         if not self.spaced:
             return b"".join(map(self.plain.__getitem__, text.replace("\n", " ").split(" ")))
         try:
