@@ -9,6 +9,9 @@ where the tokenizer's own pattern cuts too, so the ids are those of the whole te
 - before the punctuation marks (ASCII, no apostrophe) that end a word and follow an ASCII letter; both patterns make them
   one piece.
 
+Without blanks in its pieces a call costs twice what the word itself does, so the words of a text that are not stored are
+given to the library together, joined by blanks, and told apart by the places of their pieces.
+
 A tokenizer that works in lower case gives a word and its lower case the same ids, so it keeps the latter alone. A text
 that holds the name of an added token, which the library finds anywhere, goes to it whole.
 """
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
@@ -55,6 +59,25 @@ class _Words(dict):
         self[word] = ids
         return ids
 
+    def stem(self, word: str) -> str:
+        """What of a word goes to the library: without the marks at its end, in lower case where that is all the same."""
+        tail = TAIL.search(word)
+        word = word[: tail.start()] if tail else word
+        return word.lower() if self.lower and word.isascii() else word
+
+    def learn(self, words: set[str], encode_places) -> None:
+        """Stores the stems that are new, all in one call; those whose letters might join with what is before go alone."""
+        new = {self.stem(w) for w in words if w not in self and w not in self.older}
+        new = [w for w in new if w and w not in self and w not in self.older and (w.isascii() or (
+            unicodedata.is_normalized("NFC", w) and not unicodedata.combining(w[0])))]
+        if len(new) < 2:
+            return
+        ids, places = encode_places(" ".join(new))
+        starts = np.cumsum([0, *[len(w) + 1 for w in new]])
+        cuts = np.searchsorted(places, starts).tolist()
+        for word, low, high in zip(new, cuts, cuts[1:]):
+            self[word] = ids[low:high].tobytes()
+
     def trim(self) -> None:
         if len(self) > HELD_WORDS:
             self.older = dict(self)
@@ -77,13 +100,19 @@ class Encoder:
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def places(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        found = self.tokenizer.encode(text, add_special_tokens=False)
+        return np.array(found.ids, "<u4"), np.array([p[0] for p in found.offsets], np.int64)
+
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
         if any(m in text for m in self.marks) and any(n in text.lower() for n in self.names):
             return self.library(text)
         if not self.spaced:
-            return b"".join(map(self.plain.__getitem__, text.replace("\n", " ").split(" ")))
+            words = text.replace("\n", " ").split(" ")
+            self.plain.learn(set(words), self.places)
+            return b"".join(map(self.plain.__getitem__, words))
         try:
             lines = []
             for line in text.split("\n"):
