@@ -102,6 +102,11 @@ def q_facet_tags(spark, sf_dir):
     return facets.array_facet_counts(tagged_part(spark, sf_dir), "tags")
 
 
+def q_facets_all(spark, sf_dir):
+    """All facets of the parts in one pass: what a definition would mark as facetable, an array among it."""
+    return facets.all_facets(tagged_part(spark, sf_dir), ["p_brand", "p_size", "tags"])
+
+
 def q_sort_field(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     return orders.orderBy(F.col("o_totalprice").desc(), "o_orderkey")
@@ -149,5 +154,9 @@ ORACLES = {
     "facet_counts": "SELECT lang AS value, count(*) AS n_documents FROM documents GROUP BY 1",
     "facet_tags": """SELECT value, count(*) AS n_documents FROM
       (SELECT unnest(list_distinct(string_split(p_name, ' '))) AS value FROM part) GROUP BY 1""",
+    "facets_all": """SELECT 'p_brand' AS field, p_brand AS value, count(*) AS n_documents FROM part GROUP BY 2
+      UNION ALL SELECT 'p_size', p_size::VARCHAR, count(*) FROM part GROUP BY 2
+      UNION ALL SELECT 'tags', value, count(*) FROM
+      (SELECT unnest(list_distinct(string_split(p_name, ' '))) AS value FROM part) GROUP BY 2""",
     "sort_field": "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders ORDER BY o_totalprice DESC, o_orderkey",
 }

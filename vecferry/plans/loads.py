@@ -183,6 +183,19 @@ def q_report_indexes(spark, sf_dir):
     return spark.read.schema(resolved.schema).json(f"{path}/indexes")
 
 
+def q_report_by_index(spark, sf_dir):
+    """A JSON report per index, in parts of eight fields, read back and taken apart."""
+    path, fields = work_path(spark, "index-reports"), catalog.conversions(spark, sf_dir)
+    resolved = sm.resolve_profiles(fields, catalog.profiles(spark, sf_dir), catalog.algorithms(spark, sf_dir))
+    tg.write_index_reports(path, fields, resolved, part_size=8)
+    schema = tg.index_reports(fields, resolved).schema
+    read = spark.read.schema(schema).json(path)
+    return read.groupBy("index_name").agg(
+        F.count("*").alias("n_lines"), F.max("n_parts").alias("n_parts"), F.sum(F.size("fields")).alias("n_fields"),
+        F.sum(F.size("indexes")).alias("n_indexes"), F.max(F.size("fields")).alias("longest"),
+        F.array_join(F.array_sort(F.flatten(F.collect_list("fields.field_name"))), ",").alias("field_names"))
+
+
 def _numbered_orders(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return ba.number_rows(orders, [F.col("o_orderkey")])
@@ -453,6 +466,12 @@ ORACLES = {
       CASE WHEN c_custkey IS NULL THEN 'missing key c_custkey' END AS reason, count(*) AS n_rows FROM dirty GROUP BY 1, 2""",
     "load_definitions": f"""WITH {catalog.CATALOG_SQL} SELECT index_name, ordinal, field_name, edm_type, is_key, n_subfields,
       dimensions, profile_name, searchable, filterable, sortable, facetable FROM fields""",
+    "report_by_index": f"""SELECT index_name, greatest(ceil(nf / 8), ceil(coalesce(ni, 0) / 8))::BIGINT AS n_lines,
+      greatest(ceil(nf / 8), ceil(coalesce(ni, 0) / 8))::INTEGER AS n_parts, nf AS n_fields, coalesce(ni, 0) AS n_indexes,
+      least(nf, 8)::INTEGER AS longest, field_names
+      FROM (SELECT index_name, count(*) AS nf, string_agg(field_name, ',' ORDER BY field_name) AS field_names
+        FROM ({catalog.ORACLES["convert_fields"]}) GROUP BY 1)
+      LEFT JOIN (SELECT index_name, count(*) AS ni FROM ({catalog.ORACLES["resolve_profile"]}) GROUP BY 1) USING (index_name)""",
     "report_fields": catalog.ORACLES["field_details"],
     "report_indexes": catalog.ORACLES["resolve_profile"],
     "create_target": """SELECT c_custkey AS id, substring(c_name, 1, 12) AS name, CAST(c_nationkey AS SMALLINT) AS nation,

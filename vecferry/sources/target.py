@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from vecferry.functions.coerce import FieldSpec
 from vecferry.functions.edm import KEY_TYPES
@@ -89,3 +90,25 @@ def write_reports(path: str, **reports: DataFrame) -> None:
     """
     for name, report in reports.items():
         report.write.mode("overwrite").json(f"{path}/{name}")
+
+
+def index_reports(fields: DataFrame, indexes: DataFrame, part_size: int = 1_000) -> DataFrame:
+    """A report per index: ``index_name, part, n_parts`` with ``fields`` and ``indexes`` as arrays of structs.
+
+    An index with more than ``part_size`` fields, or indexes, is reported in numbered parts, so a row is bounded.
+    """
+    def parts(rows: DataFrame, name: str, order: list[str]) -> DataFrame:
+        others = [c for c in rows.columns if c != "index_name"]
+        at = F.row_number().over(Window.partitionBy("index_name").orderBy(*order))
+        numbered = rows.withColumn("part", F.floor((at - 1) / part_size).cast("int")).withColumn("_at", at)
+        entries = F.array_sort(F.collect_list(F.struct("_at", F.struct(*others).alias("row"))))
+        return numbered.groupBy("index_name", "part").agg(F.transform(entries, lambda e: e["row"]).alias(name))
+
+    met = parts(fields, "fields", ["ordinal", "field_name"]).join(parts(indexes, "indexes", ["field_name"]), ["index_name", "part"], "full_outer")
+    filled = met.select("index_name", "part", *[F.coalesce(c, F.array().cast(met.schema[c].dataType)).alias(c) for c in ("fields", "indexes")])
+    return filled.select("index_name", "part", (F.max("part").over(Window.partitionBy("index_name")) + 1).alias("n_parts"), "fields", "indexes")
+
+
+def write_index_reports(path: str, fields: DataFrame, indexes: DataFrame, part_size: int = 1_000) -> None:
+    """One JSON line per index, or per part of one."""
+    index_reports(fields, indexes, part_size).write.mode("overwrite").json(path)
