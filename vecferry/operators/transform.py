@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecferry.functions import variants
 from vecferry.functions.coerce import FieldSpec, can_fail, convert, default_value, spark_type
 from vecferry.operators.checks import stored_size
 
@@ -71,10 +72,12 @@ def strip_metadata(documents: DataFrame) -> DataFrame:
     return documents.select(*[_quoted(c) for c in documents.columns if not c.startswith("@")])
 
 
-def dynamic_fields(documents: DataFrame, specs: list[FieldSpec]) -> Column:
-    """Undeclared fields as one JSON value."""
+def dynamic_fields(documents: DataFrame, specs: list[FieldSpec], as_variant: bool = False) -> Column:
+    """Undeclared fields as one JSON value, or as a Variant that keeps their types."""
     declared = {s.source for s in specs}
     rest = [F.col(_quoted(c)) for c in documents.columns if c not in declared and not c.startswith("@")]
+    if as_variant:
+        return variants.packed(*rest) if rest else F.parse_json(F.lit("{}"))
     return F.to_json(F.struct(*rest)) if rest else F.lit("{}")
 
 
@@ -96,12 +99,13 @@ def with_key(documents: DataFrame, specs: list[FieldSpec]) -> tuple[DataFrame, l
 
 
 def transform_documents(
-    documents: DataFrame, specs: list[FieldSpec], defaults: bool = True, keep_dynamic: bool = False
+    documents: DataFrame, specs: list[FieldSpec], defaults: bool = True, keep_dynamic: bool | str = False
 ) -> DataFrame:
     """Typed target columns plus ``_reject_reason`` (null for good rows).
 
     With ``defaults`` missing values become the default of their type unless the field is nullable;
-    otherwise they stay null.
+    otherwise they stay null. ``keep_dynamic`` keeps undeclared fields in ``$meta``: as JSON text, or with ``"variant"`` as
+    a Variant.
     """
     source_types = {f.name: f.dataType for f in documents.schema.fields}
     converted, columns, reasons = [], [], []
@@ -126,7 +130,7 @@ def transform_documents(
         filled = value if default is None else F.coalesce(value, default)
         columns.append(filled.alias(spec.target, metadata=target_schema([spec]).fields[0].metadata))
     if keep_dynamic:
-        converted.append(dynamic_fields(documents, specs).alias("$meta"))
+        converted.append(dynamic_fields(documents, specs, keep_dynamic == "variant").alias("$meta"))
         columns.append(F.col("`$meta`"))
     reason = F.concat_ws("; ", *reasons)
     # Two steps, so that a value and the reason drawn from it share one evaluation.

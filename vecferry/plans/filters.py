@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from vecferry.functions import predicates as pr
 from vecferry.functions.coerce import FieldSpec, iso_text
+from vecferry.functions import variants as va
 from vecferry.operators import facets
 from vecferry.plans.rows import tagged_part
 from vecferry.plans.tables import spread, table
@@ -47,6 +48,13 @@ def q_f_json_path(spark, sf_dir):
     return events.filter(pr.json_path("props", "$.k", "int") > 50).select("event_id", "props")
 
 
+def q_f_variant_path(spark, sf_dir):
+    """The same over properties that are stored as Variant, parsed once."""
+    path = work_path(spark, "variants")
+    table(spark, sf_dir, "events").select("event_id", "props", va.parsed("props").alias("parsed")).write.parquet(path)
+    return spark.read.parquet(path).filter(va.at("parsed", "$.k", "int") > 50).select("event_id", "props")
+
+
 def q_f_date_text(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("at", iso_text(F.col("o_orderdate"), T.TimestampNTZType()))
     return orders.filter(
@@ -140,6 +148,7 @@ ORACLES = {
     "f_nested_any": """SELECT p_partkey, p_name FROM part
       WHERE len([t for t in string_split(p_name, ' ') if length(t) >= 5 AND starts_with(t, 'g')]) > 0""",
     "f_json_path": "SELECT event_id, props FROM events WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) > 50",
+    "f_variant_path": "SELECT event_id, props FROM events WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) > 50",
     "f_date_typed": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%fZ') AS at FROM orders
       WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-07-01'""",
     "f_date_text": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%fZ') AS at FROM orders

@@ -8,9 +8,11 @@ from pyspark.sql import types as T
 
 from vecferry.functions import coerce as co
 from vecferry.functions import vectors as ve
+from vecferry.functions import variants as va
 from vecferry.functions.coerce import FieldSpec
 from vecferry.operators import transform as tr
 from vecferry.plans.tables import table
+from vecferry.session import work_path
 
 CUSTOMER_SPECS = [
     FieldSpec("c_custkey", "id", "INT64", is_key=True),
@@ -290,6 +292,17 @@ def q_dynamic_fields(spark, sf_dir):
     )
 
 
+def q_dynamic_variant(spark, sf_dir):
+    """Undeclared fields kept as a Variant, stored, and read by path with their types."""
+    path = work_path(spark, "dynamic")
+    events = table(spark, sf_dir, "events").withColumn("@score", F.lit(1.0))
+    specs = [FieldSpec("event_id", "id", "INT64", is_key=True)]
+    tr.accepted(tr.transform_documents(events, specs, keep_dynamic="variant")).withColumnRenamed("$meta", "meta").write.parquet(path)
+    return spark.read.parquet(path).select(
+        "id", va.at("meta", "$.event_type").alias("event_type"), va.at("meta", "$.user_id", "long").alias("user_id"),
+        va.at("meta", "$.event_id").isNull().alias("declared_left_out"), va.at("meta", "$['@score']", "double").isNotNull().alias("has_metadata"))
+
+
 def q_strip_meta(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("@search.score", F.lit(1.0)).withColumn("@odata.etag", F.lit("x"))
     return tr.strip_metadata(events).select(
@@ -368,6 +381,8 @@ ORACLES = {
       count(*) - count(c_custkey) AS rejected FROM dirty""",
     "dynamic_fields": """SELECT event_id AS id, event_type, user_id, true AS declared_left_out, false AS has_metadata
       FROM events""",
+    "dynamic_variant": """SELECT event_id AS id, event_type, user_id, true AS declared_left_out, false AS has_metadata
+      FROM events""",
     "strip_meta": """SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS ts
       FROM events""",
     "normalize_vector": """WITH s AS (SELECT vec_id, [x::DOUBLE * 3 for x in embedding] AS v FROM embeddings)
