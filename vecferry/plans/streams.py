@@ -12,7 +12,7 @@ from vecferry.functions.coerce import FieldSpec
 from vecferry.plans.tables import table
 from vecferry.session import work_path
 from vecferry.sources import target as tg
-from vecferry.streaming import changes, load
+from vecferry.streaming import changes, load, progress
 from vecferry.streaming import table as kept
 
 BATCHES = 4
@@ -109,6 +109,20 @@ def q_ledger_batches(spark, sf_dir):
     )
 
 
+def q_stream_progress(spark, sf_dir):
+    """What the listener has noted of a load, against its ledger batch by batch."""
+    staged, paths, told = work_path(spark, "staged"), load.LoadPaths(work_path(spark, "load")), work_path(spark, "progress")
+    events = _events(spark, sf_dir)
+    share = _stage(events, staged)
+    with progress.recorded(spark, told):
+        _load(spark, staged, events.schema, paths, share)
+    noted = progress.batches(spark.read.schema(progress.SCHEMA).parquet(told)).select("batch_id", "n_input_rows")
+    ledger = load.read_ledger(spark, paths).select("batch_id", (F.col("n_accepted") + F.col("n_rejected")).alias("n_rows"))
+    return noted.join(ledger, "batch_id", "full_outer").agg(
+        F.sum("n_input_rows").alias("n_read"), F.sum("n_rows").alias("n_written"),
+        F.bool_and(F.equal_null("n_input_rows", "n_rows")).alias("agrees"))
+
+
 CHANGE_COLUMNS = ["user_id", "ts", "event_id", "event_type", "value"]
 
 
@@ -195,6 +209,7 @@ ORACLES = {
     "ledger_batches": """SELECT 'events' AS index_name, count(*) > 0 AS gapless, count(*) FILTER (event_id % 11 <> 0) AS n_accepted,
       count(*) FILTER (event_id % 11 = 0) AS n_rejected, min(event_id) FILTER (event_id % 11 <> 0) AS first_key,
       max(event_id) FILTER (event_id % 11 <> 0) AS last_key FROM events""",
+    "stream_progress": "SELECT count(*) AS n_read, count(*) AS n_written, true AS agrees FROM events",
     "stream_resume": """SELECT substring(event_type, 1, 5) AS kind, count(*) AS n_rows, count(DISTINCT event_id) AS n_ids,
       CAST(sum(user_id) AS BIGINT) AS user_sum FROM events WHERE event_id % 11 <> 0 GROUP BY 1""",
     "stream_rejects": "SELECT event_id AS id, 'bad value in props' AS reason FROM events WHERE event_id % 11 = 0",
