@@ -12,7 +12,7 @@ from vecferry.functions.coerce import FieldSpec
 from vecferry.plans.tables import table
 from vecferry.session import work_path
 from vecferry.sources import target as tg
-from vecferry.streaming import changes, load, progress
+from vecferry.streaming import changes, keyed, load, progress
 from vecferry.streaming import table as kept
 
 BATCHES = 4
@@ -193,6 +193,17 @@ def q_stream_append_new(spark, sf_dir):
     return changes.stored_rows(spark, out).select("event_id", "user_id", "event_type", "value")
 
 
+def q_stream_first(spark, sf_dir):
+    """The first event of every user, from events that arrive in the order of a hash, purchases and clicks twice."""
+    staged, out = work_path(spark, "staged"), work_path(spark, "first")
+    events, again = _redelivered(spark, sf_dir)
+    files = _files(events)
+    events.unionByName(again).repartition(files, F.xxhash64("event_id", "value")).write.parquet(staged)
+    stream = load.read_stream(spark, staged, events.schema, files_per_batch=-(-files // BATCHES))
+    keyed.keep_first(stream, out, work_path(spark, "checkpoint"), "user_id", ORDER)
+    return keyed.first_rows(spark, out, "user_id", ORDER).select("user_id", "event_id", "event_type", "value")
+
+
 QUERIES = {name.removeprefix("q_"): query for name, query in list(globals().items()) if name.startswith("q_")}
 
 _UNIQUE = "SELECT event_id, user_id, event_type, value FROM events"
@@ -218,4 +229,6 @@ ORACLES = {
     "cdc_compacted": _LAST_CHANGE,
     "stream_dedup": _UNIQUE,
     "stream_append_new": _UNIQUE,
+    "stream_first": """SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+      ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1""",
 }
