@@ -414,3 +414,19 @@ def test_pipeline_stage_finds_all_similar_texts(spark):
     rows += [(r.doc_id + 10_000, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     got = corpus_pipeline.drop_near_copies(spark, documents(spark, rows), SF_DIR)
     assert sorted(r.doc_id for r in got.collect()) == sorted({g for g in similar_groups(rows)})
+
+
+@pytest.mark.parametrize("edges", [[], [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 30)] + [(50, 60), (60, 70), (50, 60)]])
+def test_components_of_paths_stars_and_nothing(spark, edges):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    found = simhash.components(spark.createDataFrame(edges, "a long, b long"))
+    assert {r.node: r.root for r in found.collect()} == {x: find(x) for x in root}
