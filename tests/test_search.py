@@ -298,3 +298,13 @@ def test_eight_bit_codes(spark):
 def test_scores_of_all_pairs_are_not_formed_as_rows(vectors, queries):
     plan = matches(vectors, queries, Dense("COSINE"), "id", k=3)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_every_vector_asks(spark):
+    stored = plans.vectors(spark, "/root/testdata/sf0.001").collect()
+    rows = plans.q_knn_all(spark, "/root/testdata/sf0.001").collect()
+    asked = {}
+    for r in rows:
+        asked.setdefault(r.query_id, []).append(r.id)
+    assert set(asked) == {r.id for r in stored}
+    assert all(len(found) == 5 for found in asked.values())
