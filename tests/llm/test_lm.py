@@ -112,3 +112,20 @@ def test_context_helps_on_documents_that_were_not_learned_from(spark):
     frame = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     held = lm.score_texts(frame).filter("held_out").selectExpr("sum(score) AS s", "sum(base_score) AS b", "count(*) AS n").first()
     assert held.n > 500 and held.s > held.b
+
+
+def test_a_task_holds_the_words_of_few_texts(spark, monkeypatch):
+    """What a task held grew with its batch: 10,000 texts as word objects, and a lookup with six slots for each key."""
+    size, most = lm.Sequence.__init__, 500
+
+    def bounded(self, order, split):
+        assert len(split) <= 1 or sum(map(len, map(b" ".join, split))) <= most, len(split)
+        size(self, order, split)
+
+    monkeypatch.setattr(lm, "SLICE", most, raising=False)
+    monkeypatch.setattr(lm.Sequence, "__init__", bounded)
+    rows = [*prose(3, n_documents=40, n_words=30), (900, "y " * most, "a"), (901, None, "b"), (902, "z", "b")]
+    frame = documents(spark, rows).coalesce(1)
+    same(lm.score_texts(frame, 4), rows, 4)
+    table = lm.Lookup(np.random.default_rng(3).permutation(1 << 18)[: 1 << 16], np.ones(1 << 16))
+    assert sum(len(t[-1]) for t in table.tables) <= 3 << 16

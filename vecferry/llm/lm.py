@@ -24,6 +24,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -36,6 +37,7 @@ ALPHABET = 256
 HOT_GRAMS = 1 << 20  # broadcast, 12 to 24 bytes each
 HOT_WORDS = 1 << 18
 SLAB = 1 << 20  # bytes of text that are looked up at once
+SLICE = 1 << 19  # bytes of text whose words are held at once, or one text
 HELD_GRAMS = 1 << 21  # distinct grams that a task holds before it passes them on
 HELD_WORDS = 1 << 19
 HELD_BYTES = 1 << 27  # of text that words are counted over
@@ -76,6 +78,18 @@ class Sequence:
         return ((low, min(low + SLAB, self.size)) for low in range(0, self.size, SLAB))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that the words of one are few: as objects they take ten times the bytes of their text."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+        low = 0
+        while low < batch.num_rows:
+            before = ends[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, before + SLICE, "right")))
+            yield batch.slice(low, high - low)
+            low = high
+
+
 def _summed(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.argsort(codes, kind="stable")
     codes, n = codes[at], n[at]
@@ -134,7 +148,7 @@ def counts(marked: DataFrame, order: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, words, grown = (_Grams(), _Grams()), (Counter(), Counter()), 0
-        for batch in batches:
+        for batch in _slices(batches):
             flags = batch.column("held_out").to_pylist()
             bodies = batch.column("text").cast(pa.binary()).to_pylist()
             grown += sum(map(len, bodies))
@@ -241,34 +255,37 @@ def _frequent(table: DataFrame, most: int) -> DataFrame:
 
 
 class Lookup:
-    """Values of integer keys in hashed slots, three tables one behind another; a miss means: not here."""
+    """Values of integer keys in hashed slots, three tables one behind another; a miss means: not here.
+
+    A table has two to four slots for each key that the tables before it have not taken.
+    """
 
     MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
         """Of keys that want the same slot the first gets it."""
         self.tables = []
-        self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys))))) + 1)
         for number in range(len(self.MULTIPLIERS)):
-            slot = self._slot(keys, number)
+            bits = max(4, int(np.ceil(np.log2(max(1, len(keys))))) + 1)
+            slot = self._slot(keys, number, bits)
             taken, first = np.unique(slot, return_index=True)
-            held = np.full(1 << self.bits, -1, np.int64)
-            of = np.zeros(1 << self.bits, np.float64)
+            held = np.full(1 << bits, -1, np.int64)
+            of = np.zeros(1 << bits, np.float64)
             held[taken], of[taken] = keys[first], values[first]
-            self.tables.append((held, of))
+            self.tables.append((bits, held, of))
             left = np.ones(len(keys), bool)
             left[first] = False
             keys, values = keys[left], values[left]
 
-    def _slot(self, keys: np.ndarray, number: int) -> np.ndarray:
-        return (keys.view(np.uint64) * np.uint64(self.MULTIPLIERS[number]) >> np.uint64(64 - self.bits)).view(np.int64)
+    def _slot(self, keys: np.ndarray, number: int, bits: int) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(self.MULTIPLIERS[number]) >> np.uint64(64 - bits)).view(np.int64)
 
     def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(values, 0 where missing; places of the missing keys)."""
         out = np.zeros(len(keys))
         places = None
-        for number, (held, of) in enumerate(self.tables):
-            slot = self._slot(keys, number)
+        for number, (bits, held, of) in enumerate(self.tables):
+            slot = self._slot(keys, number, bits)
             hit = held[slot] == keys
             if places is None:
                 out = np.where(hit, of[slot], 0.0)
@@ -296,7 +313,7 @@ def _scored(marked: DataFrame, hot, order: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, lookup = hot.value
         uid = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in _slices(batches):
             n = batch.num_rows
             split = [body.as_py().lower().split() for body in batch.column("text").cast(pa.binary())]
             logs, n_known = np.zeros(n), np.zeros(n, np.int64)
