@@ -9,6 +9,7 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm.cases import documents, edge_rows, with_clashing_columns
 from pyspark.sql import functions as F
@@ -262,6 +263,25 @@ def test_stored_words_give_the_library_ids(corpus, name, spaced):
             assert np.frombuffer(encode.ids(text), "<u4").tolist() == want(text), repr(text)
 
 
+def test_texts_encoded_together_give_the_library_ids_in_few_calls(corpus):
+    encode, want = tokens.Encoder(public_tokenizers.path(tokenfiles.VOCABULARY), True), library(tokenfiles.VOCABULARY)
+    rnd = random.Random(9)
+    texts = [t or "" for t in ODD_TEXTS] + [r.text[:3000] for r in corpus.limit(60).collect()] + ["", "<|endoftext|>", "a < b", "a\n\nb", "a\nb"]
+    texts += ["".join(rnd.choices(["a", "B", " ", " ", "\n", ".", ",", "'s", "é", "1", "\t", "-"], k=rnd.randrange(30))) for _ in range(1500)]
+    for _ in range(2):
+        for at in range(0, len(texts), 400):
+            part = pa.array(texts[at : at + 400], pa.string())
+            assert [np.frombuffer(b, "<u4").tolist() for b in encode.several(part)] == [want(t) for t in part.to_pylist()]
+    assert encode.several(pa.array([], pa.string())) == []
+    calls, text = [], " ".join(f"unseen{i}x, word" for i in range(2000))
+    for name in ("library", "quick"):
+        method = getattr(encode, name)
+        setattr(encode, name, lambda t, method=method: calls.append(t) or method(t))
+    encode.plain.encode = encode.after.encode = encode.library
+    assert np.frombuffer(encode.several(pa.array([text]))[0], "<u4").tolist() == want(text)
+    assert len(calls) < 20
+
+
 def test_names_of_added_tokens_become_their_ids():
     for name, spaced, wanted in ((packing.VOCABULARY, False, [320, 49407, 321]), (tokenfiles.VOCABULARY, True, [64, 220, 50256, 275])):
         encode = tokens.Encoder(public_tokenizers.path(name), spaced)

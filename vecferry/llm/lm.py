@@ -24,11 +24,10 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from vecferry.llm.common import texts, written
+from vecferry.llm.common import sliced, texts, written
 
 ORDER = 5
 FOLDS = 10
@@ -37,7 +36,7 @@ ALPHABET = 256
 HOT_GRAMS = 1 << 20  # broadcast, 12 to 24 bytes each
 HOT_WORDS = 1 << 18
 SLAB = 1 << 20  # bytes of text that are looked up at once
-SLICE = 1 << 19  # bytes of text whose words are held at once, or one text
+SLICE = 1 << 19  # bytes of text whose words are held at once, or one text: as objects they take ten times that
 HELD_GRAMS = 1 << 21  # distinct grams that a task holds before it passes them on
 HELD_WORDS = 1 << 19
 HELD_BYTES = 1 << 27  # of text that words are counted over
@@ -78,18 +77,6 @@ class Sequence:
         return ((low, min(low + SLAB, self.size)) for low in range(0, self.size, SLAB))
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that the words of one are few: as objects they take ten times the bytes of their text."""
-    for batch in batches:
-        ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
-        low = 0
-        while low < batch.num_rows:
-            before = ends[low - 1] if low else 0
-            high = max(low + 1, int(np.searchsorted(ends, before + SLICE, "right")))
-            yield batch.slice(low, high - low)
-            low = high
-
-
 def _summed(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.argsort(codes, kind="stable")
     codes, n = codes[at], n[at]
@@ -148,7 +135,7 @@ def counts(marked: DataFrame, order: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, words, grown = (_Grams(), _Grams()), (Counter(), Counter()), 0
-        for batch in _slices(batches):
+        for batch in sliced(batches, SLICE):
             flags = batch.column("held_out").to_pylist()
             bodies = batch.column("text").cast(pa.binary()).to_pylist()
             grown += sum(map(len, bodies))
@@ -313,7 +300,7 @@ def _scored(marked: DataFrame, hot, order: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, lookup = hot.value
         uid = TaskContext.get().partitionId() << 40
-        for batch in _slices(batches):
+        for batch in sliced(batches, SLICE):
             n = batch.num_rows
             split = [body.as_py().lower().split() for body in batch.column("text").cast(pa.binary())]
             logs, n_known = np.zeros(n), np.zeros(n, np.int64)

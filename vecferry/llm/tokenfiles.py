@@ -25,12 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from vecferry.llm import tokens
-from vecferry.llm.common import texts
+from vecferry.llm.common import sliced, texts
 from vecferry.session import work_path
 
 END = 2
 VOCABULARY = "byte_bpe_50k.json"
 SHARD_IDS = 1 << 19
+SLICE = 1 << 22  # bytes of text that are encoded at once, or one text
 ROOM = 2  # bits per key and level
 MOST_LEVELS = 64
 
@@ -110,10 +111,10 @@ def write_token_files(documents: DataFrame, path: str, vocabulary: str | None =
             row = _shard(name, keys, ids, width)
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, KINDS, strict=True)], names=NAMES)
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        for batch in sliced(batches, SLICE):
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), encode.several(batch.column("text")), strict=True):
                 keys.append(doc_id)
-                ids.append(encode.ids(text) + stop)
+                ids.append(found + stop)
                 size += len(ids[-1]) // 4
                 if size >= shard_ids:
                     yield close()
