@@ -23,7 +23,11 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 of their five-word shingles the one with the smallest ``doc_id`` stays."""
+    """Of documents linked by a similarity of 0.8 of their five-word shingles the one with the smallest ``doc_id`` stays.
+
+    Links come from SimHash fingerprints that meet by Golay keys and are verified; an exact join finds the links that
+    fingerprints miss.
+    """
     return near.near_dedup(docs)
 
 

@@ -1,10 +1,14 @@
-"""Near duplicates by the similarity of their word shingles, all of them: an exact prefix join.
+"""Near duplicates by the similarity of their word shingles, all of them: SimHash links, then an exact prefix join.
 
 A text is its set of shingles. Two texts are linked when the Jaccard similarity of their sets reaches a threshold. Sets of
 x and y elements that reach it share at least the threshold's part of either, so under any common order of the shingles
 the first x - ceil(part of x) + 1 of one set and the same of the other share an element (prefix filter). Nothing that
 follows is a sample; the filters leave out only texts that cannot have a partner, and every link is counted out.
 
+SimHash comes first: every text has a fingerprint of its set, texts with fingerprints up to 5 bits apart meet by Golay keys
+(``simhash.candidates``), those that are similar are linked. Similar texts whose fingerprints are further apart, and those of large groups that met the smallest alone, are found by the
+prefix join; it starts from the components that SimHash has found and compares what lies in different ones.
+
 1. By hash order, with prefixes longer by ``spare``, two linked texts share that many elements more. A text without as many
    shingles that another text's prefix has as well is done.
 2. For the texts left, shingles are ordered by how many texts have them, rare ones first. Shingles of one text alone fill
@@ -34,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vecferry.llm.common import keep, texts, written
-from vecferry.llm.simhash import components
+from vecferry.llm.simhash import candidates, components, majority
 
 FEW = 32
 STARS = 4  # rounds of comparing with one member; what they leave is compared pair by pair
@@ -77,7 +81,8 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 
 
 def prints(documents: DataFrame, size: int, percent: int) -> DataFrame:
-    """``doc_id, node, n, front``: the set of a text by its digest, its size, and its lengthened prefix by hash order."""
+    """``doc_id, node, n, fp, front``: the set of a text by its digest, its size, its fingerprint, and its lengthened prefix
+    by hash order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -85,14 +90,14 @@ def prints(documents: DataFrame, size: int, percent: int) -> DataFrame:
 
             def table() -> pa.RecordBatch:
                 return pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.int64()), _lists(fronts)],
-                    names=["doc_id", "node", "n", "front"])
+                    [pa.array(ids, pa.int64()), pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.int64()),
+                     pa.array([m[2] for m in made], pa.int64()), _lists(fronts)], names=["doc_id", "node", "n", "fp", "front"])
 
             for doc_id, body in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()), strict=True):
                 found = shingles(body.as_py(), size)
                 n = len(found)
                 ids.append(doc_id)
-                made.append((_node(found), n))
+                made.append((_node(found), n, majority(found)))
                 fronts.append(found[: n - least_shared(n, percent) + spare(n)])
                 total += len(fronts[-1])
                 if total > SLAB:
@@ -100,7 +105,7 @@ def prints(documents: DataFrame, size: int, percent: int) -> DataFrame:
                     ids, made, fronts, total = [], [], [], 0
             yield table()
 
-    return texts(documents).mapInArrow(run, "doc_id long, node long, n long, front array<long>")
+    return texts(documents).mapInArrow(run, "doc_id long, node long, n long, fp long, front array<long>")
 
 
 def elements(documents: DataFrame, size: int) -> DataFrame:
@@ -182,6 +187,16 @@ def profiles(sets: DataFrame) -> DataFrame:
     return sets.select("node", "keys").mapInArrow(run, "node long, profile array<int>")
 
 
+def simhash_links(prints: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges ``a, b`` between similar nodes that SimHash finds; ``prints`` has ``node, fp``. Nodes with the same fingerprint
+    meet the smallest of them, which meets those of other fingerprints."""
+    distinct = written(prints.groupBy("fp").agg(F.min("node").alias("one")), "fingerprints")
+    of = lambda end: distinct.select(F.col("fp").alias(end), F.col("one").alias(f"_{end}"))
+    apart = candidates(distinct).join(of("a"), "a").join(of("b"), "b").select(*_pair("_a", "_b"))
+    same = prints.join(distinct, "fp").filter("node != one").select(*_pair("node", "one"))
+    return similar(written(apart.unionByName(same), "fingerprint-pairs"), sets, percent)
+
+
 def _most(rest: str, percent: int) -> Column:
     """The largest sum of two sizes that this many shared shingles make similar."""
     return F.floor(F.col(rest) * (100 + percent) / percent)
@@ -189,33 +204,35 @@ def _most(rest: str, percent: int) -> Column:
 
 def links(found: DataFrame, documents: DataFrame, size: int, percent: int, few: int = FEW, stars: int = STARS) -> DataFrame:
     """``node, root``: components of the nodes linked to another one."""
-    every = found.groupBy("node").agg(F.first("n").alias("n"), F.count("*").alias("copies"))
+    every = found.groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.count("*").alias("copies"))
     # 1. Texts that can have a partner at all, by prefixes in hash order.
     front = found.select("node", F.explode("front").alias("key"))
     hits = front.join(written(_shared(front), "shared-prefixes").select("key"), "key").groupBy("node").agg(F.count("*").alias("hits"))
     smallest = F.floor((F.col("n") * percent + 99) / 100)
     need = F.greatest(F.lit(1), F.floor(smallest * SPARE / 100))
-    left = written(hits.join(every, "node").filter(F.col("hits") >= need * F.col("copies")).select("node", "n"), "may-have-partners")
+    left = written(hits.join(every, "node").filter(F.col("hits") >= need * F.col("copies")).select("node", "n", "fp"), "may-have-partners")
     # 2. Their sets without the shingles of one text alone, and prefixes with rare shingles first.
     ids = found.join(left.select("node"), "node", "left_semi").select("doc_id").distinct()
     full = elements(keep(documents, ids), size).join(left.select("node"), "node", "left_semi")
     full = written(full.distinct(), "elements")
     shared = full.join(_shared(full), "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("found"))
     rest = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1 - (F.col("n") - F.size("found"))
-    sets = shared.join(left, "node").withColumn("places", rest.cast("int")).filter("places > 0")
+    sets = shared.join(left.drop("fp"), "node").withColumn("places", rest.cast("int")).filter("places > 0")
     sets = written(sets.select("node", "n", "places", F.col("found.key").alias("keys")), "sets")
+    linked = written(simhash_links(left.join(sets.select("node"), "node", "left_semi").select("node", "fp"), sets, percent), "simhash-links")
     places = written(entries(sets), "places")
     least = places.groupBy("key").agg(F.count("*").alias("members"), F.min("n").alias("least")).filter("members > 1").drop("members")
     places = places.join(least, "key").filter(_most("rest", percent) - F.col("n") >= F.col("least")).drop("least")
     places = written(places, "near-places")
     groups = places.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
     places = written(places.join(groups.select("key"), "key"), "groups")
-    # 3. Who stands for each rest; members that it is similar to by sizes alone.
+    # 3. Who stands for each rest; members that it is similar to by sizes alone, and those that SimHash has linked.
     heads = places.groupBy("key", "tail").agg(F.min(F.struct("n", "node")).alias("head"))
     heads = written(heads.select(F.col("key").alias("_key"), F.col("tail").alias("_tail"), F.col("head.node").alias("head"), F.col("head.n").alias("head_n")), "heads")
     met = places.join(heads, (F.col("key") == F.col("_key")) & (F.col("tail") == F.col("_tail"))).drop("_key", "_tail")
     sure = met.filter((F.col("node") != F.col("head")) & (F.col("n") + F.col("head_n") <= _most("rest", percent)))
-    roots = written(components(sure.select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()), "roots")
+    sure = sure.select(F.col("node").alias("a"), F.col("head").alias("b"))
+    roots = written(components(sure.unionByName(linked).distinct()), "roots")
     # 4. Stars, then the pairs that they leave.
     fits = lambda n, rest, other_n, other_rest: F.col(n) + F.col(other_n) <= F.least(_most(rest, percent), _most(other_rest, percent))
     places = written(met.select("key", "node", "n", "rest", "head"), "placed")
