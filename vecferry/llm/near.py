@@ -5,8 +5,9 @@ x and y elements that reach it share at least the threshold's part of either, so
 the first x - ceil(part of x) + 1 of one set and the same of the other share an element (prefix filter). Nothing that
 follows is a sample; the filters leave out only texts that cannot have a partner, and every link is counted out.
 
-SimHash comes first: every text has a fingerprint of its set, texts with fingerprints up to 5 bits apart meet by Golay keys
-(``simhash.candidates``), those that are similar are linked. Similar texts whose fingerprints are further apart, and those of large groups that met the smallest alone, are found by the
+SimHash links first: every text has a fingerprint of its set; of the texts that 1 and 2 leave in a group, those whose
+fingerprints are 2 bits apart, and some with up to 10, meet by Golay keys (``simhash.candidates``) and are linked if they
+are similar. Similar texts whose fingerprints are further apart, and those of large groups that met the smallest alone, are found by the
 prefix join; it starts from the components that SimHash has found and compares what lies in different ones.
 
 1. By hash order, with prefixes longer by ``spare``, two linked texts share that many elements more. A text without as many
@@ -219,13 +220,14 @@ def links(found: DataFrame, documents: DataFrame, size: int, percent: int, few:
     rest = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1 - (F.col("n") - F.size("found"))
     sets = shared.join(left.drop("fp"), "node").withColumn("places", rest.cast("int")).filter("places > 0")
     sets = written(sets.select("node", "n", "places", F.col("found.key").alias("keys")), "sets")
-    linked = written(simhash_links(left.join(sets.select("node"), "node", "left_semi").select("node", "fp"), sets, percent), "simhash-links")
     places = written(entries(sets), "places")
     least = places.groupBy("key").agg(F.count("*").alias("members"), F.min("n").alias("least")).filter("members > 1").drop("members")
     places = places.join(least, "key").filter(_most("rest", percent) - F.col("n") >= F.col("least")).drop("least")
     places = written(places, "near-places")
     groups = places.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
     places = written(places.join(groups.select("key"), "key"), "groups")
+    linked = left.join(places.select("node").distinct(), "node", "left_semi").select("node", "fp")
+    linked = written(simhash_links(written(linked, "may-be-linked"), sets, percent), "simhash-links")
     # 3. Who stands for each rest; members that it is similar to by sizes alone, and those that SimHash has linked.
     heads = places.groupBy("key", "tail").agg(F.min(F.struct("n", "node")).alias("head"))
     heads = written(heads.select(F.col("key").alias("_key"), F.col("tail").alias("_tail"), F.col("head.node").alias("head"), F.col("head.n").alias("head_n")), "heads")

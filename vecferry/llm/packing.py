@@ -25,9 +25,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from vecferry.llm import tokens
-from vecferry.llm.common import texts, written
+from vecferry.llm.common import sliced, texts, written
 
 CAPACITY = 2048
+SLICE = 1 << 22  # bytes of text between two looks at the size of the word store
 END = 0
 VOCABULARY = "word_bpe_49k.json"
 
@@ -104,7 +105,7 @@ def pieces(documents: DataFrame, vocabulary: str | None = None, capacity: int =
         encode = tokens.encoder(path, False)
         end, step = np.array([END], "<u4").tobytes(), 4 * capacity
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-        for batch in batches:
+        for batch in sliced(batches, SLICE):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = encode.ids(text) + end
