@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,32 @@ def sliced(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBa
             low = high
 
 
+def give_back(encoders: bool = False) -> None:
+    """Returns what this Python process no longer holds to the system; unless ``encoders``, its stored encoders go too.
+
+    Spark keeps Python workers for later tasks. What their allocators hold back would lie beside the executor's heap all
+    the while, also in steps that run no Python.
+    """
+    if not encoders and "tokenizers" in sys.modules:
+        vars(sys.modules["tokenizers"]).pop("_vecferry_encoders", None)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim:
+        trim(0)
+
+
+def returning(run: Callable[[Iterator], Iterator], encoders: bool = False) -> Callable[[Iterator], Iterator]:
+    """``run``, a function of a task's batches, with ``give_back`` at the end of the task."""
+
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back(encoders)
+
+    return whole
+
+
 def sha256_hex(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 

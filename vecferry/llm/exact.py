@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vecferry.llm.common import keep, sha256_hex, texts, written
+from vecferry.llm.common import keep, returning, sha256_hex, texts, written
 from vecferry.session import work_path
 
 HELD_BYTES = 48 << 20  # texts that a reading task holds while it combines copies
@@ -152,12 +152,12 @@ def build_index(documents: DataFrame, bucket_rows: int = 10_000, key: Column | N
         [(p, directory.slots[p >> (MOST_DEPTH - directory.depth)]) for p in counts], "slot int, bucket int")
     combined = keyed.select(
         "key", "digest", "text", F.col("doc_id").alias("last"), F.col("doc_id").isNull().alias("has_null"), F.lit(1).cast("long").alias("n"),
-    ).mapInArrow(_combine, ENTRY)
+    ).mapInArrow(returning(_combine), ENTRY)
     owned = (
         combined.withColumn("slot", slot).join(F.broadcast(by_slot), "slot")  # 2 ** 16 small rows at most
         .select("bucket", "key", "digest", "text", "last", "has_null", "n")
         .repartition("bucket").sortWithinPartitions("bucket", "key")
-        .mapInArrow(_own, f"bucket int, {ENTRY}")
+        .mapInArrow(returning(_own), f"bucket int, {ENTRY}")
     )
     path = work_path(spark, "index")
     owned.write.option("compression", "zstd").parquet(path)

@@ -38,7 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vecferry.llm.common import keep, texts, written
+from vecferry.llm.common import keep, returning, texts, written
 from vecferry.llm.simhash import candidates, components, majority
 
 FEW = 32
@@ -106,7 +106,7 @@ def prints(documents: DataFrame, size: int, percent: int) -> DataFrame:
                     ids, made, fronts, total = [], [], [], 0
             yield table()
 
-    return texts(documents).mapInArrow(run, "doc_id long, node long, n long, fp long, front array<long>")
+    return texts(documents).mapInArrow(returning(run), "doc_id long, node long, n long, fp long, front array<long>")
 
 
 def elements(documents: DataFrame, size: int) -> DataFrame:
@@ -133,7 +133,7 @@ def elements(documents: DataFrame, size: int) -> DataFrame:
                     held, owners, total = [], [], 0
             yield table()
 
-    return texts(documents).mapInArrow(run, "node long, key long")
+    return texts(documents).mapInArrow(returning(run), "node long, key long")
 
 
 def entries(sets: DataFrame) -> DataFrame:
@@ -151,7 +151,7 @@ def entries(sets: DataFrame) -> DataFrame:
                     pa.array(found[:at]), pa.array(np.full(at, node.as_py())), pa.array(np.full(at, n.as_py())),
                     pa.array(len(found) - np.arange(at)), pa.array(tail[:at])], names=["key", "node", "n", "rest", "tail"])
 
-    return sets.mapInArrow(run, "key long, node long, n long, rest long, tail long")
+    return sets.mapInArrow(returning(run), "key long, node long, n long, rest long, tail long")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -185,7 +185,7 @@ def profiles(sets: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(made) + 1) * PARTS, pa.int32()), pa.array(flat.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("node"), lists], names=["node", "profile"])
 
-    return sets.select("node", "keys").mapInArrow(run, "node long, profile array<int>")
+    return sets.select("node", "keys").mapInArrow(returning(run), "node long, profile array<int>")
 
 
 def simhash_links(prints: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

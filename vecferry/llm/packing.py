@@ -25,10 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from vecferry.llm import tokens
-from vecferry.llm.common import texts, written
+from vecferry.llm.common import returning, sliced, texts, written
 
 CAPACITY = 2048
 END = 0
+SLAB_BYTES = 4 << 20  # of text that a task holds as Python objects at once
 VOCABULARY = "word_bpe_49k.json"
 
 Run = tuple[int, int, int, int, int, int]  # length, first rank, pieces, first sequence, pieces per sequence, offset
@@ -105,21 +106,22 @@ def pieces(documents: DataFrame, vocabulary: str | None = None, capacity: int =
         end, step = np.array([END], "<u4").tobytes(), 4 * capacity
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = encode.ids(text) + end
-                for number, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at : at + step]
-                    length = len(part) // 4
-                    rows.append((doc_id, number, at // 4, length, crc32(part), task, ranks[length], *([part] if with_ids else [])))
-                    ranks[length] += 1
+            for slab in sliced([batch], SLAB_BYTES):
+                rows = []
+                for doc_id, text in zip(slab.column("doc_id").to_pylist(), slab.column("text").to_pylist(), strict=True):
+                    ids = encode.ids(text) + end
+                    for number, at in enumerate(range(0, len(ids), step)):
+                        part = ids[at : at + step]
+                        length = len(part) // 4
+                        rows.append((doc_id, number, at // 4, length, crc32(part), task, ranks[length], *([part] if with_ids else [])))
+                        ranks[length] += 1
+                names = [c.split()[0] for c in PIECE.split(", ")] + ["ids"] * with_ids
+                columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds + [pa.binary()] * with_ids, strict=True)], names=names)
             encode.trim()
-            names = [c.split()[0] for c in PIECE.split(", ")] + ["ids"] * with_ids
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds + [pa.binary()] * with_ids, strict=True)], names=names)
 
-    return texts(documents).mapInArrow(run, PIECE + ", ids binary" * with_ids)
+    return texts(documents).mapInArrow(returning(run, encoders=True), PIECE + ", ids binary" * with_ids)
 
 
 def pack(documents: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:

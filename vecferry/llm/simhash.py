@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from vecferry.llm.common import keep, texts, written
+from vecferry.llm.common import keep, returning, texts, written
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, bits
 GOLAY = 0xC75  # fixed value: generator polynomial of the perfect binary Golay code
@@ -107,7 +107,7 @@ def fingerprints(documents: DataFrame, size: int = 3) -> DataFrame:
             bodies = batch.column("text").cast(pa.binary()).to_pylist()
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fingerprint(bodies, size))], names=["doc_id", "fp"])
 
-    return texts(documents).mapInArrow(run, "doc_id long, fp long")
+    return texts(documents).mapInArrow(returning(run), "doc_id long, fp long")
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -137,7 +137,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def candidates(distinct: DataFrame, few: int = 4) -> DataFrame:
     """Pairs ``a, b`` of fingerprints that share a key and are at most ``LOOSE`` bits apart, those of 2 bits and less among
     them, where up to ``few`` share it; of larger groups each with the smallest, so there some pairs are missing."""
-    keyed = distinct.select("fp").mapInArrow(_keys, "key long, fp long")
+    keyed = distinct.select("fp").mapInArrow(returning(_keys), "key long, fp long")
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("least")).filter("n > 1")
     met = written(keyed.join(written(shared, "golay-shared"), "key"), "golay-met")
     small = met.filter(F.col("n") <= few)
@@ -148,7 +148,7 @@ def candidates(distinct: DataFrame, few: int = 4) -> DataFrame:
 
 def links(distinct: DataFrame, few: int = FEW) -> DataFrame:
     """Edges ``a, b`` between fingerprints at most 2 bits apart whose components are those of all such pairs."""
-    keyed = written(distinct.select("fp").mapInArrow(_keys, "key long, fp long"), "golay-keys")
+    keyed = written(distinct.select("fp").mapInArrow(returning(_keys), "key long, fp long"), "golay-keys")
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     met = written(keyed.join(shared, "key"), "golay-groups")
     small = met.filter(F.col("n") <= few)
