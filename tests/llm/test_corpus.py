@@ -172,6 +172,21 @@ def test_mixed_documents_hold_what_was_taken(spark):
     assert made.exceptAll(counts).count() == 0 and counts.exceptAll(made).count() == 0
 
 
+def joins(table):
+    """Kind and keys of the joins that ran."""
+    table.collect()
+    plan = table._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [(kind, tuple(re.findall(r"(\w+)#", keys))) for kind, keys in re.findall(r"(\w+Join) \[([^\]]*)\]", plan)]
+
+
+@pytest.mark.parametrize("keys", [("place", "block"), ("shard", "grid"), ("_row",)])
+def test_mixed_documents_are_joined_by_sorting(spark, keys):
+    """Slots listed from few counts and numbers in small files look small, and were broadcast however many they are."""
+    docs = documents(spark, [(i, "w " * 640, f"s{i % 5}") for i in range(400)])
+    found = [kind for kind, of in joins(mixing.mix_documents(docs, block_words=1, shard_blocks=512)) if of == keys]
+    assert found and set(found) == {"SortMergeJoin"}
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 100, 1000, 2500])
 def test_permutations(spark, n):
     rows = spark.range(n).select(*[mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(7), F.lit(r)).alias(f"r{r}") for r in range(2)]).collect()

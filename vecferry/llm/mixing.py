@@ -12,7 +12,9 @@
 
 For scale: positions within a source are prefix sums in two levels, so a source with a third of all rows is no single
 group; slots and blocks meet on (source, number), which spreads evenly. Windows hold a row per source, per cell or per
-shard of a source. Only counts and sizes are shuffled, never texts.
+shard of a source. Only counts and sizes are shuffled, never texts. Whatever has rows by document, block, slot or draw is
+joined by sorting: Spark sizes an exploded range by the few bytes that it is listed from, and stored numbers by their
+compressed files, and would send millions of rows through the driver as a broadcast.
 """
 
 from __future__ import annotations
@@ -142,7 +144,7 @@ def mix(
         F.when(F.col("is_last"), 1.0).otherwise(F.try_divide("high", "all_rest")).alias("high"))
     cell_of = lambda c: F.least(F.floor(c * GRID), F.lit(GRID - 1)).cast("int")
     bounds = bounds.withColumn("_grid", F.explode(F.sequence(cell_of(F.col("low")), cell_of(F.col("high")))))
-    drawn = left.join(bounds, (F.col("shard") == F.col("_shard")) & (F.col("grid") == F.col("_grid")))
+    drawn = left.hint("merge").join(bounds, (F.col("shard") == F.col("_shard")) & (F.col("grid") == F.col("_grid")))
     drawn = drawn.filter("at >= low and at < high").groupBy("shard", "place").agg(F.count("*").alias("drawn"))
     counts = residual.select("shard", "place", F.col("whole").alias("n")).unionByName(drawn.select("shard", "place", F.col("drawn").alias("n")))
     counts = counts.groupBy("shard", "place").agg(F.sum("n").alias("n")).filter("n > 0")
@@ -154,7 +156,7 @@ def mix(
     slots = slots.withColumn("round", F.floor(F.col("k") / F.col("n_blocks")).cast("long"))
     chosen = slots.select("place", "round", permuted(
         F.pmod(F.col("k"), F.col("n_blocks")), F.col("n_blocks"), F.lit(seed), F.col("place"), F.col("round")).alias("block"))
-    taken = blocks.join(chosen, ["place", "block"]).select("_row", "round", "first", "words")
+    taken = blocks.hint("merge").join(chosen, ["place", "block"]).select("_row", "round", "first", "words")
     return Mix(sized, sources, taken)
 
 
@@ -179,10 +181,10 @@ def mix_documents(documents: DataFrame, **options) -> DataFrame:
     made = mix(numbered, rows=F.col(row), **options)
     parts = made.taken.groupBy("_row", "round").agg(
         F.sort_array(F.collect_list(F.struct("first", "words"))).alias("parts"), F.sum("words").alias("words"))
-    parts = parts.join(made.documents.select("_row", "size"), "_row")
+    parts = parts.hint("merge").join(made.documents.select("_row", "size"), "_row")
     of, cut = (unused(n, [*numbered.columns, row]) for n in ("_of", "_parts"))
     parts = parts.select(F.col("_row").alias(of), F.when(F.col("words") < F.col("size"), F.col("parts")).alias(cut))
-    met = numbered.join(parts, F.col(row) == F.col(of))
+    met = numbered.hint("merge").join(parts, F.col(row) == F.col(of))
 
     def taken(words: Column) -> Column:
         pieces = F.transform(cut, lambda p: F.slice(words, (p["first"] + 1).cast("int"), p["words"].cast("int")))
