@@ -187,6 +187,13 @@ def test_mixed_documents_are_joined_by_sorting(spark, keys):
     assert found and set(found) == {"SortMergeJoin"}
 
 
+def test_mixed_counts_are_joined_by_sorting(spark):
+    docs = documents(spark, [(i, "w " * 640, f"s{i % 5}") for i in range(400)])
+    found = joins(mixing.mix_counts(docs, block_words=1, shard_blocks=512))
+    for keys in (("place", "block"), ("shard", "grid"), ("_row",)):
+        assert {kind for kind, of in found if of == keys} == {"SortMergeJoin"}
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 100, 1000, 2500])
 def test_permutations(spark, n):
     rows = spark.range(n).select(*[mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(7), F.lit(r)).alias(f"r{r}") for r in range(2)]).collect()

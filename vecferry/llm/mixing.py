@@ -165,7 +165,7 @@ def mix_counts(documents: DataFrame, **options) -> DataFrame:
     made = mix(documents, **options)
     taken = made.taken.groupBy("_row").agg(F.sum("words").alias("taken"))
     sources = made.sources.select(F.col("source").alias("_name"), "source_size", "target")
-    met = made.documents.join(taken, "_row", "left").join(sources, F.col("source").eqNullSafe(F.col("_name")), "left")
+    met = made.documents.hint("merge").join(taken, "_row", "left").join(sources, F.col("source").eqNullSafe(F.col("_name")), "left")
     return met.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
