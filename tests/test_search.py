@@ -2,10 +2,11 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from vecferry.operators import ann, fusion, search, text
+from vecferry.operators import ann, fusion, scoring, search, text
 from vecferry.operators.scoring import Dense, matches
 from vecferry.plans import search as plans
 
@@ -308,3 +309,75 @@ def test_every_vector_asks(spark):
         asked.setdefault(r.query_id, []).append(r.id)
     assert set(asked) == {r.id for r in stored}
     assert all(len(found) == 5 for found in asked.values())
+
+
+def odd_vectors(n, seed, length):
+    """Vectors with copies, near copies, zeros, missing and endless elements; ``length`` scales them."""
+    rnd = np.random.default_rng(seed)
+    vectors = rnd.normal(size=(n, 12))
+    vectors[::7] = vectors[0]
+    vectors[1::29] = vectors[1] + rnd.normal(size=vectors[1::29].shape) * 1e-7
+    vectors[2::41], vectors[3::43, 4], vectors[5::47, 2] = 0, np.nan, np.inf
+    return vectors * length
+
+
+def arrow(name, ids, vectors):
+    return pa.table({name: pa.array(ids), "vector": pa.array([[None if math.isnan(x) else x for x in v] for v in vectors], pa.list_(pa.float64()))})
+
+
+def kept_by(asked, stored, text_ids=False, k=5):
+    """What one task keeps, and of how many items it scored every query."""
+    scored = []
+
+    class Counted(Dense):
+        def score(self, queries, rows):
+            scored.append(rows.num_rows)
+            return super().score(queries, rows)
+
+    ids = np.random.default_rng(1).permutation(len(stored))
+    stored = arrow("id", [f"{i:05}" for i in ids] if text_ids else ids, stored)
+    schema = pa.schema([("query_id", pa.int64()), ("id", stored.schema.field("id").type), ("score", pa.float64())])
+    keeper = scoring._Keeper(Counted("COSINE"), arrow("query_id", range(len(asked)), asked), "id", [], k, None, None)
+    found = pa.concat_tables(keeper.run(iter([stored.slice(at, 700) for at in range(0, stored.num_rows, 700)]), schema))
+    return sorted(zip(*(c.to_pylist() for c in found.columns), strict=True)), sum(scored)
+
+
+@pytest.mark.parametrize("text_ids", [False, True])
+@pytest.mark.parametrize("lengths", [(1, 1), (1e-30, 1e30), (1e-80, 1), (1, 1e90)])
+def test_short_lists_change_no_result(monkeypatch, lengths, text_ids):
+    asked, stored = odd_vectors(301, 3, lengths[0]), odd_vectors(3000, 4, lengths[1])
+    monkeypatch.setattr(scoring, "CELLS_PER_STEP", 301 * 50)
+    monkeypatch.setattr(scoring, "TILE", 128)
+    short, _ = kept_by(asked, stored, text_ids)
+    monkeypatch.setattr(Dense, "shortened", lambda *_: None, raising=False)
+    whole, scored = kept_by(asked, stored, text_ids)
+    assert scored == 3000
+    assert [r[:2] for r in short] == [r[:2] for r in whole]
+    np.testing.assert_allclose([r[2] for r in short], [r[2] for r in whole], atol=1e-9)
+
+
+def test_short_lists_leave_most_pairs_unscored(monkeypatch):
+    rnd = np.random.default_rng(6)
+    monkeypatch.setattr(scoring, "CELLS_PER_STEP", 300 * 50)
+    asked, stored = rnd.normal(size=(300, 64)), rnd.normal(size=(5000, 64))
+    found, scored = kept_by(asked, stored)
+    assert len(found) == 1500 and scored < 500
+
+
+def test_alike_vectors_all_are_scored_as_a_whole(monkeypatch):
+    monkeypatch.setattr(scoring, "CELLS_PER_STEP", 300 * 50)
+    found, scored = kept_by(np.ones((300, 8)), np.ones((2000, 8)))
+    assert scored == 2000 and [r[1] for r in found] == [0, 1, 2, 3, 4] * 300
+
+
+def test_blocks_of_queries_meet_stripes_of_items(spark, monkeypatch):
+    for name, value in (("SHORT_ROWS", 400), ("BLOCK_ROWS", 300), ("STRIPE_ROWS", 350), ("MAX_PARTS", 5)):
+        monkeypatch.setattr(scoring, name, value, raising=False)
+    rnd = np.random.default_rng(8)
+    asked, stored = rnd.normal(size=(1000, 8)), rnd.normal(size=(1200, 8))
+    stored[::5] = stored[0]
+    frame = lambda name, rows: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], f"{name} long, vector array<double>")
+    for metric in ("COSINE", "L2"):
+        both = [search.knn(frame("id", stored), frame("query_id", asked), 4, metric, broadcast=b) for b in (None, False)]
+        same(*map(got, both))
+        assert "CoGroup" not in both[1]._jdf.queryExecution().toString()

@@ -3,14 +3,18 @@
 Two exact ways, chosen by the measured size of the query side:
   * it fits the bound below: it is broadcast once, and every task scans its own items, keeping only
     the best k rows per query, so no item is shuffled;
-  * otherwise items and queries are cut into blocks by hash and every pair of blocks meets in one
-    task of bounded size, which again keeps only its best k rows per query.
+  * otherwise queries are cut into blocks and items into stripes by hash; every block meets every stripe in
+    one task, which holds the block, reads the stripe batch by batch and keeps only its best k rows per query.
 A last window picks the best k of what the tasks kept.
+
+For the best k by COSINE of many queries a product in single precision, with a bound on its error, first tells which
+pairs may be among them; only those are scored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -28,10 +32,16 @@ from vecferry.session import written
 FEW_QUERIES = 256  # taken to the driver unmeasured
 MAX_BROADCAST_QUERIES = 16_384
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-BLOCK_ROWS = 16_384  # of items and of queries: equal blocks copy the least data for the memory of a task
-BLOCK_BYTES = 32 * 1024 * 1024  # of items and of queries, measured over the columns that travel
+BLOCK_ROWS = 16_384
+BLOCK_BYTES = 32 * 1024 * 1024  # of a block, measured over the columns that travel
+SHORT_ROWS = 65_536  # of a block of queries with a short list: their steps are cheap, and fewer blocks copy fewer items
+STRIPE_ROWS = 1 << 20  # of the items that one task reads batch by batch
+STRIPE_BYTES = 16 * BLOCK_BYTES
+MAX_PARTS = 10_000  # more tasks than that share partitions
 SMALLEST_BLOCK = 256
+TILE = 2_048  # queries whose products with a step's items stay in the cache; a multiple of 8
 CELLS_PER_STEP = 4_000_000  # size of the score matrix one step works on
+SCORED_PAIRS = 16_384  # pairs of a short list that are scored at once
 MAX_KEPT = 500_000  # rows a task holds back for groups
 DIGITS = 6
 
@@ -59,6 +69,35 @@ class Dense:
     def prepare(self, queries: pa.Table) -> np.ndarray:
         return self._matrix(queries)
 
+    def shortened(self, vectors: np.ndarray) -> np.ndarray | None:
+        """The vectors at length 1 in single precision, NaN where nothing matches; None if there can be no short list.
+
+        Products of such rows differ from the scores by less than ``slack``. Lengths that over- or underflow get none.
+        """
+        if self.metric != "COSINE":
+            return None
+        squares = np.einsum("ij,ij->i", vectors, vectors)
+        plain = (squares == 0) | ((squares > 1e-140) & (squares < 1e140))
+        if not (plain | ~np.isfinite(vectors).all(axis=1)).all():
+            return None
+        lengths = np.sqrt(np.where(squares == 0, 1.0, np.where(plain, squares, np.nan)))
+        return np.where((squares == 0)[:, None], 0.0, vectors / lengths[:, None]).astype(np.float32)
+
+    @staticmethod
+    def slack(dimensions: int) -> float:
+        """Two roundings of elements and one per sum to 24 bits, of the score to ``DIGITS``, and of the bound itself."""
+        return (dimensions + 8) * 2.0**-24 + 10.0**-DIGITS
+
+    def score_pairs(self, queries: np.ndarray, items: np.ndarray, query: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """COSINE of single pairs, as ``score`` has it."""
+        scores = np.empty(len(query))
+        for at in range(0, len(query), SCORED_PAIRS):
+            q, x = queries[query[at:at + SCORED_PAIRS]], items[item[at:at + SCORED_PAIRS]]
+            products = np.einsum("ij,ij->i", x, q)
+            lengths = np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", q, q))
+            scores[at:at + SCORED_PAIRS] = np.divide(products, lengths, out=np.zeros_like(products), where=lengths > 0)
+        return scores
+
     def score(self, queries: np.ndarray, rows: pa.Table) -> np.ndarray:
         items = self._matrix(rows)
         if items.shape[1] != queries.shape[1]:
@@ -86,6 +125,9 @@ class Sparse:
         self.terms, self.weights = terms, weights
         self.columns = [terms, weights]
 
+    def shortened(self, _) -> None:
+        return None
+
     def prepare(self, queries: pa.Table):
         terms = queries.column("terms").combine_chunks()
         flat = terms.flatten()
@@ -165,6 +207,13 @@ class _Keeper:
         self.kept: _Found | None = None
         self.worst = np.full(len(self.query_ids), np.inf)  # cost of the k-th best so far
         self.worst_id: np.ndarray | None = None
+        self.waiting: list[_Found] = []  # found by short lists, not yet among what is kept
+        self.short: np.ndarray | None = None
+        if k is not None and group is None and band is None and len(self.worst) > FEW_QUERIES:
+            self.short = scorer.shortened(self.state)
+        if self.short is not None:
+            self.short = np.concatenate([self.short, np.zeros((-len(self.short) % 8, self.short.shape[1]), np.float32)])
+            self._set_floor()
 
     def _ids(self, rows: pa.Table) -> np.ndarray:
         ids = rows.column(self.id_column).to_pandas()
@@ -189,14 +238,47 @@ class _Keeper:
         plain = rows.select([self.id_column, *self.carry])
         return _Found(query, cost[item, query], plain.take(pa.array(item)))
 
-    def _keep(self, found: _Found) -> None:
-        if self.kept is not None:
-            found = _Found(
-                np.concatenate([self.kept.query, found.query]), np.concatenate([self.kept.cost, found.cost]),
-                pa.concat_tables([self.kept.rows, found.rows]),
-            )
-        if not len(found.query):
+    def _set_floor(self) -> None:
+        """Products below are not among the results; the rows that fill up the last eight queries have none."""
+        self.floor = np.full(len(self.short), np.inf, np.float32)
+        self.floor[:len(self.worst)] = -self.worst - self.scorer.slack(self.short.shape[1])
+
+    def _shortlisted(self, rows: pa.Table) -> _Found | None:
+        """The rows that may still be among the results, by a product in single precision; None if those are too many."""
+        items = self.scorer.prepare(rows)
+        if items.shape[1] != self.short.shape[1]:
+            return None
+        short = self.scorer.shortened(items)
+        if short is None:
+            return None
+        item, query, most = [], [], len(items) * len(self.worst) // 8
+        for low in range(0, len(self.short), TILE):
+            near = (short @ self.short[low:low + TILE].T >= self.floor[low:low + TILE]).reshape(-1, 8)
+            eights = np.flatnonzero(near.view(np.uint64))
+            eight, bit = np.nonzero(near[eights])
+            at, of = np.divmod(eights[eight] * 8 + bit, min(TILE, len(self.short) - low))
+            item.append(at)
+            query.append(of + low)
+            most -= len(at)
+            if most < 0:
+                return None
+        item, query = np.concatenate(item), np.concatenate(query)
+        cost = self.sign * (np.round(self.scorer.score_pairs(self.state, items, query, item), DIGITS) + 0.0)
+        worst = self.worst[query]
+        if self.worst_id is not None:
+            wanted = (cost < worst) | ((cost == worst) & (rows.column(self.id_column).to_numpy()[item] < self.worst_id[query]))
+        else:
+            wanted = cost <= worst
+        plain = rows.select([self.id_column, *self.carry])
+        return _Found(query[wanted], cost[wanted], plain.take(pa.array(item[wanted])))
+
+    def _keep(self, *found: _Found) -> None:
+        """Takes in what was found and what is waiting."""
+        parts = [part for part in (self.kept, *self.waiting, *found) if part is not None and len(part.query)]
+        self.waiting = []
+        if not parts:
             return
+        found = _Found(*map(np.concatenate, list(zip(*parts, strict=True))[:2]), pa.concat_tables([part.rows for part in parts]))
         runs = [found.query]
         if self.group:
             runs.append(pd.factorize(found.rows.column(self.group).to_pandas())[0])
@@ -216,6 +298,8 @@ class _Keeper:
             if self.worst_id is None:
                 self.worst_id = np.full(len(self.worst), np.iinfo(np.int64).max)
             self.worst_id[full] = rows.column(self.id_column).to_numpy()[last]
+        if self.short is not None:
+            self._set_floor()
 
     def _result(self, found: _Found, schema: pa.Schema) -> pa.Table:
         columns = [self.query_ids.take(pa.array(found.query)), *found.rows.columns, pa.array(self.sign * found.cost + 0.0)]
@@ -227,7 +311,14 @@ class _Keeper:
             # Absent vectors are left out here: as a filter in the plan this would work out a computed column twice.
             present = rows.filter(pc.is_valid(rows.column(self.scorer.columns[0])))
             for start in range(0, present.num_rows, step):
-                found = self._candidates(present.slice(start, step))
+                part = present.slice(start, step)
+                found = None if self.short is None else self._shortlisted(part)
+                if found is not None:
+                    self.waiting.append(found)
+                    if sum(len(f.query) for f in self.waiting) > 2 * len(self.worst):
+                        self._keep()
+                    continue
+                found = self._candidates(part)
                 if self.k is None:
                     yield self._result(found, schema)
                 else:
@@ -236,6 +327,8 @@ class _Keeper:
                         # Groups have no bound: hand on what is kept; the last window still sees every candidate.
                         yield self._result(self.kept, schema)
                         self.kept = None
+        if self.waiting:
+            self._keep()
         if self.kept is not None:
             yield self._result(self.kept, schema)
 
@@ -287,7 +380,8 @@ def matches(
         found = _scan(items, small, keeper, out, arrow_out)
     else:
         items = written(items, "items") if derived else items
-        found = _meet_in_blocks(items, queries, keeper, id_column, out, arrow_out)
+        shortens = k is not None and group is None and band is None and getattr(scorer, "metric", "") == "COSINE"
+        found = _meet_in_blocks(items, queries, keeper, id_column, out, arrow_out, SHORT_ROWS if shortens else BLOCK_ROWS)
     if k is None:
         return found
     return _best(found, scorer, id_column, k, group)
@@ -349,17 +443,49 @@ def _meet(left: DataFrame, right: DataFrame, keys: list[str], keeper: Callable,
 
 
 def _meet_in_blocks(
-    items: DataFrame, queries: DataFrame, keeper: Callable, id_column: str, out: T.StructType, arrow_out: pa.Schema
+    items: DataFrame, queries: DataFrame, keeper: Callable, id_column: str, out: T.StructType, arrow_out: pa.Schema,
+    most_queries: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Every block of items meets every block of queries; a block is bounded in rows and in bytes."""
+    """Every block of queries meets every stripe of items, both bounded in rows and in bytes; a task reads its block first.
+
+    There are enough of both to keep all cores busy, in the proportion that copies the fewest rows.
+    """
     (n_queries, query_bytes), (n_items, item_bytes) = _measured(queries), _measured(items)
     tasks = 4 * items.sparkSession.sparkContext.defaultParallelism
-    block_rows = min(BLOCK_ROWS, max(SMALLEST_BLOCK, int((n_items * n_queries / tasks) ** 0.5)))
-    query_blocks = max(1, -(-n_queries // block_rows), -(-query_bytes // BLOCK_BYTES))
-    item_blocks = max(1, -(-n_items // block_rows), -(-item_bytes // BLOCK_BYTES))
-    left = items.withColumn("_ib", _block(id_column, item_blocks)).withColumn("_qb", _every(query_blocks))
-    right = queries.withColumn("_qb", _block("query_id", query_blocks)).withColumn("_ib", _every(item_blocks))
-    return _meet(left, right, ["_ib", "_qb"], keeper, out, arrow_out)
+    busy = min(round((tasks * n_queries / max(n_items, 1)) ** 0.5), n_queries // SMALLEST_BLOCK)
+    blocks = max(1, -(-n_queries // most_queries), -(-query_bytes // BLOCK_BYTES), busy)
+    busy = min(-(-tasks // blocks), n_items // SMALLEST_BLOCK)
+    stripes = max(1, -(-n_items // STRIPE_ROWS), -(-item_bytes // STRIPE_BYTES), busy)
+    parts = min(blocks * stripes, MAX_PARTS)
+    place = lambda block, stripe: (block * stripes + stripe).alias("task")
+    asked = queries.select(F.lit(0).alias("side"), F.struct(*queries.columns).alias("query"), F.lit(None).cast(items.schema).alias("item"),
+        _block("query_id", blocks).alias("at"), _every(stripes).alias("other")).withColumn("task", place(F.col("at"), F.col("other")))
+    stored = items.select(F.lit(1).alias("side"), F.lit(None).cast(queries.schema).alias("query"), F.struct(*items.columns).alias("item"),
+        _block(id_column, stripes).alias("at"), _every(blocks).alias("other")).withColumn("task", place(F.col("other"), F.col("at")))
+    met = asked.unionByName(stored).select("task", "side", "query", "item")
+    met = met.repartitionById(parts, F.pmod("task", F.lit(parts))).sortWithinPartitions("task", "side")
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.Table]]:
+        for batch in batches:
+            task, side = (batch.column(n).to_numpy() for n in ("task", "side"))
+            cuts = [0, *(np.flatnonzero((task[1:] != task[:-1]) | (side[1:] != side[:-1])) + 1).tolist(), len(task)]
+            for low, high in zip(cuts, cuts[1:]):
+                if low < high:
+                    rows = batch.column("item" if side[low] else "query").slice(low, high - low)
+                    yield int(task[low]), int(side[low]), pa.Table.from_arrays(rows.flatten(), names=[f.name for f in rows.type])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, of_task in groupby(runs(batches), lambda run: run[0]):
+            block = None
+            for side, of_side in groupby(of_task, lambda run: run[1]):
+                tables = (rows for _, _, rows in of_side)
+                if side == 0:
+                    block = pa.concat_tables(tables)
+                elif block is not None:
+                    for found in keeper(block).run(tables, arrow_out):
+                        yield from found.to_batches()
+
+    return met.mapInArrow(score, out)
 
 
 def matches_by_cell(
